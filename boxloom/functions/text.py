@@ -6,6 +6,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # Words for people and the label that replaces them
 PERSON_WORDS = {
@@ -74,7 +75,7 @@ def parse_caption(response: Column) -> Column:
     after = F.when(r.rlike(r"(?s)\[.*?\]"), F.regexp_replace(F.trim(after), r"(?i)^CAPTION\s*:\s*", "")).otherwise("")
     c = F.trim(F.when(r.rlike(pattern), marked).otherwise(after))
     wrapped = c.rlike(r"""(?s)^".*"$""") | c.rlike(r"(?s)^'.*'$")
-    return F.when(wrapped, F.trim(F.substring(c, 2, 2147483647).substr(F.lit(1), F.length(c) - 2))).otherwise(c)
+    return F.when(wrapped, F.trim(c.substr(F.lit(2), F.length(c) - 2))).otherwise(c)
 
 
 def sentence_count(caption: Column) -> Column:
@@ -164,7 +165,7 @@ def best_phrase(phrases: Column, caption: Column) -> Column:
 def strip_prefix(attribute: Column, lower: bool = False) -> Column:
     """Drop what stands before the first colon; later colons become spaces."""
     parts = F.split(attribute, ":")
-    cut = F.trim(F.array_join(F.slice(parts, 2, 2147483647), " "))
+    cut = F.trim(F.array_join(F.slice(parts, F.lit(2), F.size(parts)), " "))
     return F.when(F.contains(attribute, F.lit(":")), F.lower(cut) if lower else cut).otherwise(attribute)
 
 
@@ -180,7 +181,7 @@ def find_span(phrase: Column, caption: Column) -> Column:
     return F.when(at > 0, F.array(at - 1, at - 1 + F.length(p)))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _nfkc(s: pd.Series) -> pd.Series:
     return s.map(lambda v: None if v is None else unicodedata.normalize("NFKC", v))
 
@@ -205,7 +206,7 @@ def content_words(text: Column) -> Column:
     stop = F.array(*[F.lit(w) for w in STOPWORDS])
     words = F.filter(tokens(F.lower(text)), lambda w: ~F.array_contains(stop, w))
     return F.transform(words, lambda w: F.when((F.length(w) > 3) & F.endswith(w, F.lit("s")) & ~F.endswith(w, F.lit("ss")),
-                                               F.substring(w, 1, 2147483647).substr(F.lit(1), F.length(w) - 1)).otherwise(w))
+                                               w.substr(F.lit(1), F.length(w) - 1)).otherwise(w))
 
 
 def phrase_similarity(a: Column, b: Column) -> Column:
