@@ -125,7 +125,7 @@ def contains_run(words: Column, run: Column) -> Column:
     """``run`` occurs in ``words`` as consecutive tokens.  Joined text with marked ends makes
     this one substring search instead of a comparison at every position."""
     mark = lambda a: F.concat(F.lit(" "), F.array_join(a, " "), F.lit(" "))
-    return (F.size(run) == 0) | F.contains(mark(words), mark(run))
+    return (F.size(words) > 0) & ((F.size(run) == 0) | F.contains(mark(words), mark(run)))
 
 
 def join_split_words(phrase: Column, vocabulary: Column) -> Column:

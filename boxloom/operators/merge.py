@@ -147,7 +147,8 @@ def median_depth(objects: DataFrame, depth: DataFrame, width: int | None = None,
         "ty", F.expr(f"cast(y div {cell} as bigint)"))
     hits = tiles.join(pixels, ["image_id", "tx", "ty"]).where("x >= a and x < c and y >= b and y < d")
     mid = F.percentile_approx("value", 0.5, 10_000) if approximate else F.percentile("value", F.lit(0.5))
-    med = hits.groupBy("image_id", "id").agg(F.round(mid, 2).alias("depth"))
+    # through a decimal, so that noise in the last bits of the mean of two values does not decide
+    med = hits.groupBy("image_id", "id").agg(F.round(mid.cast("decimal(24,6)"), 2).cast("double").alias("depth"))
     return objects.join(med, ["image_id", "id"], "left")
 
 

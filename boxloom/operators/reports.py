@@ -38,7 +38,7 @@ def mask_statistics(masks: DataFrame, images: DataFrame) -> DataFrame:
         F.min("height").alias("height_min"), F.max("height").alias("height_max"), F.avg("height").alias("height_mean"))
     # a median over values and their counts: one row per distinct area leaves each task
     median = (masks.join(images.select("image_id"), "image_id", "left_semi").groupBy("area").count()
-              .agg(F.percentile("area", F.lit(0.5), "count").alias("area_median")))
+              .agg(F.percentile("area", F.lit(0.5), F.col("count")).alias("area_median")))
     one = F.lit(1)
     both = whole.withColumn("_k", one).join(F.broadcast(median.withColumn("_k", one)), "_k").drop("_k")   # one row each
     return both.withColumn("masks_per_image", F.col("masks") / F.col("pairs"))

@@ -455,3 +455,25 @@ def filter_groundings(t):
     found = d.select("image_id", F.col("priority").alias("step"), F.struct(F.col("seq").alias("a"), F.lit(0).alias("b")).alias("pos"),
                      phrase.alias("phrase"), F.array(F.col("seq") % 2).alias("object_ids"))
     return ground.filter_groundings(found).select("image_id", "phrase", csv("object_ids").alias("object_ids"))
+
+
+# ---- the whole chain -------------------------------------------------------------------------------------
+
+@query("build_annotations")
+def build_annotations(t):
+    """Finished annotation documents of all images, summed up per document."""
+    from boxloom.plans import annotate
+
+    d = t.detections
+    first = annotate.level1(d.where("model <> 'grit'"))
+    phrases = phrase_boxes(t)
+    second = annotate.level2(first, t.images, phrases, depth=t.depth)
+    landmarks = with_landmark(t).select("image_id", "landmark")
+    masks = {"SAM": d.where("priority = 4").select("image_id", "seq", *BOX, F.col("seq").alias("segmentation")),
+             "EVA": d.where("priority = 1").select("image_id", "seq", *BOX, F.col("seq").alias("segmentation"))}
+    dense = annotate.scene_texts(second, t.images, t.captions, landmarks).withColumnRenamed("scene_text", "caption")
+    about = t.part.select(F.col("p_type").alias("class_name"), F.concat(F.lit("about "), "p_type").alias("description")).distinct()
+    docs = annotate.finish(first, second, t.images, t.captions, landmarks, dense, masks, about)
+    n = lambda c: F.coalesce(F.size(c), F.lit(0))
+    return docs.select("image_id", "part", n("objects").alias("objects"), n("floating_objects").alias("floating"), n("short_captions").alias("captions"),
+                       n("dense_caption.details").alias("grounded"), n("relationships.grounding").alias("phrases"), "additional_context")

@@ -19,9 +19,20 @@ COCO = ("images array<struct<id:bigint,file_name:string,coco_url:string,width:in
 BOX = ["x1", "y1", "x2", "y2"]
 
 
-def _coco_tables(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    whole = spark.read.schema(COCO).option("multiLine", True).json(path)
-    return tuple(whole.select(F.explode(part).alias("r")).select("r.*") for part in ("images", "annotations", "categories"))
+def _coco_tables(documents: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The three lists of one or many documents; classes may be repeated in each of them."""
+    images, anns, cats = (documents.select(F.explode(part).alias("r")).select("r.*")
+                          for part in ("images", "annotations", "categories"))
+    return images, anns, cats.distinct()
+
+
+def _read_json(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(COCO).option("multiLine", True).json(path)
+
+
+def from_text(documents: DataFrame) -> DataFrame:
+    """Documents held as JSON text in a column ``text``."""
+    return documents.select(F.from_json("text", COCO).alias("d")).select("d.*")
 
 
 def dense_categories(categories: DataFrame) -> DataFrame:
@@ -48,7 +59,11 @@ def repeated_ids(annotations: DataFrame, key: str = "ann_id") -> DataFrame:
 
 
 def read_coco(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    images, anns, cats = _coco_tables(spark, path)
+    return parse_coco(_read_json(spark, path))
+
+
+def parse_coco(documents: DataFrame) -> dict[str, DataFrame]:
+    images, anns, cats = _coco_tables(documents)
     cats = dense_categories(cats.select(F.col("id").alias("category_id"), "name", "frequency"))
     box = B.from_xywh(*[F.col("bbox")[i] for i in range(4)])
     flat = anns.select(F.col("id").alias("ann_id"), "image_id", "category_id", *[getattr(box, c).alias(c) for c in BOX],
@@ -59,13 +74,17 @@ def read_coco(spark: SparkSession, path: str) -> dict[str, DataFrame]:
 
 
 def read_lvis(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    """As ``read_coco`` with ids from 0, file names from the last two parts of the URL, and the classes known to
+    return parse_lvis(_read_json(spark, path))
+
+
+def parse_lvis(documents: DataFrame) -> dict[str, DataFrame]:
+    """As ``parse_coco`` with ids from 0, file names from the last two parts of the URL, and the classes known to
     be absent, or not fully annotated, per image."""
-    images, anns, cats = _coco_tables(spark, path)
+    images, anns, cats = _coco_tables(documents)
     parts = F.split("coco_url", "/")
     name = F.coalesce("file_name", F.concat_ws("/", F.element_at(parts, -2), F.element_at(parts, -1)))
     box = B.from_xywh(*[F.col("bbox")[i] for i in range(4)])
-    listed = lambda c: images.select(F.col("id").alias("image_id"), (F.explode(c) - 1).alias("class_index"))
+    listed = lambda c: images.select(F.col("id").alias("image_id"), F.explode(F.transform(c, lambda i: i - 1)).alias("class_index"))
     flat = anns.select(F.col("id").alias("ann_id"), "image_id", "category_id", *[getattr(box, c).alias(c) for c in BOX],
                        "area", F.lit(0).alias("iscrowd"), "segmentation", "keypoints",
                        (F.col("category_id") - 1).alias("class_index"))
@@ -112,11 +131,18 @@ def coco_results(pred: DataFrame) -> DataFrame:
     return pred.select("image_id", "category_id", F.array(x, y, w, h).alias("bbox"), "score")
 
 
+VOC = ("struct<filename:string,object:array<struct<name:string,difficult:int,"
+       "bndbox:struct<xmin:double,ymin:double,xmax:double,ymax:double>>>>")
+
+
 def read_voc(spark: SparkSession, path: str) -> DataFrame:
-    """``image_id, label, gt, difficult, box`` from one XML file per image; corners count from 0."""
-    schema = ("filename string, object array<struct<name:string,difficult:int,"
-              "bndbox:struct<xmin:double,ymin:double,xmax:double,ymax:double>>>")
-    rows = spark.read.format("xml").option("rowTag", "annotation").schema(schema).load(path)
+    return parse_voc(spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path).select(
+        F.col("value").alias("text")))
+
+
+def parse_voc(documents: DataFrame) -> DataFrame:
+    """``image_id, label, gt, difficult, box`` from one XML text per image; corners count from 0."""
+    rows = documents.select(F.from_xml("text", VOC).alias("a")).select("a.*")
     image = F.regexp_replace("filename", r"\.[^.]+$", "")
     return rows.select(image.alias("image_id"), F.posexplode("object").alias("gt", "o")).select(
         "image_id", F.col("o.name").alias("label"), "gt", (F.coalesce("o.difficult", F.lit(0)) == 1).alias("difficult"),

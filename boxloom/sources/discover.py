@@ -93,7 +93,7 @@ def dedup_outputs(files: DataFrame, keep: str = "newest") -> DataFrame:
     """Which of several outputs for one image to keep: ``newest``, ``oldest`` or ``largest``.
 
     ``files(folder, file_name, modified, size)``.  Adds ``stem``, ``copies`` and ``keep``; nothing is deleted."""
-    order = {"newest": F.struct(-F.unix_micros("modified"), "file_name"), "oldest": F.struct(F.unix_micros("modified"), "file_name"),
+    order = {"newest": F.struct(-F.unix_micros(F.col("modified").cast("timestamp")), "file_name"), "oldest": F.struct(F.unix_micros(F.col("modified").cast("timestamp")), "file_name"),
              "largest": F.struct(-F.col("size"), "file_name")}[keep]
     named = files.withColumn("stem", original_stem(F.col("file_name")))
     best = named.groupBy("folder", "stem").agg(F.min_by("file_name", order).alias("_best"), F.count("*").alias("copies"))

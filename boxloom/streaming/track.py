@@ -3,7 +3,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from boxloom import scale
@@ -14,26 +14,43 @@ from boxloom.operators.overlap import overlap_pairs
 BOX = ["x1", "y1", "x2", "y2"]
 
 
-def track_frames(df: DataFrame, iou: float = 0.5, hot: bool | None = None) -> DataFrame:
-    """Ids for boxes ``(video_id, frame, idx, box)`` when lost objects are not remembered.
+def frame_links(df: DataFrame, iou: float = 0.5, best_first: bool = False, hot: bool | None = None) -> DataFrame:
+    """Which box of the frame before each box continues: ``video_id, f, idx, prev``.
 
-    Then a frame depends on the one before it only: boxes of neighbouring frames are paired one to one,
-    largest overlap first, for all frames at once; the pairs form chains, and each chain is one object.
-    Its head is found by doubling steps, so a long video takes few rounds and is never
-    held by one task.  Ids count heads in (frame, idx) order; frames are numbered without gaps by the
-    frames that occur."""
-    frames = df.select("video_id", "frame").distinct()
-    dense = scale.running(frames, ["video_id"], [F.col("frame")], number="f", hot=hot)
-    at = df.join(dense, ["video_id", "frame"])
+    ``f`` numbers the frames that occur.  Boxes pair one to one where they overlap enough, in order of
+    (idx, prev) or, with ``best_first``, largest overlap first."""
+    dense = _dense_frames(df, hot)
+    return _links(df.join(dense, ["video_id", "frame"]), iou, best_first, hot)
+
+
+def _dense_frames(df, hot):
+    return scale.running(df.select("video_id", "frame").distinct(), ["video_id"], [F.col("frame")], number="f", hot=hot)
+
+
+def _links(at: DataFrame, iou: float, best_first: bool, hot: bool | None) -> DataFrame:
     now = at.select("video_id", "f", "idx", *BOX)
     before = at.select("video_id", (F.col("f") + 1).alias("f"), "idx", *BOX)
     pairs = overlap_pairs(now, before, iou, keys=["video_id", "f"], inclusive=False, hot=hot).select(
         "video_id", "f", F.col("l.idx").alias("idx"), F.col("r.idx").alias("prev"), "iou")
-    links = leaders(pairs, ["video_id", "f"], [("iou", True), ("idx", False), ("prev", False)], ["idx", "prev"],
-                    lambda k, m: (k["idx"] == m["idx"]) | (k["prev"] == m["prev"]),
-                    F.array(F.concat(F.lit("n"), "idx"), F.concat(F.lit("p"), "prev")), ["idx", "prev"], hot=hot)
+    first = [("iou", True)] if best_first else []
+    return leaders(pairs, ["video_id", "f"], [*first, ("idx", False), ("prev", False)], ["idx", "prev"],
+                   lambda k, m: (k["idx"] == m["idx"]) | (k["prev"] == m["prev"]),
+                   F.array(F.concat(F.lit("n"), "idx"), F.concat(F.lit("p"), "prev")), ["idx", "prev"],
+                   hot=hot).select("video_id", "f", "idx", "prev")
+
+
+def track_frames(df: DataFrame, iou: float = 0.5, best_first: bool = False, hot: bool | None = None) -> DataFrame:
+    """Ids for boxes ``(video_id, frame, idx, box)`` when lost objects are not remembered.
+
+    Then a frame depends on the one before it only: boxes of neighbouring frames are paired one to one
+    for all frames at once (``frame_links``); the pairs form chains, and each chain is one object.
+    Its head is found by doubling steps, so a long video takes few rounds and is never
+    held by one task.  Ids count heads in (frame, idx) order; frames are numbered without gaps by the
+    frames that occur."""
+    at = df.join(_dense_frames(df, hot), ["video_id", "frame"])
+    links = _links(at, iou, best_first, hot)
     node = lambda f, i: F.struct(f.alias("f"), i.alias("idx"))
-    state = at.join(links.select("video_id", "f", "idx", "prev"), ["video_id", "f", "idx"], "left").select(
+    state = at.join(links, ["video_id", "f", "idx"], "left").select(
         "video_id", node(F.col("f"), F.col("idx")).alias("me"),
         F.when(F.col("prev").isNotNull(), node(F.col("f") - 1, F.col("prev"))).otherwise(node(F.col("f"), F.col("idx"))).alias("up"))
     state = scale.checkpointed(state)
@@ -77,7 +94,8 @@ class _Tracker:
             union = size(boxes)[:, None] + size(prev)[None, :] - inter
             iou = np.divide(inter, union, out=np.zeros_like(inter), where=union > 0)
             i, j = np.nonzero(iou >= opts["iou"])
-            for k in np.lexsort((j, i, -iou[i, j])):
+            order = np.lexsort((j, i, -iou[i, j])) if opts["best_first"] else range(len(i))
+            for k in order:
                 a, b = i[k], j[k]
                 if ids[a] is None and b not in used:
                     ids[a], period[a] = self.ids[b], self.period[b] + 1
@@ -107,8 +125,8 @@ def _run(tracker: _Tracker, pdf: pd.DataFrame, opts: dict) -> pd.DataFrame:
     return pd.concat(parts) if parts else pdf.assign(track_id=[], period=[])
 
 
-def _options(iou, max_lost, min_period, min_size, width, height):
-    return dict(iou=iou, max_lost=max_lost, min_period=min_period, min_size=min_size, width=width, height=height)
+def _options(iou, max_lost, min_period, min_size, width, height, best_first):
+    return dict(iou=iou, best_first=best_first, max_lost=max_lost, min_period=min_period, min_size=min_size, width=width, height=height)
 
 
 OUTPUT = "video_id bigint, frame int, idx int, x1 double, y1 double, x2 double, y2 double, track_id bigint, period bigint"
@@ -117,12 +135,12 @@ INPUT = ["video_id", "frame", "idx", *BOX]
 
 
 def track_with_memory(df: DataFrame, max_lost: int, iou: float = 0.5, min_period: int = 1, min_size: float = 0.02,
-                      width: float = 1920, height: float = 1080) -> DataFrame:
+                      width: float = 1920, height: float = 1080, best_first: bool = False) -> DataFrame:
     """Ids when an object may be lost for up to ``max_lost`` frames and return.
 
     Now each frame depends on all before it.  Videos are hashed to tasks and sorted by frame; a task reads its
     rows as a stream of batches and holds only the objects last seen, whatever the length of a video."""
-    opts = _options(iou, max_lost, min_period, min_size, width, height)
+    opts = _options(iou, max_lost, min_period, min_size, width, height, best_first)
 
     def follow(frames):
         video, tracker, rest = None, None, None
@@ -144,13 +162,13 @@ def track_with_memory(df: DataFrame, max_lost: int, iou: float = 0.5, min_period
 
 
 def track_stream(stream: DataFrame, max_lost: int = 0, iou: float = 0.5, min_period: int = 1, min_size: float = 0.02,
-                 width: float = 1920, height: float = 1080, idle: str | None = None, lateness: str = "1 minute") -> DataFrame:
+                 width: float = 1920, height: float = 1080, best_first: bool = False, lateness: str = "1 minute") -> DataFrame:
     """The same on a stream keyed by video.  State per video is the objects last seen.  Frames at or before
     the last processed one are late and dropped.  With a ``ts`` column, a watermark lets the
     state of videos end that stay silent past it."""
     from pyspark.sql.streaming.state import GroupStateTimeout
 
-    opts = _options(iou, max_lost, min_period, min_size, width, height)
+    opts = _options(iou, max_lost, min_period, min_size, width, height, best_first)
     timed = "ts" in stream.columns
 
     def follow(key, frames, state):
