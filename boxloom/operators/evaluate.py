@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from boxloom import scale
 from boxloom.functions import boxes as B
 from boxloom.operators.greedy import leaders
-from boxloom.operators.overlap import overlap_pairs
+from boxloom.operators.overlap import PAIR_LIMIT, overlap_pairs
 from boxloom.operators.sampling import top_per_image
 
 BOX = ["x1", "y1", "x2", "y2"]
@@ -24,12 +24,18 @@ MORE_AREAS = {"96-128": (96 ** 2, 128 ** 2), "128-256": (128 ** 2, 256 ** 2), "2
               "512-inf": (512 ** 2, 1e10)}
 
 
+def crowded(pred: DataFrame, gt: DataFrame) -> bool:
+    """Whether some image has too many boxes for the plain per-image plans."""
+    return any(scale.has_oversized(df, ["image_id"], PAIR_LIMIT) for df in (pred, gt))
+
+
 def match_detections(pred: DataFrame, gt: DataFrame, thresholds: list[float] = [0.5], hot: bool | None = None) -> DataFrame:
     """Right and wrong detections of each class at each threshold (arrays ``tp``, ``fp``).
 
     A detection looks at the ground truth of its class it overlaps most (inclusive pixels).  Above the
     threshold the first detection of a ground truth, by score, is right and later ones wrong; matches to
     ``difficult`` ground truth do not count; all others are wrong."""
+    hot = crowded(pred, gt) if hot is None else hot
     hard = F.coalesce(F.col("r.difficult"), F.lit(False)) if "difficult" in gt.columns else F.lit(False)
     gcols = ["image_id", "label", "gt", *BOX] + (["difficult"] if "difficult" in gt.columns else [])
     keys = ["image_id", "label"]
@@ -73,7 +79,7 @@ def pr_points(matches: DataFrame, npos: DataFrame, n: int, keys: list[str] = ["l
     point = F.array(*[F.when(F.col("tp")[i], F.struct(F.lit(i).alias("t"), F.col(f"_tp{i}").alias("tp"),
                                                       F.col(f"_fp{i}").alias("fp"))) for i in range(n)])
     flat = cum.select(*keys, F.explode(F.filter(point, lambda s: s.isNotNull())).alias("s")).select(*keys, "s.*")
-    return flat.join(scale.maybe_broadcast(npos), keys).select(
+    return flat.join(npos, keys).select(
         *keys, "t", "tp", "npos", (F.col("tp") / (F.col("tp") + F.col("fp"))).alias("precision"),
         (F.col("tp") / F.col("npos")).alias("recall"))
 
@@ -107,7 +113,8 @@ def voc_ap(pred: DataFrame, gt: DataFrame, thresholds: list[float] = [0.5], meth
     """AP per class and threshold: ``label, threshold, ap``."""
     npos = positives(gt)
     n = len(thresholds)
-    ap = average_precision(pr_points(match_detections(pred, gt, thresholds, hot), npos, n, hot=hot), npos, n, method, hot=hot)
+    wide = scale.has_oversized(pred, ["label"], scale.WINDOW_LIMIT) if hot is None else hot
+    ap = average_precision(pr_points(match_detections(pred, gt, thresholds, hot), npos, n, hot=wide), npos, n, method, hot=wide)
     return ap.select("label", F.array(*[F.lit(t) for t in thresholds])[F.col("t")].alias("threshold"), "ap")
 
 
@@ -123,6 +130,7 @@ def simple_matches(pred: DataFrame, gt: DataFrame, iou: float = 0.5, hot: bool |
 
     It is right if that one has its label, at ``iou`` or more (continuous pixels), and no better-scored
     detection took it."""
+    hot = crowded(pred, gt) if hot is None else hot
     pairs = overlap_pairs(pred.select("image_id", "label", "det", "score", *BOX), gt.select("image_id", "label", "gt", *BOX),
                           iou * 0.999, inclusive=False, hot=hot)
     value = B.iou(B.of("l"), B.of("r"), plus=1e-6)
@@ -143,7 +151,8 @@ def simple_map(pred: DataFrame, gt: DataFrame, iou: float = 0.5, confidence: flo
     kept = pred.where(F.col("score") >= confidence)
     matches = simple_matches(kept, gt, iou, hot)
     npos = positives(gt)
-    ap = average_precision(pr_points(matches, npos, 1, hot=hot), npos, 1, "eleven").select("label", "ap")
+    wide = scale.has_oversized(kept, ["label"], scale.WINDOW_LIMIT) if hot is None else hot
+    ap = average_precision(pr_points(matches, npos, 1, hot=wide), npos, 1, "eleven").select("label", "ap")
     counts = matches.groupBy("label").agg(F.count_if(F.col("tp")[0]).alias("tp"), F.count_if(F.col("fp")[0]).alias("fp"))
     full = counts.join(npos, "label", "full").join(ap, "label", "left").select(
         "label", F.coalesce("tp", F.lit(0)).alias("tp"), F.coalesce("fp", F.lit(0)).alias("fp"),
@@ -162,6 +171,7 @@ def proposal_recall(proposals: DataFrame, gt: DataFrame, limit: int = 100, areas
 
     Proposals and ground truth are paired one to one, largest overlap first (continuous pixels).
     ``skip_empty`` leaves out the ground truth of images without any proposal."""
+    hot = crowded(proposals, gt) if hot is None else hot
     top = top_per_image(proposals, limit, [F.col("score").desc(), F.col("det")])
     if skip_empty:
         gt = gt.join(top.select("image_id"), "image_id", "left_semi")
@@ -194,6 +204,7 @@ def coco_matches(pred: DataFrame, gt: DataFrame, thresholds: list[float] = THRES
 
     Choosing in turn equals walking all candidate pairs in order of (detection, preference) and
     accepting those whose two ends are free."""
+    hot = crowded(pred, gt) if hot is None else hot
     keys = ["image_id", "label"]
     crowd = F.coalesce("iscrowd", F.lit(0)) == 1 if "iscrowd" in gt.columns else F.lit(False)
     size = F.col("area").cast("double") if "area" in gt.columns else B.area(B.cols())
@@ -247,7 +258,8 @@ def coco_class_ap(pred: DataFrame, gt: DataFrame, thresholds: list[float] = THRE
         matches = coco_matches(pred, gt, thresholds, areas, max_dets, hot)
     npos = _countable(gt, areas)
     n = len(thresholds)
-    ap = average_precision(pr_points(matches, npos, n, keys, hot), npos, n, "hundred", keys, hot)
+    wide = scale.has_oversized(pred, ["label"], scale.WINDOW_LIMIT) if hot is None else hot
+    ap = average_precision(pr_points(matches, npos, n, keys, wide), npos, n, "hundred", keys, wide)
     return ap.select(*keys, F.array(*[F.lit(t) for t in thresholds])[F.col("t")].alias("threshold"), "ap")
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from boxloom import scale
 from boxloom.functions import boxes as B
 from boxloom.functions import text as T
-from boxloom.operators.overlap import best_match
+from boxloom.operators.overlap import PAIR_LIMIT, best_match
 
 BOX = ["x1", "y1", "x2", "y2"]
 
@@ -89,7 +89,8 @@ def add_masks(objects: DataFrame, sources: dict[str, DataFrame], iou: float = 0.
     ``sources``: name to ``(image_id, seq, box, segmentation)``, in order of preference.  A mask fits
     at IoU and Dice at least the thresholds (inclusive pixels); of equal fits the first counts.  The
     mask's box replaces the object's and ``segmentation_source`` names its source."""
-    out = objects
+    if hot is None:
+        hot = any(scale.has_oversized(df, ["image_id"], PAIR_LIMIT) for df in (objects, *sources.values()))
     picked = None
     for rank, (name, masks) in enumerate(sources.items()):
         value = F.struct(F.lit(rank).alias("rank"), F.lit(name).alias("source"), *[F.col("r")[c].alias(c) for c in BOX],
@@ -98,7 +99,7 @@ def add_masks(objects: DataFrame, sources: dict[str, DataFrame], iou: float = 0.
                           iou, ["id"], ["seq"], value, dice=dice, hot=hot).select("image_id", "id", "match")
         picked = best if picked is None else picked.unionByName(best)
     first = picked.groupBy("image_id", "id").agg(F.min_by("match", "match.rank").alias("m"))
-    out = out.join(first, ["image_id", "id"], "left")
+    out = objects.join(first, ["image_id", "id"], "left")
     return out.select(*[c for c in objects.columns if c not in BOX],
                       *[F.coalesce(F.col("m")[c], F.col(c)).alias(c) for c in BOX],
                       F.col("m.segmentation").alias("segmentation"), F.col("m.source").alias("segmentation_source"))

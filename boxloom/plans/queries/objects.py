@@ -3,6 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from boxloom import scale
 from boxloom.functions import text as T
 from boxloom.operators import affordances, ground, merge, relate, scene, vote
 from boxloom.plans.queries import sqltext as S
@@ -471,7 +472,8 @@ def build_annotations(t):
     landmarks = with_landmark(t).select("image_id", "landmark")
     masks = {"SAM": d.where("priority = 4").select("image_id", "seq", *BOX, F.col("seq").alias("segmentation")),
              "EVA": d.where("priority = 1").select("image_id", "seq", *BOX, F.col("seq").alias("segmentation"))}
-    dense = annotate.scene_texts(second, t.images, t.captions, landmarks).withColumnRenamed("scene_text", "caption")
+    # the scene texts stand in for the dense captions a model would write from them, which are a stored table
+    dense = scale.checkpointed(annotate.scene_texts(second, t.images, t.captions, landmarks).withColumnRenamed("scene_text", "caption"))
     about = t.part.select(F.col("p_type").alias("class_name"), F.concat(F.lit("about "), "p_type").alias("description")).distinct()
     docs = annotate.finish(first, second, t.images, t.captions, landmarks, dense, masks, about)
     n = lambda c: F.coalesce(F.size(c), F.lit(0))

@@ -6,10 +6,9 @@ window sums and row numbers over groups of any size.
 """
 from __future__ import annotations
 
-import os
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 GROUP_LIMIT = 2_000          # rows of one group that an array fold may hold
@@ -19,11 +18,13 @@ BROADCAST_ROWS = 200_000     # rows a side may have to be broadcast
 
 def checkpointed(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder, cutting its lineage."""
-    sc = SparkSession.active().sparkContext
+    sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
         folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
         if folder is None:
-            folder = tempfile.mkdtemp(prefix="boxloom-checkpoint-", dir=os.environ.get("TMPDIR"))
+            if not sc.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+            folder = tempfile.mkdtemp(prefix="boxloom-checkpoint-")
         sc.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from boxloom import scale
 from boxloom.functions import boxes as B
 from boxloom.operators.greedy import leaders
-from boxloom.operators.overlap import overlap_pairs
+from boxloom.operators.overlap import PAIR_LIMIT, overlap_pairs
 
 BOX = ["x1", "y1", "x2", "y2"]
 
@@ -19,11 +19,18 @@ def frame_links(df: DataFrame, iou: float = 0.5, best_first: bool = False, hot:
 
     ``f`` numbers the frames that occur.  Boxes pair one to one where they overlap enough, in order of
     (idx, prev) or, with ``best_first``, largest overlap first."""
+    hot = _crowded(df) if hot is None else hot
     dense = _dense_frames(df, hot)
     return _links(df.join(dense, ["video_id", "frame"]), iou, best_first, hot)
 
 
-def _dense_frames(df, hot):
+def _crowded(df: DataFrame) -> bool:
+    """A frame with very many boxes, or a video too long for one window."""
+    return (scale.has_oversized(df, ["video_id", "frame"], PAIR_LIMIT)
+            or scale.has_oversized(df, ["video_id"], scale.WINDOW_LIMIT))
+
+
+def _dense_frames(df: DataFrame, hot: bool) -> DataFrame:
     return scale.running(df.select("video_id", "frame").distinct(), ["video_id"], [F.col("frame")], number="f", hot=hot)
 
 
@@ -47,6 +54,7 @@ def track_frames(df: DataFrame, iou: float = 0.5, best_first: bool = False, hot:
     Its head is found by doubling steps, so a long video takes few rounds and is never
     held by one task.  Ids count heads in (frame, idx) order; frames are numbered without gaps by the
     frames that occur."""
+    hot = _crowded(df) if hot is None else hot
     at = df.join(_dense_frames(df, hot), ["video_id", "frame"])
     links = _links(at, iou, best_first, hot)
     node = lambda f, i: F.struct(f.alias("f"), i.alias("idx"))
