@@ -229,11 +229,10 @@ def candidate_phrases(caption: Column) -> Column:
     cut = F.regexp_replace(F.lower(caption), rf"(?U)\b(?:{stop})\b", "|")
     runs = F.transform(F.split(cut, r"[|.,;:!?()\[\]\"\n]+"), lambda r: F.trim(F.regexp_replace(r, r"\s+", " ")))
     long = F.filter(runs, lambda r: F.contains(r, F.lit(" ")))
-    # exact repeats first: a cheap pass that shortens the containment fold
-    long = F.array_distinct(long)
-    kept = F.aggregate(long, F.array().cast("array<string>"), lambda acc, r: F.when(
-        F.exists(acc, lambda k: F.contains(k, r)), acc).otherwise(F.concat(acc, F.array(r))))
-    return F.transform(kept, lambda p: F.struct(F.element_at(F.split(p, " "), -1).alias("noun"), p.alias("phrase")))
+    # accepted phrases are held as one string with marks between, so each test is a single search
+    kept = F.aggregate(F.array_distinct(long), F.lit(""), lambda acc, r: F.when(
+        F.contains(acc, r), acc).otherwise(F.concat(acc, F.lit("|"), r)))
+    return F.transform(F.filter(F.split(kept, r"\|"), lambda p: p != ""), lambda p: F.struct(F.element_at(F.split(p, " "), -1).alias("noun"), p.alias("phrase")))
 
 
 def single_nouns(caption: Column) -> Column:

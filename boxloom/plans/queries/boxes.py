@@ -3,6 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from boxloom import scale
 from boxloom.functions import boxes as B
 from boxloom.operators import dedup, filters, masks, merge, overlap, vote
 from boxloom.plans.queries import sqltext as S
@@ -94,8 +95,14 @@ def vote_query(t):
         F.coalesce(F.array_join("attributes", ","), F.lit("")).alias("attributes"))
 
 
-def level1(t, hot=None):
+def crowded(t) -> bool:
+    """The one size check of a chain: its later steps hold no more rows per image than its input."""
+    return scale.has_oversized(t.detections, ["image_id"], overlap.PAIR_LIMIT)
+
+
+def level1(t):
     """Objects and floating objects with ids, from all detections."""
+    hot = crowded(t)
     return vote.assign_ids(vote.vote(t.detections, hot=hot), hot=hot)
 
 
@@ -134,10 +141,7 @@ def registered_model_threshold(t):
   select image_id, id, score, votes, coalesce(array_to_string(labels, ','), '') as labels from numbered where kind = 'object'""", D)
 def agreed_objects(t):
     """Objects that survive suppression, thresholds and voting."""
-    d = t.detections
-    from boxloom import scale
-
-    hot = scale.has_oversized(d, ["image_id"], scale.GROUP_LIMIT)
+    d, hot = t.detections, crowded(t)
     kept = vote.model_threshold(dedup.nms(d, hot=hot))
     ids = vote.assign_ids(vote.vote(kept, hot=hot), hot=hot)
     return ids.where("kind = 'object'").select("image_id", "id", "score", "votes", F.array_join("labels", ",").alias("labels"))

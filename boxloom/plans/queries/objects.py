@@ -7,7 +7,7 @@ from boxloom import scale
 from boxloom.functions import text as T
 from boxloom.operators import affordances, ground, merge, relate, scene, vote
 from boxloom.plans.queries import sqltext as S
-from boxloom.plans.queries.boxes import VOTED, level1
+from boxloom.plans.queries.boxes import crowded
 from boxloom.plans.registry import query
 
 D, DI = ("detections",), ("detections", "images")
@@ -38,6 +38,15 @@ def phrase_boxes(t):
     return d.select("image_id", "seq", F.concat(F.lit("The  "), F.col("label")).alias("phrase"), F.col("label").alias("noun"), *BOX)
 
 
+def related(t):
+    return relate.relate(plain_objects(t), phrase_boxes(t), hot=crowded(t))
+
+
+def promoted(t):
+    hot = crowded(t)
+    return relate.promote(*relate.relate(plain_objects(t), phrase_boxes(t), hot=hot), hot=hot)
+
+
 # ---- phrases and objects --------------------------------------------------------------------
 
 _M = f"{S.iou('o', 'p', 1)} > 0.75"
@@ -60,7 +69,7 @@ links as (select image_id, seq, 0 as part, phrase, label, object_id as id, 'obje
 
 @query("relate_links", f"with {RELATE} select image_id, cast(seq as int) as seq, part, phrase, cast(id as int) as id, kind from links", D)
 def relate_links(t):
-    return relate.relate(plain_objects(t), phrase_boxes(t))[1]
+    return related(t)[1]
 
 
 _RELATED = RELATE + """,
@@ -73,7 +82,7 @@ robj as (select o.image_id, o.kind, o.id, case when g.extra is null or o.kind =
 
 @query("relate_objects", f"with {_RELATED} select image_id, kind, id, len(labels) as n, array_to_string(list_sort(labels), ',') as labels from robj", D)
 def relate_objects(t):
-    objs = relate.relate(plain_objects(t), phrase_boxes(t))[0]
+    objs = related(t)[0]
     return objs.select("image_id", "kind", "id", F.size("labels").cast("long").alias("n"), F.array_join(F.array_sort("labels"), ",").alias("labels"))
 
 
@@ -85,14 +94,14 @@ plinks as (select l.image_id, l.seq, l.part, l.phrase, p.new_id as id, p.new_kin
 
 @query("promote_objects", f"with {_PROMOTED} select image_id, id as old_id, new_id as id, new_kind as kind from pro", D)
 def promote_objects(t):
-    objs, _ = relate.promote(*relate.relate(plain_objects(t), phrase_boxes(t)))
+    objs, _ = promoted(t)
     return objs.select("image_id", "old_id", "id", "kind")
 
 
 @query("grounding", f"""with {_PROMOTED} select image_id, phrase, array_to_string(list(id order by seq, part), ',') as object_ids
   from plinks group by 1, 2""", D)
 def grounding(t):
-    _, links = relate.promote(*relate.relate(plain_objects(t), phrase_boxes(t)))
+    _, links = promoted(t)
     return relate.grounding(links).select("image_id", "phrase", csv("object_ids").alias("object_ids"))
 
 
@@ -102,7 +111,7 @@ def grounding(t):
   select image_id, coalesce(object_ids, '') as object_ids, coalesce(floating_object_ids, '') as floating_object_ids, coalesce(phrases, 0) as phrases
   from images left join r using (image_id)""", DI)
 def relationships(t):
-    _, links = relate.promote(*relate.relate(plain_objects(t), phrase_boxes(t)))
+    _, links = promoted(t)
     r = relate.relationships(t.images, links)
     return r.select("image_id", csv("object_ids").alias("object_ids"), csv("floating_object_ids").alias("floating_object_ids"),
                     F.size("grounding").cast("long").alias("phrases"))
@@ -289,8 +298,13 @@ GROUPED = f"""{LAYER}, pl as ({S.leaders('lay', 'image_id, layer', 'id', f'i :=
   grp as (select mem.*, group_id from mem join hd using (image_id, layer, head_id))"""
 
 
-def layered(t):
-    return scene.depth_layers(scene.scene_objects(deep_objects(t), 100))
+def layered(t, hot=None):
+    return scene.depth_layers(scene.scene_objects(deep_objects(t), 100, hot))
+
+
+def grouped(t):
+    hot = crowded(t)
+    return scene.proximity_groups(layered(t, hot), 10.0, hot=hot)
 
 
 @query("sample_objects", f"""with {OBJ}, n as (select image_id, count(*) as n from objs group by 1),
@@ -307,7 +321,7 @@ def depth_layers(t):
 
 @query("proximity_groups", f"with {GROUPED} select image_id, id, layer, head_id, group_id from grp", D)
 def proximity_groups(t):
-    return scene.proximity_groups(layered(t), 10.0).select("image_id", "id", "layer", "head_id", "group_id")
+    return grouped(t).select("image_id", "id", "layer", "head_id", "group_id")
 
 
 def phrase_grounding(t):
@@ -323,7 +337,7 @@ _GR = "gr as (select image_id, labels[1] as phrase, min(id) as pos, list(id orde
 @query("relationship_groups", f"""with {GROUPED}, {_GR}, f as (select image_id, phrase, unnest(object_ids) as id from gr)
   select image_id, phrase, string_agg(coalesce(group_id, -1), ',' order by id) as group_ids from f left join grp using (image_id, id) group by 1, 2""", D)
 def relationship_groups(t):
-    g = scene.proximity_groups(layered(t), 10.0)
+    g = grouped(t)
     return scene.relationship_groups(phrase_grounding(t), g).select("image_id", "phrase", csv("group_ids").alias("group_ids"))
 
 
@@ -342,7 +356,7 @@ def relationship_groups(t):
       || chr(10) || 'Landmarks:' || chr(10) || 'Outdoor scene, ' || class_name || chr(10), '_', ' ') end as scene_text
   from images left join gph using (image_id) left join rels using (image_id)""", DI)
 def scene_text(t):
-    g = scene.proximity_groups(layered(t), 10.0)
+    g = grouped(t)
     r = scene.relationship_groups(phrase_grounding(t), g)
     return scene.scene_text(with_landmark(t), g, r)
 
@@ -371,7 +385,7 @@ def scene_struct(t):
   select image_id, replace('Objects:' || chr(10) || coalesce(t, '') || chr(10) || 'Landmarks:' || chr(10) || 'Outdoor scene, ' || class_name || chr(10), '_', ' ') as context_text
   from images left join tx using (image_id)""", DI)
 def object_list_text(t):
-    return scene.object_list_text(with_landmark(t), plain_objects(t), 4)
+    return scene.object_list_text(with_landmark(t), plain_objects(t), 4, crowded(t))
 
 
 # ---- grounding ---------------------------------------------------------------------------------------
