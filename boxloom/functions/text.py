@@ -31,6 +31,11 @@ STOPWORDS = ("a about above after again all also am an and any are as at be beca
              "were what when where which while who whom why will with would you your").split()
 
 
+def strip(text: Column) -> Column:
+    """A text without white space, line ends included, at both ends."""
+    return F.btrim(text, F.lit(" \t\n\r\x0b\x0c"))
+
+
 def stem(name: Column) -> Column:
     """A file name without its last extension."""
     return F.regexp_replace(name, r"\.[^.]+$", "")
@@ -51,14 +56,14 @@ def person_word(label: Column) -> Column:
 def parse_tags(response: Column) -> Column:
     """The cleaned, distinct tags of a response: the bracketed list after ``TAGS:``, or else the
     first bracketed list."""
-    r = F.trim(response)
+    r = strip(response)
     marked = F.regexp_extract(r, r"(?is)TAGS?\s*:\s*\[(.*?)\]", 1)
     first = F.regexp_extract(r, r"(?s)\[(.*?)\]", 1)
     has_mark = r.rlike(r"(?is)TAGS?\s*:\s*\[(.*?)\]")
     raw = F.split(F.when(has_mark, marked).otherwise(first), ",")
 
     def clean(t: Column) -> Column:
-        t = F.regexp_replace(F.trim(t), r"""^["']|["']$""", "")
+        t = F.regexp_replace(strip(t), r"""^["']|["']$""", "")
         return F.regexp_replace(F.replace(F.lower(t), F.lit(" "), F.lit("_")), r"(?U)[^\w_]", "")
 
     return F.array_distinct(F.filter(F.transform(raw, clean), lambda t: t != ""))
@@ -67,19 +72,19 @@ def parse_tags(response: Column) -> Column:
 def parse_caption(response: Column) -> Column:
     """The caption of a response: the text after ``CAPTION:`` up to a line with tags, or else what
     follows the first bracketed list; wrapping quotes removed."""
-    r = F.trim(response)
+    r = strip(response)
     pattern = r"(?is)CAPTION\s*:\s*(.+?)(?=\n\s*(?:TAGS|\z)|\z)"
     strict = r"(?is)CAPTION\s*:\s*(.+?)(?=\n\s*(?:TAGS|\z))"
     marked = F.when(r.rlike(strict), F.regexp_extract(r, strict, 1)).otherwise(F.regexp_extract(r, pattern, 1))
     after = F.regexp_replace(r, r"(?s)^.*?\[.*?\]", "")
-    after = F.when(r.rlike(r"(?s)\[.*?\]"), F.regexp_replace(F.trim(after), r"(?i)^CAPTION\s*:\s*", "")).otherwise("")
-    c = F.trim(F.when(r.rlike(pattern), marked).otherwise(after))
+    after = F.when(r.rlike(r"(?s)\[.*?\]"), F.regexp_replace(strip(after), r"(?i)^CAPTION\s*:\s*", "")).otherwise("")
+    c = strip(F.when(r.rlike(pattern), marked).otherwise(after))
     wrapped = c.rlike(r"""(?s)^".*"$""") | c.rlike(r"(?s)^'.*'$")
-    return F.when(wrapped, F.trim(c.substr(F.lit(2), F.length(c) - 2))).otherwise(c)
+    return F.when(wrapped, strip(c.substr(F.lit(2), F.length(c) - 2))).otherwise(c)
 
 
 def sentence_count(caption: Column) -> Column:
-    return F.size(F.filter(F.split(caption, r"[.!?]+"), lambda s: F.trim(s) != ""))
+    return F.size(F.filter(F.split(caption, r"[.!?]+"), lambda s: strip(s) != ""))
 
 
 def tags_valid(tags: Column) -> Column:
@@ -93,7 +98,7 @@ def caption_valid(caption: Column) -> Column:
 
 def caption_status(caption: Column, finish_reason: Column | None = None) -> Column:
     """generation_error / empty_caption / caption_too_short / ok of a generated caption."""
-    t = F.trim(caption)
+    t = strip(caption)
     return (F.when(caption.isNull(), "generation_error").when(t == "", "empty_caption")
             .when(F.length(t) < 10, "caption_too_short").otherwise("ok"))
 
@@ -114,7 +119,7 @@ def build_prompt(class_name: Column, description: Column, examples: Column | Non
 # ---- phrases ---------------------------------------------------------------------------
 
 def normalise_phrase(phrase: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(phrase), r"\s+", " "))
+    return strip(F.regexp_replace(F.lower(phrase), r"\s+", " "))
 
 
 def tokens(text: Column) -> Column:
@@ -138,7 +143,7 @@ def join_split_words(phrase: Column, vocabulary: Column) -> Column:
         return F.struct(F.when(known, F.concat(acc["done"], F.array(word))).otherwise(acc["done"]).alias("done"),
                         F.when(known, F.lit("")).otherwise(word).alias("part"))
 
-    pieces = F.filter(F.split(F.trim(phrase), r"\s+"), lambda w: w != "")
+    pieces = F.filter(F.split(strip(phrase), r"\s+"), lambda w: w != "")
     end = lambda acc: F.array_join(F.when(acc["part"] != "", F.concat(acc["done"], F.array(acc["part"]))
                                           ).otherwise(acc["done"]), " ")
     return F.aggregate(pieces, start, step, end)
@@ -165,7 +170,7 @@ def best_phrase(phrases: Column, caption: Column) -> Column:
 def strip_prefix(attribute: Column, lower: bool = False) -> Column:
     """Drop what stands before the first colon; later colons become spaces."""
     parts = F.split(attribute, ":")
-    cut = F.trim(F.array_join(F.slice(parts, F.lit(2), F.size(parts)), " "))
+    cut = strip(F.array_join(F.slice(parts, F.lit(2), F.size(parts)), " "))
     return F.when(F.contains(attribute, F.lit(":")), F.lower(cut) if lower else cut).otherwise(attribute)
 
 
@@ -176,7 +181,7 @@ def plural_match(a: Column, b: Column) -> Column:
 
 def find_span(phrase: Column, caption: Column) -> Column:
     """First place of a phrase in a caption, ignoring case: 0-based ``[start, end)``, or null."""
-    p, c = F.lower(F.trim(phrase)), F.lower(F.trim(caption))
+    p, c = F.lower(strip(phrase)), F.lower(strip(caption))
     at = F.position(p, c)
     return F.when(at > 0, F.array(at - 1, at - 1 + F.length(p)))
 
@@ -227,7 +232,7 @@ def candidate_phrases(caption: Column) -> Column:
     phrases already part of an earlier accepted one."""
     stop = "|".join(STOPWORDS)
     cut = F.regexp_replace(F.lower(caption), rf"(?U)\b(?:{stop})\b", "|")
-    runs = F.transform(F.split(cut, r"[|.,;:!?()\[\]\"\n]+"), lambda r: F.trim(F.regexp_replace(r, r"\s+", " ")))
+    runs = F.transform(F.split(cut, r"[|.,;:!?()\[\]\"\n]+"), lambda r: strip(F.regexp_replace(r, r"\s+", " ")))
     long = F.filter(runs, lambda r: F.contains(r, F.lit(" ")))
     # accepted phrases are held as one string with marks between, so each test is a single search
     kept = F.aggregate(F.array_distinct(long), F.lit(""), lambda acc, r: F.when(
@@ -239,7 +244,7 @@ def single_nouns(caption: Column) -> Column:
     """Runs of exactly one word (see ``candidate_phrases``)."""
     stop = "|".join(STOPWORDS)
     cut = F.regexp_replace(F.lower(caption), rf"(?U)\b(?:{stop})\b", "|")
-    runs = F.transform(F.split(cut, r"[|.,;:!?()\[\]\"\n]+"), lambda r: F.trim(F.regexp_replace(r, r"\s+", " ")))
+    runs = F.transform(F.split(cut, r"[|.,;:!?()\[\]\"\n]+"), lambda r: strip(F.regexp_replace(r, r"\s+", " ")))
     return F.filter(runs, lambda r: F.size(tokens(r)) == 1)
 
 

@@ -9,6 +9,7 @@ from boxloom.plans.registry import query
 from boxloom.sources import predictions as P
 
 RESP, CAP = ("responses",), ("captions",)
+WS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"   # white space at the ends of a text
 W = "[\\p{L}\\p{M}\\p{N}_]"     # what the oracle's pattern language needs for a word character
 csv = lambda c: F.array_join(c, ",")
 
@@ -22,15 +23,15 @@ def responses(t):
     return r.withColumn("response", F.when(F.col("image_id") % 2 == 0, wrapped).otherwise(F.concat(F.lit("[One two, Three!, \"four\"] "), "response")))
 
 
-_RESP = """raw as (select image_id, attempt, case when image_id % 2 = 0 then
+_RESP = f"""raw as (select image_id, attempt, case when image_id % 2 = 0 then
    'TAGS: [' || array_to_string(regexp_extract_all(lower(response), '[a-z]+')[1:7], ', ') || ']' || chr(10) || 'CAPTION: ' || regexp_replace(response, '\\s+', ' ', 'g')
    else '[One two, Three!, "four"] ' || response end as response, response as body from responses),
  parsed as (select image_id, attempt, case when image_id % 2 = 0 then array_to_string(list_distinct_ordered, ',') else 'one_two,three,four' end as tags,
-   trim(case when image_id % 2 = 0 then trim(regexp_replace(body, '\\s+', ' ', 'g')) else trim(body) end) as caption from (
+   trim(case when image_id % 2 = 0 then trim(regexp_replace(body, '\\s+', ' ', 'g')) else trim(body, {WS}) end, {WS}) as caption from (
    select *, list_reduce(regexp_extract_all(lower(body), '[a-z]+')[1:7], lambda acc, x: case when list_contains(acc, x) then acc else list_append(acc, x) end,
      cast([] as varchar[])) as list_distinct_ordered from raw)),
  judged as (select *, case when tags = '' then 0 else len(string_split(tags, ',')) end as n, length(caption) as len,
-   len(list_filter(regexp_split_to_array(caption, '[.!?]+'), lambda s: trim(s) <> '')) as sentences from parsed)"""
+   len(list_filter(regexp_split_to_array(caption, '[.!?]+'), lambda s: trim(s, {WS}) <> '')) as sentences from parsed)"""
 
 
 @query("parse_tags", f"with {_RESP} select image_id, attempt, tags from parsed", RESP)
@@ -77,8 +78,8 @@ def build_prompt(t):
     return t.images.select("image_id", T.build_prompt(F.col("class_name"), F.col("dataset")).alias("prompt"))
 
 
-@query("validate_captions", """select conv_id, turn, case when text is null or turn = 7 then 'generation_error' when trim(b) = '' then 'empty_caption'
-   when length(trim(b)) < 10 then 'caption_too_short' else 'ok' end as status, turn % 4 = 3 as truncated
+@query("validate_captions", f"""select conv_id, turn, case when text is null or turn = 7 then 'generation_error' when trim(b, {WS}) = '' then 'empty_caption'
+   when length(trim(b, {WS})) < 10 then 'caption_too_short' else 'ok' end as status, turn % 4 = 3 as truncated
   from (select *, case when conv_id % 5 = 0 then '  ' when conv_id % 5 = 1 then substring(text, 1, 9) else text end as b from conversations)""")
 def validate_captions(t):
     b = F.when(F.col("conv_id") % 5 == 0, F.lit("  ")).when(F.col("conv_id") % 5 == 1, F.substring("text", 1, 9)).otherwise(F.col("text"))
@@ -126,8 +127,8 @@ def best_phrase(t):
     return t.conversations.where(F.size(w) >= 3).select("conv_id", "turn", T.best_phrase(phrases, F.col("text")).alias("phrase"))
 
 
-@query("strip_attribute_prefix", """select doc_id, case when contains(url, ':') then trim(replace(substring(url, instr(url, ':') + 1), ':', ' ')) else url end as plain,
-   case when contains(url, ':') then lower(trim(replace(substring(url, instr(url, ':') + 1), ':', ' '))) else url end as lowered
+@query("strip_attribute_prefix", f"""select doc_id, case when contains(url, ':') then trim(replace(substring(url, instr(url, ':') + 1), ':', ' '), {WS}) else url end as plain,
+   case when contains(url, ':') then lower(trim(replace(substring(url, instr(url, ':') + 1), ':', ' '), {WS})) else url end as lowered
   from (select page_id as doc_id, case when page_id % 3 = 0 then replace(url, ':', '') when page_id % 3 = 1 then url || ': End' else url end as url from pages)""")
 def strip_attribute_prefix(t):
     u = F.when(F.col("page_id") % 3 == 0, F.replace("url", F.lit(":"), F.lit(""))).when(F.col("page_id") % 3 == 1, F.concat("url", F.lit(": End"))).otherwise(F.col("url"))
@@ -141,8 +142,8 @@ def plural_match(t):
     return t.detections.where("priority = 2").select("image_id", "model", "seq", T.plural_match(a, b).alias("same"))
 
 
-@query("find_span", """select doc_id, case when instr(c, p) > 0 then instr(c, p) - 1 end as start, case when instr(c, p) > 0 then instr(c, p) - 1 + length(p) end as "end"
-  from (select doc_id, lower(trim(text)) as c, case when doc_id % 2 = 0 then 'the' else lower(trim(substring(text, 11, 8))) end as p from documents)""")
+@query("find_span", f"""select doc_id, case when instr(c, p) > 0 then instr(c, p) - 1 end as start, case when instr(c, p) > 0 then instr(c, p) - 1 + length(p) end as "end"
+  from (select doc_id, lower(trim(text, {WS})) as c, case when doc_id % 2 = 0 then 'the' else lower(trim(substring(text, 11, 8), {WS})) end as p from documents)""")
 def find_span(t):
     p = F.when(F.col("doc_id") % 2 == 0, " The ").otherwise(F.substring("text", 11, 8))
     s = T.find_span(p, F.col("text"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from boxloom import scale
 from boxloom.functions import boxes as B
+from boxloom.functions import text as T
 
 COCO = ("images array<struct<id:bigint,file_name:string,coco_url:string,width:int,height:int,"
         "neg_category_ids:array<int>,not_exhaustive_category_ids:array<int>>>,"
@@ -136,7 +137,7 @@ VOC = ("struct<filename:string,object:array<struct<name:string,difficult:int,"
 
 
 def read_voc(spark: SparkSession, path: str) -> DataFrame:
-    return parse_voc(spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path).select(
+    return parse_voc(spark.read.option("recursiveFileLookup", True).text(path, wholetext=True).select(
         F.col("value").alias("text")))
 
 
@@ -154,7 +155,7 @@ def parse_yolo(lines: DataFrame, images: DataFrame, limit: int | None = 100) ->
     """Boxes from ``class cx cy w h`` lines in shares of the image; lines with fewer than five fields are
     skipped, and the format's own limit of boxes per image applies (None for all).
     ``lines(image_id, line_no, line)``."""
-    f = F.split(F.trim("line"), r"\s+")
+    f = F.split(T.strip(F.col("line")), r"\s+")
     num = lambda i: f[i].cast("double")
     good = lines.where(F.size(f) >= 5)
     if limit is not None:
@@ -166,7 +167,7 @@ def parse_yolo(lines: DataFrame, images: DataFrame, limit: int | None = 100) ->
 
 
 def read_yolo(spark: SparkSession, path: str, images: DataFrame, limit: int | None = 100) -> DataFrame:
-    text = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path)
+    text = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True)
     name = F.regexp_replace(F.url_decode(F.element_at(F.split("_metadata.file_path", "/"), -1)), r"\.[^.]+$", "")
     lines = text.select(name.alias("image_id"), F.posexplode(F.split("value", r"\r?\n")).alias("line_no", "line"))
     return parse_yolo(lines, images, limit)
