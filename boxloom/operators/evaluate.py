@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from boxloom import scale
 from boxloom.functions import boxes as B
 from boxloom.operators.greedy import leaders
-from boxloom.operators.overlap import PAIR_LIMIT, overlap_pairs
+from boxloom.operators.overlap import PAIR_LIMIT, best_match, overlap_pairs
 from boxloom.operators.sampling import top_per_image
 
 BOX = ["x1", "y1", "x2", "y2"]
@@ -39,11 +39,9 @@ def match_detections(pred: DataFrame, gt: DataFrame, thresholds: list[float] = [
     hard = F.coalesce(F.col("r.difficult"), F.lit(False)) if "difficult" in gt.columns else F.lit(False)
     gcols = ["image_id", "label", "gt", *BOX] + (["difficult"] if "difficult" in gt.columns else [])
     keys = ["image_id", "label"]
-    pairs = overlap_pairs(pred.select(*keys, "det", "score", *BOX), gt.select(*gcols), min(thresholds), keys=keys,
-                          inclusive=True, strict=True, hot=hot)
-    best = pairs.groupBy(*keys, F.col("l.det").alias("det"), F.col("l.score").alias("score")).agg(
-        F.max("iou").alias("iou"), F.min_by(F.struct(F.col("r.gt").alias("gt"), hard.alias("hard")),
-                                            F.struct(-F.col("iou"), F.col("r.gt"))).alias("m"))
+    best = best_match(pred.select(*keys, "det", "score", *BOX), gt.select(*gcols), min(thresholds), ["det", "score"], ["gt"],
+                      F.struct(F.col("r.gt").alias("gt"), hard.alias("hard")), keys=keys, strict=True, hot=hot
+                      ).withColumnRenamed("match", "m")
     steps = F.array(*[F.lit(t) for t in thresholds])
     reached = F.size(F.filter(steps, lambda t: F.col("iou") > t))
     best = best.withColumn("_n", reached)
@@ -131,12 +129,9 @@ def simple_matches(pred: DataFrame, gt: DataFrame, iou: float = 0.5, hot: bool |
     It is right if that one has its label, at ``iou`` or more (continuous pixels), and no better-scored
     detection took it."""
     hot = crowded(pred, gt) if hot is None else hot
-    pairs = overlap_pairs(pred.select("image_id", "label", "det", "score", *BOX), gt.select("image_id", "label", "gt", *BOX),
-                          iou * 0.999, inclusive=False, hot=hot)
-    value = B.iou(B.of("l"), B.of("r"), plus=1e-6)
-    best = pairs.withColumn("v", value).where(F.col("v") >= iou).groupBy(
-        "image_id", F.col("l.det").alias("det"), F.col("l.score").alias("score"), F.col("l.label").alias("label")).agg(
-        F.min_by(F.struct(F.col("r.gt").alias("gt"), F.col("r.label").alias("label")), F.struct(-F.col("v"), F.col("r.gt"))).alias("m"))
+    best = best_match(pred.select("image_id", "label", "det", "score", *BOX), gt.select("image_id", "label", "gt", *BOX), iou,
+                      ["det", "score", "label"], ["gt"], F.struct(F.col("r.gt").alias("gt"), F.col("r.label").alias("label")),
+                      inclusive=False, plus=1e-6, hot=hot).withColumnRenamed("match", "m")
     first = (best.where(F.col("m.label") == F.col("label")).groupBy("image_id", F.col("m.gt"))
              .agg(F.min_by("det", F.struct(-F.col("score"), "det")).alias("det")).select("image_id", "det", F.lit(True).alias("_w")))
     out = pred.select("image_id", "label", "det", "score").join(first, ["image_id", "det"], "left")

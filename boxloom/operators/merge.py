@@ -142,15 +142,17 @@ def median_depth(objects: DataFrame, depth: DataFrame, width: int | None = None,
         "image_id", "id", F.greatest(zero, F.col("x1").cast("int")).alias("a"), F.greatest(zero, F.col("y1").cast("int")).alias("b"),
         F.least("_w", F.col("x2").cast("int")).alias("c"), F.least("_h", F.col("y2").cast("int")).alias("d")
     ).where("c > a and d > b")
-    tiles = cut.withColumn("tx", F.explode(F.expr(f"sequence(a div {cell}, (c - 1) div {cell})"))) \
+    # boxes with the same pixels share a median; it is taken once
+    tiles = cut.select("image_id", *"abcd").distinct().withColumn("tx", F.explode(F.expr(f"sequence(a div {cell}, (c - 1) div {cell})"))) \
         .withColumn("ty", F.explode(F.expr(f"sequence(b div {cell}, (d - 1) div {cell})")))
     pixels = depth.where("value <> 0").withColumn("tx", F.expr(f"cast(x div {cell} as bigint)")).withColumn(
         "ty", F.expr(f"cast(y div {cell} as bigint)"))
     hits = tiles.join(pixels, ["image_id", "tx", "ty"]).where("x >= a and x < c and y >= b and y < d")
     mid = F.percentile_approx("value", 0.5, 10_000) if approximate else F.percentile("value", F.lit(0.5))
     # through a decimal, so that noise in the last bits of the mean of two values does not decide
-    med = hits.groupBy("image_id", "id").agg(F.round(mid.cast("decimal(24,6)"), 2).cast("double").alias("depth"))
-    return objects.join(med, ["image_id", "id"], "left")
+    med = hits.groupBy("image_id", *"abcd").agg(F.round(mid.cast("decimal(24,6)"), 2).cast("double").alias("depth"))
+    per = cut.select("image_id", "id", *"abcd").join(med, ["image_id", *"abcd"]).select("image_id", "id", "depth")
+    return objects.join(per, ["image_id", "id"], "left")
 
 
 def add_depth(objects: DataFrame, depth: DataFrame, **size) -> DataFrame:

@@ -10,17 +10,20 @@ from boxloom.functions import boxes as B
 PAIR_LIMIT = 500   # boxes of one image beyond which pairs are found through grid cells
 
 
+BOX = ["x1", "y1", "x2", "y2"]
+
+
 def overlap_pairs(a: DataFrame, b: DataFrame, iou: float, *, keys: list[str] = ["image_id"],
-                  inclusive: bool = True, strict: bool = False, dice: float = 0.0, hot: bool | None = None,
-                  extra: Column | None = None) -> DataFrame:
+                  inclusive: bool = True, strict: bool = False, dice: float = 0.0, plus: float | None = None,
+                  hot: bool | None = None, extra: Column | None = None) -> DataFrame:
     """Pairs of boxes of one image whose overlap reaches the thresholds.
 
     Result: ``keys``, structs ``l`` and ``r`` with all other columns of each side, and ``iou``.
     Images with few boxes join on ``keys``; otherwise boxes are spread over grid cells, so
     that one crowded image is joined by many tasks and far-apart boxes never meet; a pair
-    sharing several cells is kept once, in the first cell both have."""
+    sharing several cells is kept once, in the first cell both have.  ``plus`` is added to the union."""
     if hot is None:
-        hot = scale.has_oversized(b, keys, PAIR_LIMIT) or scale.has_oversized(a, keys, PAIR_LIMIT)
+        hot = has_crowds(a, keys) or has_crowds(b, keys)
     left = a.select(*keys, F.struct(*[c for c in a.columns if c not in keys]).alias("l"))
     right = b.select(*keys, F.struct(*[c for c in b.columns if c not in keys]).alias("r"))
     on = list(keys)
@@ -34,7 +37,11 @@ def overlap_pairs(a: DataFrame, b: DataFrame, iou: float, *, keys: list[str] = [
         left, right = spread(left, "l"), spread(right, "r")
         on.append("_cell")
     lb, rb = B.of("l"), B.of("r")
-    cond = B.iou_at_least(lb, rb, iou, inclusive, strict)
+    value = B.iou(lb, rb, inclusive, plus=plus)
+    if plus is not None:
+        cond = (value > iou) if strict else (value >= iou)
+    else:
+        cond = B.iou_at_least(lb, rb, iou, inclusive, strict)
     if dice and not (B.dice_implied(iou, dice) and not strict):
         d = B.dice(lb, rb, inclusive)
         cond = cond & ((d > dice) if strict else (d >= dice))
@@ -43,7 +50,30 @@ def overlap_pairs(a: DataFrame, b: DataFrame, iou: float, *, keys: list[str] = [
         pairs = pairs.where(extra)
     if hot:
         pairs = pairs.where(F.col("_cell") == F.array_min(F.array_intersect("_l", "_r")))
-    return pairs.select(*keys, "l", "r", B.iou(lb, rb, inclusive).alias("iou"))
+    return pairs.select(*keys, "l", "r", value.alias("iou"))
+
+
+def has_crowds(df: DataFrame, keys: list[str] = ["image_id"]) -> bool:
+    return scale.has_oversized(df, keys, PAIR_LIMIT)
+
+
+def _match(a: DataFrame, b: DataFrame, iou: float, a_id: list[str], b_order: list[str], value: Column, by_overlap: bool,
+           keys: list[str], hot: bool | None, **pair) -> DataFrame:
+    if hot is None:
+        hot = has_crowds(a, keys) or has_crowds(b, keys)
+    best = lambda c: F.struct(*([-F.col("iou")] if by_overlap else []), *[F.col(c)[o] for o in b_order])
+    if not hot:
+        pairs = overlap_pairs(a, b, iou, keys=keys, hot=False, **pair)
+        return pairs.groupBy(*keys, *[F.col("l")[c].alias(c) for c in a_id]).agg(
+            F.max("iou").alias("iou"), F.min_by(value, best("r")).alias("match"))
+    # Copies on the left share their match and of copies on the right the first always wins, so
+    # only distinct boxes are paired, however many copies a crowded image holds.
+    rest = [c for c in b.columns if c not in keys and c not in BOX]
+    first = b.groupBy(*keys, *BOX).agg(F.min_by(F.struct(*rest), F.struct(*b_order)).alias("_f")).select(*keys, *BOX, "_f.*")
+    pairs = overlap_pairs(a.select(*keys, *BOX).distinct(), first, iou, keys=keys, hot=True, **pair)
+    found = pairs.groupBy(*keys, *[F.col("l")[c].alias(c) for c in BOX]).agg(
+        F.max("iou").alias("iou"), F.min_by(value, best("r")).alias("match"))
+    return a.select(*keys, *a_id, *BOX).join(found, [*keys, *BOX]).select(*keys, *a_id, "iou", "match")
 
 
 def first_match(a: DataFrame, b: DataFrame, iou: float, a_id: list[str], b_order: list[str], value: Column,
@@ -51,17 +81,12 @@ def first_match(a: DataFrame, b: DataFrame, iou: float, a_id: list[str], b_order
                 hot: bool | None = None) -> DataFrame:
     """For each row of ``a`` the first row of ``b`` (by ``b_order``) that overlaps enough:
     ``keys``, ``a_id`` and ``value`` (an expression over ``r``) as ``match``."""
-    pairs = overlap_pairs(a, b, iou, keys=keys, inclusive=inclusive, strict=strict, hot=hot)
-    order = F.struct(*[F.col("r")[c] for c in b_order])
-    return pairs.groupBy(*keys, *[F.col("l")[c].alias(c) for c in a_id]).agg(F.min_by(value, order).alias("match"))
+    return _match(a, b, iou, a_id, b_order, value, False, keys, hot, inclusive=inclusive, strict=strict).drop("iou")
 
 
 def best_match(a: DataFrame, b: DataFrame, iou: float, a_id: list[str], b_order: list[str], value: Column,
                *, keys: list[str] = ["image_id"], inclusive: bool = True, strict: bool = False,
-               dice: float = 0.0, hot: bool | None = None, extra: Column | None = None) -> DataFrame:
+               dice: float = 0.0, plus: float | None = None, hot: bool | None = None) -> DataFrame:
     """For each row of ``a`` the row of ``b`` of highest IoU, earliest by ``b_order`` on ties,
     among those that overlap enough: ``keys``, ``a_id``, ``iou`` and ``value`` as ``match``."""
-    pairs = overlap_pairs(a, b, iou, keys=keys, inclusive=inclusive, strict=strict, dice=dice, hot=hot, extra=extra)
-    order = F.struct(-F.col("iou"), *[F.col("r")[c] for c in b_order])
-    return pairs.groupBy(*keys, *[F.col("l")[c].alias(c) for c in a_id]).agg(
-        F.max("iou").alias("iou"), F.min_by(value, order).alias("match"))
+    return _match(a, b, iou, a_id, b_order, value, True, keys, hot, inclusive=inclusive, strict=strict, dice=dice, plus=plus)

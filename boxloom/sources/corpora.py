@@ -70,7 +70,7 @@ def parse_coco(documents: DataFrame) -> dict[str, DataFrame]:
     flat = anns.select(F.col("id").alias("ann_id"), "image_id", "category_id", *[getattr(box, c).alias(c) for c in BOX],
                        "area", F.coalesce("iscrowd", F.lit(0)).alias("iscrowd"), "segmentation", "keypoints")
     return {"images": images.select(F.col("id").alias("image_id"), "file_name", "width", "height"),
-            "annotations": clean_annotations(flat).join(F.broadcast(cats.select("category_id", "class_index")), "category_id"),
+            "annotations": clean_annotations(flat).join(scale.maybe_broadcast(cats.select("category_id", "class_index")), "category_id"),
             "categories": cats}
 
 

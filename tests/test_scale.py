@@ -49,3 +49,29 @@ def test_overlap_pairs_on_cells(spark):
 
 def test_small_enough(spark):
     assert scale.small_enough(spark.range(10), 10) and not scale.small_enough(spark.range(11), 10)
+
+
+def test_matches_of_copies(spark):
+    """First and best match over distinct boxes equal the plain join, copies included."""
+    rows = random_boxes(12, images=2, per_image=40)
+    df = spark.createDataFrame(rows, SCHEMA).select("image_id", "priority", "seq", "x1", "y1", "x2", "y2")
+    a, b = df.where("priority <= 3"), df.where("priority > 3")
+    b = b.withColumn("o", F.col("priority") * 100 + F.col("seq"))
+    for f in (overlap.first_match, overlap.best_match):
+        x, y = (sorted(map(str, f(a, b, 0.4, ["priority", "seq"], ["o"], F.col("r")["o"], hot=hot).collect())) for hot in (False, True))
+        assert x == y and x
+
+
+def test_class_list_in_passes(spark):
+    import random
+
+    from boxloom.operators import assign
+
+    r = random.Random(1)
+    vec = lambda: [r.uniform(-1, 1) for _ in range(6)]
+    crops = spark.createDataFrame([(i, vec()) for i in range(20)], "crop_id int, vector array<double>")
+    classes = spark.createDataFrame([(f"c{i}", vec()) for i in range(50)], "label string, vector array<double>")
+    one = assign.zero_shot_topk(crops, classes, 3).orderBy("crop_id", "rank").collect()
+    many = assign.zero_shot_topk(crops, classes, 3, block=7, blocks_per_pass=2).orderBy("crop_id", "rank").collect()
+    assert [(x.crop_id, x.rank, x.label) for x in one] == [(x.crop_id, x.rank, x.label) for x in many]
+    assert all(abs(x.probability - y.probability) < 1e-9 for x, y in zip(one, many))

@@ -168,3 +168,18 @@ def test_scene_text(spark):
 def test_scorer_hook(spark):
     df = with_scorer(spark.range(5), lambda f: f.assign(score=f.id * 2.0), "id long, score double")
     assert [r.score for r in df.orderBy("id").collect()] == [0.0, 2.0, 4.0, 6.0, 8.0]
+
+
+def test_fuzzy_on_shared_pieces(spark):
+    """The plan for crowded images finds the same objects."""
+    words = ["red", "old", "car", "cars", "tree", "of", "the", "in", "a", "big", "field", "x"]
+    import random
+
+    r = random.Random(4)
+    say = lambda: " ".join(r.choice(words) for _ in range(r.randrange(1, 5)))
+    objs = spark.createDataFrame([(0, "object", i, 0.0, 0.0, 1.0, 1.0, ["l"], [say()], 1.0) for i in range(40)], OBJ)
+    phrases = spark.createDataFrame([(0, i, "n", say()) for i in range(60)], "image_id long, pos int, noun string, phrase string")
+    none = spark.createDataFrame([], "image_id long, phrase string")
+    grounding = spark.createDataFrame([(0, (i, 0), say(), [i]) for i in range(5)], GR)
+    a, b = (sorted(map(str, ground.dense_fuzzy(phrases, objs, grounding, none, hot).collect())) for hot in (False, True))
+    assert a == b and len(a) > 10
