@@ -30,7 +30,7 @@ def level1(detections: DataFrame, words: DataFrame | None = None, models: DataFr
     The number of boxes per image is checked once, here; later stages only ever see fewer.  ``keep`` stores
     the result: it feeds many later steps, and outside models read it."""
     crowded = scale.has_oversized(detections, ["image_id"], scale.GROUP_LIMIT)
-    kept = vote.model_threshold(dedup.nms(detections, hot=crowded), models)
+    kept = vote.model_threshold(dedup.nms(scale.by_image(detections, crowded), hot=crowded), models)
     voted = keep(vote.assign_ids(vote.vote(kept, hot=crowded), hot=crowded))
     words = aff.dictionary(detections.sparkSession) if words is None else words
     usable = aff.affordances(voted, words)   # before labels are generalised

@@ -141,8 +141,8 @@ def registered_model_threshold(t):
   select image_id, id, score, votes, coalesce(array_to_string(labels, ','), '') as labels from numbered where kind = 'object'""", D)
 def agreed_objects(t):
     """Objects that survive suppression, thresholds and voting."""
-    d, hot = t.detections, crowded(t)
-    kept = vote.model_threshold(dedup.nms(d, hot=hot))
+    hot = crowded(t)
+    kept = vote.model_threshold(dedup.nms(scale.by_image(t.detections, hot), hot=hot))
     ids = vote.assign_ids(vote.vote(kept, hot=hot), hot=hot)
     return ids.where("kind = 'object'").select("image_id", "id", "score", "votes", F.array_join("labels", ",").alias("labels"))
 

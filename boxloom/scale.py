@@ -38,6 +38,12 @@ def has_oversized(df: DataFrame, keys: list[str], limit: int) -> bool:
     return not oversized(df, keys, limit).isEmpty()
 
 
+def by_image(df: DataFrame, crowded: bool, key: str = "image_id") -> DataFrame:
+    """Rows laid out by image once, so that the per-image steps that follow need no further shuffle;
+    crowded images are left where they are."""
+    return df if crowded else df.repartition(key)
+
+
 def small_enough(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
     return len(df.select(F.lit(1)).limit(limit + 1).groupBy().count().where(F.col("count") <= limit).take(1)) == 1
 
