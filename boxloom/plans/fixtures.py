@@ -33,10 +33,6 @@ select conv_id as image_id, cast(turn as int) as attempt, text as response from
     "depth": """
 select user_id as image_id, cast(event_id % 64 as int) as x, cast(cast(floor(event_id / 64) as int) % 64 as int) as y, value
 from events where value is not null""",
-    "frames": """
-select cast(user_id % 20 as bigint) as video_id, cast(row_number() over (partition by user_id % 20 order by ts, event_id) as int) as frame,
- event_id, ts, cast(event_id % 7 as double) * 10 as x1, cast(event_id % 5 as double) * 10 as y1
-from events""",
 }
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
@@ -47,7 +43,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 SOURCE = {"detections": "lineitem", "images": "part", "captions": "documents", "responses": "conversations",
-          "depth": "events", "frames": "events"}
+          "depth": "events"}
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -119,6 +119,16 @@ def subset_corpus(t):
     return anns.select("image_id", "seq", "category_id")
 
 
+@query("subset_corpus_counts", f"""with {_AN}, n as (select greatest(1, cast(floor(count(*) * 0.25) as bigint)) as k, count(*) as n from images)
+  select k as images, cast(0 as bigint) as incomplete from n""", DI)
+def subset_corpus_counts(t):
+    """A quarter of the images; each keeps either all or none of its annotations."""
+    images, anns = sampling.subset_corpus(t.images, annotations(t), 0.25, seed=3)
+    per = lambda df, c: df.groupBy("image_id").agg(F.count("*").alias(c))
+    cut = per(annotations(t), "a").join(per(anns, "b"), "image_id").where("a <> b").agg(F.count("*").alias("incomplete"))
+    return images.agg(F.count("*").alias("images")).withColumn("_k", F.lit(1)).join(cut.withColumn("_k", F.lit(1)), "_k").drop("_k")
+
+
 # ---- statistics --------------------------------------------------------------------------------------
 
 @query("class_histogram", f"""with {_AN}, c as (select distinct 'cat' || category_id as name, category_id from an),

@@ -104,7 +104,7 @@ def per_image_cap(t):
 
 
 def _ranges(t):
-    return {"all": (0, 1e10), "small": (0, 1700.0), "large": (1700.0, 1e10)}
+    return _THREE
 
 
 _GREEDY = f"""{_GT}, top as (select * from (select *, row_number() over (partition by image_id order by score desc, det) as rn from pr) where rn <= 15),
@@ -127,21 +127,28 @@ def crowd_truth(t):
     return t.detections.where("priority = 1").select("image_id", "label", F.col("seq").alias("gt"), *BOX, (F.col("seq") % 8 == 0).cast("int").alias("iscrowd"))
 
 
-_COCO = f"""gt as (select image_id, label, seq as gt, x1, y1, x2, y2, seq % 8 = 0 as crowd, (x2 - x1) * (y2 - y1) as area from detections where priority = 1),
-  pr as (select image_id, label, priority * 1000 + seq as det, score, x1, y1, x2, y2 from detections where priority > 1),
-  top as (select * from (select *, row_number() over (partition by image_id, label order by score desc, det) as rn from pr) where rn <= 5),
-  rg(area_range, lo, hi) as (values ('all', 0.0, 1e10), ('small', 0.0, 1700.0), ('large', 1700.0, 1e10)), th(t) as (values (0.5), (0.75)),
-  cp as (select p.image_id, p.label, p.det, p.score, g.gt, g.crowd, area_range, t, case when crowd or area < lo or area > hi then 1 else 0 end as ig,
-     case when crowd then {S.inter('p', 'g')} / {S.area('p')} else {S.iou('p', 'g')} end as v
-    from top p join gt g using (image_id, label) cross join rg cross join th where case when crowd then {S.inter('p', 'g')} / {S.area('p')} else {S.iou('p', 'g')} end >= t),
+def _coco_sql(areas: dict, thresholds: list, per_class: int | None = 5, crowds: bool = True, extra: str = "", top: str | None = None) -> str:
+    """The protocol in SQL: ground truth, ranked detections, candidate pairs, greedy choice, matches ``m``."""
+    crowd = "seq % 8 = 0" if crowds else "false"
+    top = top or f"select * from (select *, row_number() over (partition by image_id, label order by score desc, det) as rn from pr) where rn <= {per_class}"
+    ranges = ", ".join(f"('{k}', {float(a)}::double, {float(b)}::double)" for k, (a, b) in areas.items())
+    steps = ", ".join(f"({t}::double)" for t in thresholds)
+    overlap = f"case when crowd then {S.inter('p', 'g')} / {S.area('p')} else {S.iou('p', 'g')} end"
+    return f"""gt as (select image_id, label, seq as gt, x1, y1, x2, y2, {crowd} as crowd, (x2 - x1) * (y2 - y1) as area from detections where priority = 1),
+  pr as (select image_id, label, priority * 1000 + seq as det, score, x1, y1, x2, y2 from detections where priority > 1){extra},
+  top as ({top}), rg(area_range, lo, hi) as (values {ranges}), th(t) as (values {steps}),
+  cp as (select p.image_id, p.label, p.det, p.score, g.gt, g.crowd, area_range, t, case when crowd or area < lo or area > hi then 1 else 0 end as ig, {overlap} as v
+    from top p join gt g using (image_id, label) cross join rg cross join th where {overlap} >= t),
   cl as ({S.leaders('cp', 'image_id, label, area_range, t', 'score desc, det, ig, v desc, gt desc', 'd := det, g := gt, c := crowd, ig := ig',
                     'd integer, g integer, c boolean, ig integer', 'k.d = d.d or (k.g = d.g and not k.c)')}),
   tk as (select image_id, label, area_range, t, u.d as det, u.ig as ig from (select image_id, label, area_range, t, unnest(lead) as u from cl)),
   m as (select p.image_id, p.label, p.det, p.score, rg.area_range, th.t, coalesce(ig = 0, false) as tp,
      ig is null and not ((x2 - x1) * (y2 - y1) < lo or (x2 - x1) * (y2 - y1) > hi) as fp
     from top p cross join rg cross join th left join tk on tk.image_id = p.image_id and tk.label = p.label and tk.det = p.det and tk.area_range = rg.area_range and tk.t = th.t)"""
-_COCOAP = f"""{_COCO}, np as (select label, area_range, count(*) as npos from gt, rg where not crowd and area between lo and hi group by 1, 2),
-  cum as (select label, area_range, t, tp, sum(tp::int) over w as ctp, sum(fp::int) over w as cfp from m
+
+
+_CAP = """np as (select label, area_range, count(*) as npos from gt, rg where not crowd and area between lo and hi group by 1, 2),
+  cum as (select label, area_range, t, tp, sum(tp::int) over w as ctp, sum(fp::int) over w as cfp from {m}
     window w as (partition by label, area_range, t order by score desc, image_id, det rows unbounded preceding)),
   pts as (select cum.label, area_range, t, ctp * 1.0::double / (ctp + cfp) as prec, ctp * 1.0::double / npos as rec from cum join np using (label, area_range) where tp),
   rp(r) as (select i * 0.01::double from (select unnest(range(0, 101)) as i)),
@@ -149,6 +156,13 @@ _COCOAP = f"""{_COCO}, np as (select label, area_range, count(*) as npos from gt
   ap as (select label, area_range, t, sum(p) / 101 as ap from bst group by 1, 2, 3),
   cap as (select np.label, np.area_range, cast(th.t as double) as threshold, coalesce(ap, 0) as ap from np cross join th
     left join ap on ap.label = np.label and ap.area_range = np.area_range and ap.t = th.t)"""
+_THREE = {"all": (0, 1e10), "small": (0, 1700.0), "large": (1700.0, 1e10)}
+_COCO = _coco_sql(_THREE, [0.5, 0.75])
+_COCOAP = f"{_COCO}, {_CAP.format(m='m')}"
+_METRICS = """select 'AP' as metric, round(avg(ap) * 100, 5) as value from cap where area_range = 'all' union all
+  select 'AP50', round(avg(ap) * 100, 5) from cap where area_range = 'all' and threshold = 0.5 union all
+  select 'AP75', round(avg(ap) * 100, 5) from cap where area_range = 'all' and threshold = 0.75 union all
+  select 'AP-' || area_range, round(avg(ap) * 100, 5) from cap where area_range <> 'all' group by 1"""
 
 
 @query("coco_matches", f"""with {_COCO} select image_id, label, det, area_range, bool_or(tp and t = 0.5) as tp50, bool_or(fp and t = 0.5) as fp50,
@@ -164,23 +178,30 @@ def coco_class_ap(t):
     return evaluate.coco_class_ap(found(t), crowd_truth(t), [0.5, 0.75], _ranges(t), 5).select("label", "area_range", "threshold", F.round("ap", 6).alias("ap"))
 
 
-@query("coco_ap", f"""with {_COCOAP} select 'AP' as metric, round(avg(ap) * 100, 5) as value from cap where area_range = 'all' union all
-  select 'AP50', round(avg(ap) * 100, 5) from cap where area_range = 'all' and threshold = 0.5 union all
-  select 'AP75', round(avg(ap) * 100, 5) from cap where area_range = 'all' and threshold = 0.75 union all
-  select 'AP-' || area_range, round(avg(ap) * 100, 5) from cap where area_range <> 'all' group by 1""", D)
+@query("coco_ap", f"with {_COCOAP} {_METRICS}", D)
 def coco_ap(t):
     ap = evaluate.coco_class_ap(found(t), crowd_truth(t), [0.5, 0.75], _ranges(t), 5)
     return evaluate.coco_ap(ap).select("metric", F.round("value", 5).alias("value"))
 
 
-@query("coco_ap_fine_areas")
+@query("coco_ap_fine_areas", f"with {_coco_sql({**evaluate.AREAS, **evaluate.MORE_AREAS}, evaluate.THRESHOLDS, 100)}, {_CAP.format(m='m')} {_METRICS}", D)
 def coco_ap_fine_areas(t):
     """The nineteen metrics of the protocol with extra size ranges."""
     areas = {**evaluate.AREAS, **evaluate.MORE_AREAS}
-    return evaluate.coco_ap(evaluate.coco_class_ap(found(t), crowd_truth(t), areas=areas))
+    ap = evaluate.coco_class_ap(found(t), crowd_truth(t), areas=areas)
+    return evaluate.coco_ap(ap).select("metric", F.round("value", 5).alias("value"))
+
+
+_LVIS = _coco_sql({"all": (0, 1e10)}, evaluate.THRESHOLDS, crowds=False, top="select r.* from ranked r join checked using (image_id, label) where rn <= 20", extra=""",
+  ranked as (select *, row_number() over (partition by image_id order by score desc, det) as rn from pr),
+  checked as (select image_id, label from gt union select image_id, label from detections where priority = 2 and seq = 1),
+  loose as (select distinct image_id, label from detections where priority = 1 and seq % 5 = 0)""")
 
 
-@query("lvis_ap")
+@query("lvis_ap", f"""with {_LVIS}, ml as (select m.* replace (fp and lo.label is null as fp) from m left join loose lo on lo.image_id = m.image_id and lo.label = m.label),
+  {_CAP.format(m='ml')}, f as (select *, case when label = 'person' then 'f' when label < 'class_3' then 'c' else 'r' end as freq from cap)
+  select round(avg(ap) * 100, 5) as ap, round(avg(ap) filter (freq = 'r') * 100, 5) as ap_rare, round(avg(ap) filter (freq = 'c') * 100, 5) as ap_common,
+    round(avg(ap) filter (freq = 'f') * 100, 5) as ap_frequent from f""", D)
 def lvis_ap(t):
     d = t.detections
     gt = crowd_truth(t).drop("iscrowd")
@@ -188,7 +209,8 @@ def lvis_ap(t):
         F.col("label") < "class_3", "c").otherwise("r").alias("frequency"))
     negative = d.where("priority = 2 and seq = 1").select("image_id", "label")
     loose = d.where("priority = 1 and seq % 5 = 0").select("image_id", "label")
-    return evaluate.lvis_ap(found(t), gt, freq, negative, loose)
+    r = evaluate.lvis_ap(found(t), gt, freq, negative, loose, max_dets=20)
+    return r.select(*[F.round(c, 5).alias(c) for c in r.columns])
 
 
 # ---- segmentation ----------------------------------------------------------------------------------------
@@ -327,6 +349,15 @@ def random_subset(t):
     return sampling.random_subset(t.images, "image_id", 100, seed=7).select("image_id", "file_name")
 
 
+@query("random_subset_counts", "select least(100, count(*)) as rows, least(100, count(*)) as known, count(*) as kept from images", ("images",))
+def random_subset_counts(t):
+    """A subset has the wanted size, holds known images only, and all rows are a subset of themselves."""
+    some = sampling.random_subset(t.images, "image_id", 100, seed=7)
+    sizes = some.join(t.images.select("image_id"), "image_id", "left_semi").agg(F.count("*").alias("rows"), F.count_distinct("image_id").alias("known"))
+    whole = sampling.random_subset(t.images, "image_id", t.images.count(), seed=1).agg(F.count_distinct("image_id").alias("kept"))
+    return sizes.withColumn("_k", F.lit(1)).join(whole.withColumn("_k", F.lit(1)), "_k").drop("_k")
+
+
 @query("shards", "select image_id, cast(ntile(7) over (order by image_id) - 1 as int) as shard from images", ("images",))
 def shards(t):
     return sampling.shards(t.images, [F.col("image_id")], 7).select("image_id", "shard")

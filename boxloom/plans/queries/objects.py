@@ -433,7 +433,32 @@ def ground_dense_exact(t):
     return e.select("image_id", "step", "phrase", csv("object_ids").alias("object_ids"))
 
 
-@query("ground_dense", views=D)
+_FUZZY = f"""{_DENSE}, ph as (select image_id, cast(p as int) as pos, case p when 0 then 'bright old ' || a when 1 then 'small ' || b || ' one' when 2 then 'person here' else 'wet class_3' end as phrase
+    from sd, (select unnest([0, 1, 2, 3]) as p)),
+  known as (select image_id, id, max(text) as text, min(rk) as rk from (
+     select o.image_id, o.id, coalesce(g.phrase, trim(split_part(attributes[1], ':', 2))) as text, case when attributes is not null then o.id else 1000 + g.pos end as rk
+     from objs o left join (select image_id, object_ids[1] as id, phrase, pos from gr where (image_id, phrase) not in (select image_id, phrase from ph)) g using (image_id, id)
+     where attributes is not null or g.phrase is not null) group by 1, 2),
+  ask as (select * from ph where (image_id, phrase) not in (select image_id, phrase from ex)),
+  sc as (select ask.image_id, pos, phrase, known.id, rk, text, case when length(phrase) < length(text) then phrase else text end as sh, case when length(phrase) < length(text) then text else phrase end as lo
+     from ask join known using (image_id)),
+  wd as (select *, list_transform(list_filter(regexp_extract_all(lower(sh), '[a-z0-9_]+'), lambda w: not list_contains({list(T.STOPWORDS)}, w)),
+     lambda w: case when length(w) > 3 and ends_with(w, 's') and not ends_with(w, 'ss') then left(w, length(w) - 1) else w end) as w from sc),
+  sm as (select *, case when contains(phrase, text) or contains(text, phrase) then 1.0::double when len(w) = 0 then 0.0::double
+     else len(list_filter(w, lambda x: contains(lo, x)))::double / len(w) end as s from wd)"""
+
+
+@query("ground_dense_fuzzy", f"""with {_FUZZY} select image_id, phrase, id from (select *, row_number() over (partition by image_id, phrase order by s desc, rk) as rn from sm where s >= 0.75) where rn = 1""", D)
+def ground_dense_fuzzy(t):
+    o, g, caps = plain_objects(t), phrase_grounding(t), dense_captions_of(t)
+    said = o.groupBy("image_id").agg(F.min(F.element_at("labels", 1)).alias("a"), F.max(F.element_at("labels", 1)).alias("b"))
+    asked = F.array(F.concat(F.lit("bright old "), "a"), F.concat(F.lit("small "), "b", F.lit(" one")), F.lit("person here"), F.lit("wet class_3"))
+    phrases = said.select("image_id", F.posexplode(asked).alias("pos", "phrase")).withColumn("noun", F.lit(""))
+    found = ground.dense_fuzzy(phrases, o, g, ground.dense_exact(caps, o, g))
+    return found.select("image_id", "phrase", F.col("object_ids")[0].alias("id"))
+
+
+@query("ground_dense")
 def ground_dense(t):
     g = ground.ground_dense(dense_captions_of(t), plain_objects(t), phrase_grounding(t))
     return g.select("image_id", "step", "phrase", "start", "end", csv("object_ids").alias("object_ids"))
@@ -456,9 +481,6 @@ def ground_dense_noun(t):
     return ground.dense_noun(phrases, o, none).select("image_id", "phrase", F.col("object_ids")[0].alias("id"))
 
 
-_GS = "struct_pack(len := length(phrase), phrase := phrase, k := k)"
-
-
 @query("filter_groundings", f"""with g as (select image_id, label || case when priority > 3 then ' ' || model else '' end as phrase,
      cast(seq % 2 as varchar) as k, priority as step, seq as a from detections where priority < 6),
   f as (select image_id, phrase, arg_min(k, (step, a, k)) as k, min(step * 100000 + a) as pos from g group by 1, 2),

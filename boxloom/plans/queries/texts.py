@@ -184,7 +184,15 @@ def phrase_similarity(t):
 
 
 
-@query("extract_phrases")
+# Words and other characters get marks around them, so that each function word can be matched on its own
+_CUT = f"""cut as (select image_id, replace(regexp_replace(chr(1) || regexp_replace(lower(caption), '([^\\p{{L}}\\p{{M}}\\p{{N}}_])', chr(1) || '\\1' || chr(1), 'g') || chr(1),
+   chr(1) || '({'|'.join(T.STOPWORDS)})' || chr(1), '|', 'g'), chr(1), '') as c from captions),
+ runs as (select image_id, list_transform(regexp_split_to_array(c, '[|.,;:!?()\\[\\]"\\n]+'), lambda r: trim(regexp_replace(r, '[ \\t\\n\\r\\f\\v]+', ' ', 'g'))) as r from cut)"""
+
+
+@query("extract_phrases", f"""with {_CUT}, l as (select image_id, list_filter(r, lambda x: contains(x, ' ')) as r from runs),
+ k as (select image_id, list_reduce(r, lambda acc, x: case when len(list_filter(acc, lambda y: contains(y, x))) > 0 then acc else list_append(acc, x) end, cast([] as varchar[])) as k from l)
+ select image_id, cast(i - 1 as int) as pos, string_split(k[i], ' ')[-1] as noun, k[i] as phrase from (select image_id, k, unnest(range(1, len(k) + 1)) as i from k)""", CAP)
 def extract_phrases(t):
     """Noun and phrase pairs of every caption."""
     from boxloom.operators.ground import caption_phrases
@@ -192,7 +200,7 @@ def extract_phrases(t):
     return caption_phrases(t.captions)
 
 
-@query("noun_lookup")
+@query("noun_lookup", f"with {_CUT} select image_id, cast(len(list_filter(r, lambda x: len(regexp_extract_all(x, '{W}+')) = 1)) as int) as nouns from runs", CAP)
 def noun_lookup(t):
     return t.captions.select("image_id", F.size(T.single_nouns(F.col("caption"))).alias("nouns"))
 
