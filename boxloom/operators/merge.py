@@ -20,10 +20,12 @@ def merge_models(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, [df.withColumn("model", F.lit(m)) for m, df in tables.items()])
 
 
-def nested_predictions(df: DataFrame) -> DataFrame:
-    """Nested form: per image a map from model to its boxes in order."""
-    per = df.groupBy("image_id", "model").agg(F.sort_array(F.collect_list(F.struct("seq", *BOX, "score", "label"))).alias("p"))
-    return per.groupBy("image_id").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("model", "p")))).alias("predictions"))
+def nested_predictions(df: DataFrame, part: int = 10_000) -> DataFrame:
+    """Nested form: per image a map from model to its boxes in order.  Models with more than ``part`` boxes in
+    an image continue in further rows, numbered by ``part``."""
+    sliced = df.withColumn("part", F.floor(F.col("seq") / part).cast("int"))
+    per = sliced.groupBy("image_id", "part", "model").agg(F.sort_array(F.collect_list(F.struct("seq", *BOX, "score", "label"))).alias("p"))
+    return per.groupBy("image_id", "part").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("model", "p")))).alias("predictions"))
 
 
 def merge_captions(captions: DataFrame, phrases: DataFrame) -> DataFrame:

@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 
 GROUP_LIMIT = 2_000          # rows of one group that an array fold may hold
 WINDOW_LIMIT = 5_000_000     # rows of one group that one sorted window may hold
-BROADCAST_ROWS = 200_000     # rows a side may have to be broadcast
+BROADCAST_ROWS = 200_000     # rows, and bytes as text, that a side may have to be broadcast
+BROADCAST_BYTES = 64 << 20
+TOP_LIMIT = 100_000          # rows that a sorted limit may bring to one place
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -44,8 +46,12 @@ def by_image(df: DataFrame, crowded: bool, key: str = "image_id") -> DataFrame:
     return df if crowded else df.repartition(key)
 
 
-def small_enough(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
-    return len(df.select(F.lit(1)).limit(limit + 1).groupBy().count().where(F.col("count") <= limit).take(1)) == 1
+def small_enough(df: DataFrame, limit: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
+    """Whether a table has at most ``limit`` rows of at most ``size`` bytes in all; no more than
+    ``limit`` + 1 rows are looked at."""
+    width = F.octet_length(F.to_json(F.struct(*df.columns)))
+    seen = df.select(width.alias("w")).limit(limit + 1).agg(F.count("*").alias("n"), F.sum("w").alias("w")).first()
+    return seen["n"] <= limit and (seen["w"] or 0) <= size
 
 
 def maybe_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:

@@ -47,7 +47,15 @@ def test_overlap_pairs_on_cells(spark):
             assert sorted((r.image_id, r.l.priority, r.l.seq, r.r.priority, r.r.seq) for r in p.collect()) == want
 
 
+def test_large_subset_is_numbered(spark, monkeypatch):
+    df = spark.range(200).withColumnRenamed("id", "k")
+    top = {r.k for r in sampling.random_subset(df, "k", 50, seed=2).collect()}
+    monkeypatch.setattr(scale, "TOP_LIMIT", 10)
+    assert {r.k for r in sampling.random_subset(df, "k", 50, seed=2).collect()} == top and len(top) == 50
+
+
 def test_small_enough(spark):
+    assert not scale.small_enough(spark.range(10).withColumn("t", F.repeat(F.lit("x"), 100)), 10, size=1_000)
     assert scale.small_enough(spark.range(10), 10) and not scale.small_enough(spark.range(11), 10)
 
 
