@@ -165,27 +165,30 @@ def point_edge_distances(px, py, b: Box) -> tuple[Column, Column, Column, Column
     return px - b.x1, py - b.y1, b.x2 - px, b.y2 - py
 
 
-# Grid cells.  Each function gives an array of cell names so that two boxes for which
+# Grid cells.  Each function gives an array of cell numbers so that two boxes for which
 # the named relation holds share at least one of them.
 
 def iou_cells(b: Box, t: float, pad: float = 0.0) -> Column:
-    """Cells for boxes with IoU of at least ``t``: such boxes are of similar size, so each
-    box names the tiles it touches on a grid of its own size and of the next sizes up."""
-    levels = max(1, math.ceil(math.log2(1.0 / t) - 1e-9))
-    side = F.greatest(b.x2 - b.x1 + 2 * pad, b.y2 - b.y1 + 2 * pad, F.lit(1e-6))
-    level = F.floor(F.log2(side)).cast("int")
+    """Cells for boxes with IoU of at least ``t``.
 
-    def tiles(step: int) -> Column:
-        lv = level + step
-        size = F.pow(F.lit(2.0), lv)
+    Such boxes have widths and heights within a factor ``t`` of each other and their corners lie closer than
+    ``1 - t`` of the larger side.  So sizes are put in steps of that factor, corners on a grid as fine as
+    the step allows, and a box names its own and the next step and cell in each direction: 16 cells,
+    whatever its size.  ``pad``: half a pixel for inclusive boxes."""
+    base = (1.0 / t) * (1 + 1e-6)
+    near = max(1.0 - t, 1e-3) * (1 + 1e-6)
 
-        def span(lo, hi):
-            return F.sequence(F.floor((lo - pad) / size).cast("long"), F.floor((hi + pad) / size).cast("long"))
+    def axis(lo, hi):
+        side = F.greatest(hi - lo + 2 * pad, F.lit(1e-6))
+        step = F.floor(F.log(side) / math.log(base)).cast("int")
+        out = []
+        for s in (0, 1):
+            grid = F.pow(F.lit(base), step + s + 1) * near
+            at = F.floor(lo / grid)
+            out += [(step + s, at), (step + s, at + 1)]
+        return out
 
-        return F.flatten(F.transform(span(b.x1, b.x2), lambda i: F.transform(
-            span(b.y1, b.y2), lambda j: F.concat_ws(":", lv, i, j))))
-
-    return F.array_distinct(F.concat(*[tiles(s) for s in range(levels + 1)]))
+    return F.array(*[F.xxhash64(sx, i, sy, j) for sx, i in axis(b.x1, b.x2) for sy, j in axis(b.y1, b.y2)])
 
 
 def touch_cells(b: Box, tile: float = 64.0, pad: float = 1.0) -> Column:
@@ -196,11 +199,11 @@ def touch_cells(b: Box, tile: float = 64.0, pad: float = 1.0) -> Column:
                           F.greatest(F.floor((lo - pad) / tile), F.floor((hi + pad) / tile)).cast("long"))
 
     return F.flatten(F.transform(span(b.x1, b.x2), lambda i: F.transform(
-        span(b.y1, b.y2), lambda j: F.concat_ws(":", i, j))))
+        span(b.y1, b.y2), lambda j: F.xxhash64(i, j))))
 
 
 def near_cells(b: Box, distance: float) -> Column:
     """Cells for boxes whose centers are closer than ``distance``."""
     cx, cy = center(b)
     i, j = F.floor(cx / distance), F.floor(cy / distance)
-    return F.array(*[F.concat_ws(":", i + di, j + dj) for di in (0, 1) for dj in (0, 1)])
+    return F.array(*[F.xxhash64(i + di, j + dj) for di in (0, 1) for dj in (0, 1)])

@@ -17,6 +17,9 @@ from pyspark.sql import functions as F
 
 from boxloom import scale
 
+RIVALS = 16    # rows of one grid cell compared with each other in a round
+PREFIX = 400   # rows of a crowded group resolved together at the start of each round
+
 Related = Callable[[Column, Column], Column]
 
 
@@ -65,19 +68,42 @@ def _pairs(a: DataFrame, b: DataFrame, group: list[str], fields: list[str], rela
             .select(*group, m["_ord"].alias("_ord"), k["_ord"].alias("_lead")))
 
 
+def _first_tier(todo: DataFrame, group: list[str]) -> DataFrame:
+    """Rows that share no cell with a row of an earlier tier."""
+    spread = todo.select(*group, "_ord", F.explode("_cells").alias("_cell"))
+    top = spread.groupBy(*group, "_cell").agg(F.min("_ord").alias("_top"))
+    late = spread.join(top, [*group, "_cell"]).where(F.col("_ord.o0") != F.col("_top.o0"))
+    return todo.join(late.select(*group, "_ord").distinct(), [*group, "_ord"], "left_anti")
+
+
+def _unrivalled(todo: DataFrame, group: list[str], fields: list[str], related: Related) -> DataFrame:
+    """Rows among the first few of each cell they touch that are related to no earlier row.
+
+    Only those first rows of a cell are compared; tasks drop the others before the shuffle."""
+    rn = F.row_number().over(Window.partitionBy(*group, "_cell").orderBy("_ord"))
+    near = (todo.select(*group, "_ord", F.struct("_ord", *fields).alias("m"), F.size("_cells").alias("_n"),
+                        F.explode("_cells").alias("_cell"))
+            .withColumn("_rn", rn).where(F.col("_rn") <= RIVALS).drop("_rn"))
+    known = near.groupBy(*group, "_ord", "_n").count().where(F.col("count") == F.col("_n")).select(*group, "_ord")
+    other = near.select(*group, "_cell", F.col("m").alias("k"))
+    k, m = F.col("k"), F.col("m")
+    rivalled = near.join(other, [*group, "_cell"]).where((k["_ord"] < m["_ord"]) & related(k, m)).select(*group, "_ord").distinct()
+    return todo.join(known, [*group, "_ord"], "left_semi").join(rivalled, [*group, "_ord"], "left_anti")
+
+
 def _rounds(df: DataFrame, group: list[str], fields: list[str], related: Related, cells: Column,
-            same: list[str], mirror: bool, keep_followers: bool, prefix: int) -> DataFrame:
+            same: list[str], mirror: bool, keep_followers: bool, prefix: int, tiered: bool) -> DataFrame:
     """Leaders of groups too large to gather.
 
     Equal boxes are first reduced to their earliest copy.  Each round then settles rows whose
-    fate cannot depend on the rest: the leaders among the first ``prefix`` rows of a group,
-    and rows that come first in every grid cell they touch.  Rows related to those
+    fate cannot depend on the rest: the leaders among the first ``prefix`` rows of a group, and rows that no
+    earlier row in any grid cell they touch can rule out.  Rows related to those
     leave as followers, and the next round sees what is left.  A round emits no pairs within
     a group beyond (row, newly settled leader) in one cell, reduced before any shuffle.
     """
     key = [*group, *same]
     first = df.groupBy(*key).agg(F.min("_ord").alias("_first"))
-    rows = scale.checkpointed(df.join(first, key).withColumn("_cells", cells))
+    rows = scale.checkpointed(df.join(first, key).withColumn("_cells", F.array_distinct(cells)))
     todo = rows.where(F.col("_ord") == F.col("_first")).select(*group, "_ord", "_cells", *fields)
     todo = scale.checkpointed(todo)
     leaders = None
@@ -85,10 +111,7 @@ def _rounds(df: DataFrame, group: list[str], fields: list[str], related: Related
         w = Window.partitionBy(*group).orderBy("_ord")
         head = todo.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= prefix).drop("_rn")
         from_prefix = _fold(head, group, fields, related, False).drop("_owner")
-        spread = todo.select(*group, "_ord", F.explode("_cells").alias("_cell"))
-        top = spread.groupBy(*group, "_cell").agg(F.min("_ord").alias("_top"))
-        beaten = spread.join(top, [*group, "_cell"]).where(F.col("_ord") != F.col("_top"))
-        local = todo.join(beaten.select(*group, "_ord").distinct(), [*group, "_ord"], "left_anti")
+        local = _first_tier(todo, group) if tiered else _unrivalled(todo, group, fields, related)
         new = (from_prefix.select(*todo.columns).unionByName(local)
                .dropDuplicates([*group, "_ord"]))
         new = scale.checkpointed(new)
@@ -114,14 +137,16 @@ def _rounds(df: DataFrame, group: list[str], fields: list[str], related: Related
 def leaders(df: DataFrame, group: list[str], order: list[tuple[str, bool]], fields: list[str],
             related: Related, cells: Column, same: list[str], *, mirror_copies: bool = False,
             keep_followers: bool = False, limit: int = scale.GROUP_LIMIT, prefix: int | None = None,
-            hot: bool | None = None) -> DataFrame:
+            hot: bool | None = None, tiered: bool = False) -> DataFrame:
     """Keep the leaders of each group, or all rows with their leader's order key.
 
     ``order``: (column, descending) pairs that order the rows of a group totally.
     ``fields``: columns ``related(leader, row)`` reads.  ``cells``: array column such that
     related rows share an entry.  ``same``: columns that, when equal, make two rows copies;
     copies follow the earliest one, or share its fate when ``mirror_copies`` (rows of one
-    model that cannot absorb each other).  With ``keep_followers`` the result has
+    model that cannot absorb each other).  ``tiered``: rows equal in the first order column are never related,
+    so a splitting round settles a whole tier of a cell at once.  ``prefix``: rows of a group that a round
+    of the splitting plan gathers.  With ``keep_followers`` the result has
     ``_ord`` and ``_owner`` structs; they are equal for leaders.
     """
     prepared = df.withColumn("_ord", _ordered(order))
@@ -136,6 +161,6 @@ def leaders(df: DataFrame, group: list[str], order: list[tuple[str, bool]], fiel
         large = prepared.join(scale.maybe_broadcast(big), group, "left_semi")
         out = (_fold(cold, group, fields, related, keep_followers)
                .unionByName(_rounds(large, group, fields, related, cells, same, mirror_copies,
-                                    keep_followers, prefix or limit)))
+                                    keep_followers, prefix or min(limit, PREFIX), tiered)))
     columns = [*df.columns, "_ord", "_owner"] if keep_followers else df.columns
     return out.select(*columns)
