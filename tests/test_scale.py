@@ -83,3 +83,20 @@ def test_class_list_in_passes(spark):
     many = assign.zero_shot_topk(crops, classes, 3, block=7, blocks_per_pass=2).orderBy("crop_id", "rank").collect()
     assert [(x.crop_id, x.rank, x.label) for x in one] == [(x.crop_id, x.rank, x.label) for x in many]
     assert all(abs(x.probability - y.probability) < 1e-9 for x, y in zip(one, many))
+
+
+def test_related_boxes_share_a_cell(spark):
+    """Pairs at the very edge of the threshold, where sizes and offsets differ most."""
+    from boxloom.functions import boxes as B
+
+    rows = []
+    for t in (0.3, 0.5, 0.65, 0.75, 0.9):
+        for s in (1.0, 10.0, 64.0, 1000.0, 7.3):
+            for x in (0.0, 63.9, -12.0, 1e5):
+                rows += [(t, x, x, x + s, x + s, x, x, x + s * t, x + s), (t, x, x, x + s, x + s, x + s * (1 - t), x, x + s, x + s),
+                         (t, x, x, x + s, x + s, x, x + s * (1 - t), x + s, x + s), (t, x, x, x + s, x + s, x, x, x + s / t, x + s)]
+    names = ["a_x1", "a_y1", "a_x2", "a_y2", "b_x1", "b_y1", "b_x2", "b_y2"]
+    df = spark.createDataFrame(rows, "t double, " + ", ".join(f"{n} double" for n in names))
+    for t in (0.3, 0.5, 0.65, 0.75, 0.9):
+        lost = df.where(F.col("t") == t).where(~F.arrays_overlap(B.iou_cells(B.cols("a_"), t), B.iou_cells(B.cols("b_"), t)))
+        assert lost.count() == 0
