@@ -53,14 +53,20 @@ def person_word(label: Column) -> Column:
 
 # ---- model responses -------------------------------------------------------------------
 
+# What marks tags and caption in an answer
+TAG_LIST = r"(?is)TAGS?\s*:\s*\[(.*?)\]"
+ANY_LIST = r"(?s)\[(.*?)\]"
+CAPTION_TO_TAGS = r"(?is)CAPTION\s*:\s*(.+?)(?=\n\s*(?:TAGS|\z))"
+CAPTION_TO_END = r"(?is)CAPTION\s*:\s*(.+?)(?=\n\s*(?:TAGS|\z)|\z)"
+CAPTION_MARK = r"(?i)^CAPTION\s*:\s*"
+
+
 def parse_tags(response: Column) -> Column:
     """The cleaned, distinct tags of a response: the bracketed list after ``TAGS:``, or else the
     first bracketed list."""
     r = strip(response)
-    marked = F.regexp_extract(r, r"(?is)TAGS?\s*:\s*\[(.*?)\]", 1)
-    first = F.regexp_extract(r, r"(?s)\[(.*?)\]", 1)
-    has_mark = r.rlike(r"(?is)TAGS?\s*:\s*\[(.*?)\]")
-    raw = F.split(F.when(has_mark, marked).otherwise(first), ",")
+    held = F.when(r.rlike(TAG_LIST), F.regexp_extract(r, TAG_LIST, 1)).otherwise(F.regexp_extract(r, ANY_LIST, 1))
+    raw = F.split(held, ",")
 
     def clean(t: Column) -> Column:
         t = F.regexp_replace(strip(t), r"""^["']|["']$""", "")
@@ -73,12 +79,11 @@ def parse_caption(response: Column) -> Column:
     """The caption of a response: the text after ``CAPTION:`` up to a line with tags, or else what
     follows the first bracketed list; wrapping quotes removed."""
     r = strip(response)
-    pattern = r"(?is)CAPTION\s*:\s*(.+?)(?=\n\s*(?:TAGS|\z)|\z)"
-    strict = r"(?is)CAPTION\s*:\s*(.+?)(?=\n\s*(?:TAGS|\z))"
-    marked = F.when(r.rlike(strict), F.regexp_extract(r, strict, 1)).otherwise(F.regexp_extract(r, pattern, 1))
-    after = F.regexp_replace(r, r"(?s)^.*?\[.*?\]", "")
-    after = F.when(r.rlike(r"(?s)\[.*?\]"), F.regexp_replace(strip(after), r"(?i)^CAPTION\s*:\s*", "")).otherwise("")
-    c = strip(F.when(r.rlike(pattern), marked).otherwise(after))
+    marked = F.when(r.rlike(CAPTION_TO_TAGS), F.regexp_extract(r, CAPTION_TO_TAGS, 1)).otherwise(
+        F.regexp_extract(r, CAPTION_TO_END, 1))
+    after = strip(F.regexp_replace(r, r"(?s)^.*?\[.*?\]", ""))
+    rest = F.when(r.rlike(ANY_LIST), F.regexp_replace(after, CAPTION_MARK, "")).otherwise("")
+    c = strip(F.when(r.rlike(CAPTION_TO_END), marked).otherwise(rest))
     wrapped = c.rlike(r"""(?s)^".*"$""") | c.rlike(r"(?s)^'.*'$")
     return F.when(wrapped, strip(c.substr(F.lit(2), F.length(c) - 2))).otherwise(c)
 

@@ -30,13 +30,16 @@ def remaining_time(done: DataFrame, totals: DataFrame) -> DataFrame:
         F.try_divide(left.cast("double"), rate).alias("seconds_left"))
 
 
-def annotate_stream(new: DataFrame, annotate: Callable[[DataFrame], DataFrame], path: str, checkpoint: str):
+def annotate_stream(new: DataFrame, annotate: Callable[[DataFrame], DataFrame], path: str, checkpoint: str,
+                    every: str | None = None):
     """Annotate each batch of new prediction rows and append the result; the checkpoint takes the place of
     looking for files that already exist.  A batch number marks its rows, so a batch repeated after a
-    failure replaces its earlier try."""
+    failure replaces its earlier try.  All rows of an image must arrive in one batch (the models' outputs are
+    released together).  ``every``: time between batches; None works off what is there and stops."""
 
     def work(batch: DataFrame, number: int) -> None:
-        annotate(batch).withColumn("batch", F.lit(number)).write.mode("overwrite").option(
+        annotate(batch).withColumn("batch", F.lit(int(number))).write.mode("overwrite").option(
             "partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(path)
 
-    return new.writeStream.foreachBatch(work).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    when = {"processingTime": every} if every else {"availableNow": True}
+    return new.writeStream.foreachBatch(work).option("checkpointLocation", checkpoint).trigger(**when).start()

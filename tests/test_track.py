@@ -115,3 +115,27 @@ def test_stream(spark, tmp_path):
         assert result(spark.table("tracked")) == walk(rows, max_lost=2)
     finally:
         q.stop()
+
+
+def test_stream_with_event_time(spark, tmp_path):
+    """With times the state of a silent video ends; a video that returns later starts anew."""
+    import datetime as dt
+
+    t0 = dt.datetime(2024, 1, 1)
+    at = lambda m: t0 + dt.timedelta(minutes=m)
+    row = lambda v, f, m: (v, f, 0, 0.0, 0.0, 50.0, 50.0, at(m))
+    src = tmp_path / "in"
+    src.mkdir()
+    schema = S + ", ts timestamp"
+    stream = spark.readStream.schema(schema).parquet(f"{src}/*")
+    q = (track.track_stream(stream, width=200, height=200, lateness="1 minute").writeStream.format("memory").queryName("timed")
+         .outputMode("append").option("checkpointLocation", str(tmp_path / "cp")).start())
+    try:
+        for i, part in enumerate([[row(1, 1, 0), row(2, 1, 0)], [row(2, 2, 1)], [row(2, 3, 60)], [row(2, 4, 61)], [row(1, 2, 62), row(2, 5, 62)]]):
+            spark.createDataFrame(part, schema).coalesce(1).write.parquet(str(src / f"b{i}"))
+            q.processAllAvailable()
+        got = result(spark.table("timed"))
+        assert got[(1, 1, 0)] == (0, 1) and got[(1, 2, 0)] == (0, 1)      # forgotten in between
+        assert [got[(2, f, 0)][0] for f in (1, 2)] == [0, 0] and got[(2, 5, 0)][1] >= 2
+    finally:
+        q.stop()
