@@ -27,11 +27,15 @@ def level1(detections: DataFrame, words: DataFrame | None = None, models: DataFr
            keep: Callable[[DataFrame], DataFrame] = scale.checkpointed) -> Level1:
     """Suppress repeats, apply thresholds, let models vote, number objects, look up affordances.
 
+    ``models``: a model table with registered models; ranks come from it when ``detections`` has none.
+
     The number of boxes per image is checked once, here; later stages only ever see fewer.  ``keep`` stores
     the result: it feeds many later steps, and outside models read it."""
+    if models is not None and "priority" not in detections.columns:
+        detections = vote.with_priority(detections, models)
     crowded = scale.has_oversized(detections, ["image_id"], scale.GROUP_LIMIT)
     kept = vote.model_threshold(dedup.nms(scale.by_image(detections, crowded), hot=crowded), models)
-    voted = keep(vote.assign_ids(vote.vote(kept, hot=crowded), hot=crowded))
+    voted = keep(vote.assign_ids(vote.vote(kept, models=models, hot=crowded), hot=crowded))
     words = aff.dictionary(detections.sparkSession) if words is None else words
     usable = aff.affordances(voted, words)   # before labels are generalised
     general = F.array_distinct(F.transform("labels", T.normalise_person))
