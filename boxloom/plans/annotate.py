@@ -96,7 +96,7 @@ def finish(first: Level1, second: Level2, images: DataFrame, captions: DataFrame
     details = ground.ground_short(short, second.grounding, objects)
     extra = [ground.short_captions(short, details), landmarks, aff.as_map(first.affordances),
              relate.relationships(images, second.links).select(
-                 "image_id", F.struct("object_ids", "floating_object_ids", "grounding").alias("relationships"))]
+                 "image_id", "part", F.struct("object_ids", "floating_object_ids", "grounding").alias("relationships"))]
     if dense is not None:
         found = ground.ground_dense(dense, objects, second.grounding, hot=first.crowded)
         extra.append(ground.dense_captions(dense, found, objects))
