@@ -328,7 +328,8 @@ def phrase_grounding(t):
     """Relationship phrases over the plain objects, one per label, by the ids they name."""
     o = plain_objects(t)
     return o.groupBy("image_id", F.element_at("labels", 1).alias("phrase")).agg(
-        F.struct(F.min("id").alias("seq"), F.lit(0).alias("part")).alias("pos"), F.array_sort(F.collect_list("id")).alias("object_ids"))
+        F.struct(F.min("id").alias("seq"), F.lit(0).alias("part")).alias("pos"), F.array_sort(F.collect_list("id")).alias("object_ids")
+    ).withColumn("part", F.lit(0))
 
 
 _GR = "gr as (select image_id, labels[1] as phrase, min(id) as pos, list(id order by id) as object_ids from objs group by 1, 2)"

@@ -119,7 +119,7 @@ def test_responses(spark):
 
 
 OBJ = "image_id long, kind string, id int, x1 double, y1 double, x2 double, y2 double, labels array<string>, attributes array<string>, depth double"
-GR = "image_id long, pos struct<seq:int,part:int>, phrase string, object_ids array<int>"
+GR = "image_id long, pos struct<seq:int,part:int>, phrase string, object_ids array<int>, part int"
 
 
 def test_dense_grounding_steps(spark):
@@ -128,7 +128,7 @@ def test_dense_grounding_steps(spark):
         (0, "object", 1, 0.0, 0.0, 5.0, 5.0, ["tree"], None, 1.0), (0, "object", 2, 1.0, 1.0, 4.0, 4.0, ["trees"], None, 1.0),
         (0, "object", 3, 0.0, 0.0, 5.0, 5.0, ["dog"], None, 1.0), (0, "object", 4, 9.0, 9.0, 12.0, 12.0, ["dog"], None, 1.0),
         (0, "floating", 5, 0.0, 0.0, 1.0, 1.0, ["bird"], ["tiny grey bird on wire"], 1.0)], OBJ)
-    grounding = spark.createDataFrame([(0, (0, 0), "the road", [3, 4]), (0, (1, 0), "an old man", [1])], GR)
+    grounding = spark.createDataFrame([(0, (0, 0), "the road", [3, 4], 0), (0, (1, 0), "an old man", [1], 0)], GR)
     caption = spark.createDataFrame([(0, "A shiny red car on the road. Some tall trees and two brown dogs. One grey tiny bird is there.")], "image_id long, caption string")
     got = {r.phrase: r for r in ground.ground_dense(caption, objs, grounding).collect()}
     assert {p: (r.step, r.object_ids) for p, r in got.items()} == {
@@ -155,7 +155,7 @@ def test_scene_text(spark):
     objs = spark.createDataFrame([
         (0, "object", 0, 0.0, 0.0, 10.0, 10.0, ["big_tree"], None, 10.0), (0, "object", 1, 5.0, 5.0, 15.0, 15.0, ["car"], ["x: red_one"], 9.9),
         (0, "object", 2, 900.0, 0.0, 910.0, 10.0, ["house"], None, 0.0), (0, "floating", 3, 0.0, 0.0, 1.0, 1.0, ["no"], None, 5.0)], OBJ)
-    grounding = spark.createDataFrame([(0, (0, 0), "the car", [1, 3]), (0, (1, 0), "a house", [2])], GR)
+    grounding = spark.createDataFrame([(0, (0, 0), "the car", [1, 3], 0), (0, (1, 0), "a house", [2], 0)], GR)
     images = spark.createDataFrame([(0, ["", "A cap."], ("Out", "Field")), (1, ["", "None here."], None)],
                                    "image_id long, captions array<string>, landmark struct<category:string,fine_category:string>")
     groups = scene.proximity_groups(scene.depth_layers(scene.scene_objects(objs, 100)))
@@ -180,6 +180,6 @@ def test_fuzzy_on_shared_pieces(spark):
     objs = spark.createDataFrame([(0, "object", i, 0.0, 0.0, 1.0, 1.0, ["l"], [say()], 1.0) for i in range(40)], OBJ)
     phrases = spark.createDataFrame([(0, i, "n", say()) for i in range(60)], "image_id long, pos int, noun string, phrase string")
     none = spark.createDataFrame([], "image_id long, phrase string")
-    grounding = spark.createDataFrame([(0, (i, 0), say(), [i]) for i in range(5)], GR)
+    grounding = spark.createDataFrame([(0, (i, 0), say(), [i], 0) for i in range(5)], GR)
     a, b = (sorted(map(str, ground.dense_fuzzy(phrases, objs, grounding, none, hot).collect())) for hot in (False, True))
     assert a == b and len(a) > 10
