@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from boxloom.llm.common import once, only, without
+from boxloom.llm.common import once, only, stored, without
 from boxloom.scale import maybe_broadcast
 
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -63,10 +63,11 @@ def find(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "te
     columns are ignored.  Item tables are broadcast only when they are proven small.
     """
     shingles = item_shingles(items, item_key, item_text, size)
+    shingles = stored(shingles)
     signed = maybe_broadcast(signatures(shingles, share))
     w = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("_k"), once(words_of(F.col(text))).alias("w"))
     met = shingled(w, lambda *x: F.xxhash64(*x).alias("h"), size)
-    candidates = met.join(signed, "h").groupBy("_k", "item").agg(F.first("q").alias("q"))
+    candidates = stored(met.join(signed, "h").select("_k", "item").distinct())
     texts = only(w, candidates.select("_k").distinct(), "_k")
     held = shingled(texts, as_text, size)
     known = maybe_broadcast(shingles.select("shingle", "item", "q"))
@@ -78,4 +79,4 @@ def find(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "te
 
 def clean(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """Rows of ``docs`` that hold no item; rows with a null key stay."""
-    return without(docs, find(docs, items, key, text, **options).select(key).distinct(), key)
+    return without(docs, stored(find(docs, items, key, text, **options).select(key).distinct()), key)

@@ -86,7 +86,7 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_wo
     texts stay as they are with 0 lines; so do rows with a null key.  A doc_id names one text: rows that repeat it are
     one place.  Other columns pass through.
     """
-    gone = deleted_lines(docs, key, text, min_words)
+    gone = stored(deleted_lines(docs, key, text, min_words))
     d = docs.join(maybe_broadcast(gone.withColumnRenamed("gone", "_gone")), key, "left")
     lines = F.split(F.col(text), "\n")
     n = F.when(F.length(text) > 0, F.size(lines)).otherwise(0)
