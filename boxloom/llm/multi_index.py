@@ -145,16 +145,16 @@ def compared(index: DataFrame, cosine: float) -> DataFrame:
     part = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     mine = index.withColumnRenamed("own", "cell").join(sizes, "cell").select("cell", part("mb").alias("x"), each("vb").alias("y"), "id", "vector", "copies", "cells")
-    theirs = visits.join(sizes, "cell").select("cell", each("mb").alias("x"), part("vb").alias("y"), "id", "vector", "copies", "own")
+    theirs = visits.join(sizes, "cell").select("cell", each("mb").alias("x"), part("vb").alias("y"), *[F.col(c).alias(f"v_{c}") for c in ("id", "vector", "copies", "own")])
 
     def meet(members: pd.DataFrame, visitors: pd.DataFrame) -> pd.DataFrame:
         if not len(members) or not len(visitors):
             return pd.DataFrame({"id": [], "n": [], "root": []}).astype("int64")
         m = np.frombuffer(b"".join(members["vector"]), np.float64).reshape(len(members), -1)
-        v = np.frombuffer(b"".join(visitors["vector"]), np.float64).reshape(len(visitors), -1)
-        mi, vi = members["id"].to_numpy(), visitors["id"].to_numpy()
-        mc, vc = members["copies"].to_numpy(), visitors["copies"].to_numpy()
-        own, back = np.unique(visitors["own"].to_numpy(), return_inverse=True)
+        v = np.frombuffer(b"".join(visitors["v_vector"]), np.float64).reshape(len(visitors), -1)
+        mi, vi = members["id"].to_numpy(), visitors["v_id"].to_numpy()
+        mc, vc = members["copies"].to_numpy(), visitors["v_copies"].to_numpy()
+        own, back = np.unique(visitors["v_own"].to_numpy(), return_inverse=True)
         seen = np.array([np.isin(own, c) for c in members["cells"]])             # does the member visit the visitor's cell?
         hit = (v @ m.T >= cosine) & ((vi[:, None] < mi) | ~seen[:, back].T) & (vi[:, None] != mi)
         a, b = np.nonzero(hit)

@@ -3,7 +3,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from boxloom.llm import contamination, license_rules, line_runs, link_trust, packing, quality
+from boxloom.llm import (
+    bloom_lm,
+    contamination,
+    jaccard_join,
+    license_rules,
+    line_runs,
+    link_trust,
+    multi_index,
+    packing,
+    page_text,
+    quality,
+)
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -23,6 +34,16 @@ def op1_link_trust(spark, folder):
     return link_trust.judge(table(spark, folder, "pages"))
 
 
+@query
+def op2_multi_index(spark, folder):
+    return multi_index.near_duplicates(table(spark, folder, "embeddings"))
+
+
+@query
+def op3_jaccard_join(spark, folder):
+    return jaccard_join.join(table(spark, folder, "documents"))
+
+
 @query
 def op4_line_runs(spark, folder):
     out = line_runs.dedup_lines(table(spark, folder, "documents"))
@@ -39,6 +60,11 @@ def op6_packing(spark, folder):
     return packing.pack(packing.pieces(table(spark, folder, "documents")))
 
 
+@query
+def op7_page_text(spark, folder):
+    return page_text.extract(table(spark, folder, "pages"))
+
+
 @query
 def op8_quality(spark, folder):
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
@@ -49,3 +75,8 @@ def op8_quality(spark, folder):
 @query
 def op9_contamination(spark, folder):
     return contamination.find(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query
+def op10_bloom_lm(spark, folder):
+    return bloom_lm.score(table(spark, folder, "documents"))

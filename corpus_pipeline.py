@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from boxloom.llm import contamination, line_runs, packing, quality
+from boxloom.llm import contamination, jaccard_join, line_runs, packing, quality
 from boxloom.llm.common import stored
 
 ORACLE_SQL = None      # a trained classifier and a tokenizer stand in the way of SQL
@@ -22,6 +22,11 @@ def fresh_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return left.withColumn("n_chars", line_runs.counted(left)).select(*docs.columns) if "n_chars" in docs.columns else left.select(*docs.columns)
 
 
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first document of every group of near duplicates: five-word shingles, similarity 0.8 or more."""
+    return jaccard_join.one_of_each(docs, size=5, share=80)
+
+
 def clean_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
     return contamination.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
@@ -32,7 +37,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(packing.pieces(docs))
 
 
-STAGES = [("quality classifier", good_documents), ("line dedup", fresh_lines),
+STAGES = [("quality classifier", good_documents), ("line dedup", fresh_lines), ("n-gram Jaccard join", one_of_each_group),
           ("benchmark decontamination", clean_of_benchmark), ("best-fit packing", packed)]
 
 
