@@ -37,12 +37,12 @@ def stored(df: DataFrame) -> DataFrame:
 
 def without(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     """Rows of ``df`` whose ``key`` is not in ``ids`` (one column); null keys stay."""
-    return df.join(maybe_broadcast(ids), key, "left_anti")
+    return df.join(maybe_broadcast(ids), key, "left_anti").select(*df.columns)
 
 
 def only(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     """Rows of ``df`` whose ``key`` is in ``ids`` (one column)."""
-    return df.join(maybe_broadcast(ids), key, "left_semi")
+    return df.join(maybe_broadcast(ids), key, "left_semi").select(*df.columns)
 
 
 def ascii_lower(c):
