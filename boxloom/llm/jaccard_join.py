@@ -87,7 +87,7 @@ def heads(texts: DataFrame, levels: np.ndarray, size: int = SIZE, share: int = S
 
 
 def lists(classes: DataFrame) -> DataFrame:
-    """Entries of the inverted lists with at least two sets: (t, id, n, pos, leader).
+    """Entries of the inverted lists with at least two sets: (t, id, n, pos, rare, leader).
 
     Lists of rare shingles are short by the sketch, so one window finds their leaders; those of frequent ones may
     hold any share of the sets and get theirs from a sum with map-side combine.
@@ -96,10 +96,10 @@ def lists(classes: DataFrame) -> DataFrame:
     rank = F.struct("odd", "id")
     w = Window.partitionBy("t")
     rare = (e.where("pos < n0").select("t", "id", "n", "pos", F.count("*").over(w).alias("c"), F.min(rank).over(w)["id"].alias("leader"))
-            .where("c > 1").drop("c"))
+            .where("c > 1").drop("c").withColumn("rare", F.lit(True)))
     often = e.where("pos >= n0")
     led = often.groupBy("t").agg(F.count("*").alias("c"), F.min(rank)["id"].alias("leader")).where("c > 1").drop("c")
-    return rare.union(often.select("t", "id", "n", "pos").join(led, "t"))
+    return rare.unionByName(often.select("t", "id", "n", "pos").join(led, "t").withColumn("rare", F.lit(False)))
 
 
 def overlaps(pairs: DataFrame, texts: DataFrame, size: int = SIZE) -> DataFrame:
@@ -135,6 +135,24 @@ def needed(share: int, a: str, b: str):
     return F.ceil((F.col(a) + F.col(b)) * share / F.lit(100.0 + share) - 1e-9)
 
 
+def standing(classes: DataFrame, found: DataFrame, star: DataFrame, member: DataFrame) -> DataFrame:
+    """What the first comparisons say of every listed set: (id, c: component so far, p: leader it was compared with, o:
+    shingles in common, x: how many of its others it can share with another set of that leader, or null).
+
+    A rare shingle that two sets share stands in a list of both, if the prefixes of both hold all their rare ones.
+    So of the shingles outside the leader only the listed rare ones and the frequent ones can be shared.
+    """
+    own = star.select(F.col("b").alias("id"), F.col("a").alias("p"), "o")
+    lead = star.select(F.col("a").alias("id")).distinct().join(own.select("id"), "id", "left_anti")
+    known = own.union(lead.join(classes.select("id", "n"), "id").select("id", F.col("id").alias("p"), "n"))
+    known = known.join(classes.select(F.col("id").alias("p"), F.col("n0").alias("n0p")), "p")
+    listed = found.groupBy("id").agg(F.count(F.when(F.col("rare"), 1)).alias("u"))
+    about = listed.join(classes.select("id", "n", "n0", F.size("t").alias("k")), "id").join(known, "id", "left").join(member, "id", "left")
+    frequent = F.greatest(F.lit(0), F.col("n") - F.col("n0") - F.col("o") + F.least("n0", "n0p"))
+    x = F.when(F.col("n0") <= F.col("k"), F.least(F.col("n") - F.col("o"), F.col("u") + frequent))
+    return about.select("id", "p", "o", x.alias("x"), F.coalesce("component_id", "id").alias("c"))
+
+
 def links(classes: DataFrame, texts: DataFrame, size: int = SIZE, share: int = SHARE) -> DataFrame:
     """Edges (a, b) that connect exactly the components of the similarity graph over distinct sets."""
     found = stored(lists(classes))
@@ -147,19 +165,24 @@ def links(classes: DataFrame, texts: DataFrame, size: int = SIZE, share: int = S
     sure = star.where(F.col("o") >= needed(share, "na", "nb")).select("a", "b")
     member = maybe_broadcast(stored(components(sure)))
     leading = maybe_broadcast(stored(member.select(F.col("id").alias("leader"), F.col("component_id").alias("lc"))))
-    e = (found.join(member, "id", "left").join(leading, "leader", "left")
-         .select("t", "id", "n", "pos", F.coalesce("component_id", "id").alias("c"), F.coalesce("lc", "leader").alias("lc"),
+    e = (found.join(standing(classes, found, star, member), "id").join(leading, "leader", "left")
+         .select("t", "id", "n", "pos", "p", "o", "x", "c", F.coalesce("lc", "leader").alias("lc"),
                  F.floor(F.log("n") / F.log(F.lit(100 / share))).cast("int").alias("block")))
-    rest = e.where("c <> lc").select("t", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("c").alias("cb"),
-                                     F.explode(F.array(*[F.col("block") + k for k in (-1, 0, 1)])).alias("block"))
-    every = e.select("t", "block", F.col("id").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("c").alias("ca"), "lc")
-    room = F.least(F.col("pa"), F.col("pb")) + 1 + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) - 1
-    pair = rest.join(every, ["t", "block"]).where("ca <> cb and (ca = lc or a < b)").where(close).where(room >= needed(share, "na", "nb"))
-    pair = pair.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.count("*").alias("hits"))
+    side = lambda k: [F.col(c).alias(f"{c}{k}") for c in ("n", "pos", "p", "o", "x", "c")]
+    rest = e.where("c <> lc").select("t", F.col("id").alias("b"), *side("b"), F.explode(F.array(*[F.col("block") + k for k in (-1, 0, 1)])).alias("block"))
+    every = e.select("t", "block", F.col("id").alias("a"), *side("a"), "lc")
+    room = F.least("posa", "posb") + F.least(F.col("na") - F.col("posa"), F.col("nb") - F.col("posb"))
+    met = F.expr("(pa <=> b) or (pb <=> a)")                         # compared already
+    beyond = F.when(F.col("xa").isNotNull() & F.col("xb").isNotNull(), F.least("xa", "xb")).otherwise(F.least(F.col("na") - F.col("oa"), F.col("nb") - F.col("ob")))
+    hopeless = F.coalesce((F.col("pa") == F.col("pb")) & (F.least("oa", "ob") + beyond < needed(share, "na", "nb")), F.lit(False))
+    pair = rest.join(every, ["t", "block"]).where("ca <> cb and (ca = lc or a < b)").where(close).where(room >= needed(share, "na", "nb")).where(~met & ~hopeless)
+    left = {x: F.floor(F.col(f"n{x}") * share / F.lit(100.0) + (1 - 1e-9)) - 1 for x in "ab"}     # shingles after the prefix
+    pair = pair.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(
+        F.count("*").alias("hits"), F.max(F.greatest("na", "nb")).alias("hi"), F.max(F.col("na") + F.col("nb")).alias("both"))
+    pair = pair.where(F.col("hits") + F.ceil(F.col("hi") * share / F.lit(100.0)) - 1 >= F.ceil(F.col("both") * share / F.lit(100.0 + share) - 1e-9)).select("a", "b", "hits")
     about = classes.select("id", "n", "top", F.element_at("t", -1).alias("end"))
     for x in "ab":
         pair = pair.join(about.select(F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("top").alias(f"top{x}"), F.col("end").alias(f"end{x}")), x)
-    left = {x: F.floor(F.col(f"n{x}") * share / F.lit(100.0) + (1 - 1e-9)) - 1 for x in "ab"}     # shingles after the prefix
     after = F.when(F.struct("topa", "enda") <= F.struct("topb", "endb"), left["a"]).otherwise(left["b"])
     pair = pair.where(F.col("hits") + after >= needed(share, "na", "nb")).select("a", "b", "na", "nb")
     answers = star.select(F.col("b").alias("id"), F.col("a").alias("p"), "o", F.col("na").alias("np"))
