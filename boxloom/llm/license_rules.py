@@ -119,6 +119,8 @@ def rules() -> list[tuple[str, str, str, int, float]]:
     out = list(SINGLE)
     for label, keyword, name, short in FAMILIES:
         out += [(label, keyword, form.format(n=name), p, c) for form, p, c in FORMS]
+        if "licen" in name:
+            out.append((label, keyword, name, 3, 0.6))
         if short:
             out.append((label, "spdx", f"spdx licen[cs]e identifier {short}(?: only| or later)?", 0, 0.99))
     for part, name in COMMONS:
