@@ -57,7 +57,6 @@ def person_word(label: Column) -> Column:
 TAG_LIST = r"(?is)TAGS?\s*:\s*\[(.*?)\]"
 ANY_LIST = r"(?s)\[(.*?)\]"
 CAPTION_TO_TAGS = r"(?is)CAPTION\s*:\s*(.+?)(?=\n\s*(?:TAGS|\z))"
-CAPTION_TO_END = r"(?is)CAPTION\s*:\s*(.+?)(?=\n\s*(?:TAGS|\z)|\z)"
 CAPTION_MARK = r"(?i)^CAPTION\s*:\s*"
 
 
@@ -76,14 +75,14 @@ def parse_tags(response: Column) -> Column:
 
 
 def parse_caption(response: Column) -> Column:
-    """The caption of a response: the text after ``CAPTION:`` up to a line with tags, or else what
-    follows the first bracketed list; wrapping quotes removed."""
+    """The caption of a response: the text after ``CAPTION:`` where a line with tags follows, or else what
+    follows the first bracketed list, its own ``CAPTION:`` taken off; nothing without either; wrapping quotes
+    removed."""
     r = strip(response)
-    marked = F.when(r.rlike(CAPTION_TO_TAGS), F.regexp_extract(r, CAPTION_TO_TAGS, 1)).otherwise(
-        F.regexp_extract(r, CAPTION_TO_END, 1))
+    marked = F.regexp_extract(r, CAPTION_TO_TAGS, 1)
     after = strip(F.regexp_replace(r, r"(?s)^.*?\[.*?\]", ""))
     rest = F.when(r.rlike(ANY_LIST), F.regexp_replace(after, CAPTION_MARK, "")).otherwise("")
-    c = strip(F.when(r.rlike(CAPTION_TO_END), marked).otherwise(rest))
+    c = strip(F.when(r.rlike(CAPTION_TO_TAGS), marked).otherwise(rest))
     wrapped = c.rlike(r"""(?s)^".*"$""") | c.rlike(r"(?s)^'.*'$")
     return F.when(wrapped, strip(c.substr(F.lit(2), F.length(c) - 2))).otherwise(c)
 
@@ -197,10 +196,10 @@ def _nfkc(s: pd.Series) -> pd.Series:
 
 
 def clean_unicode(text: Column) -> Column:
-    """Doubled backslashes made single and compatibility characters folded; pure ASCII, the
-    common case, never leaves the JVM."""
+    """Doubled backslashes made single and compatibility characters folded; of pure ASCII texts, the
+    common case, only nulls are sent to the folding function."""
     single = F.replace(text, F.lit("\\\\"), F.lit("\\"))
-    return F.when(single.rlike(r"^[\x00-\x7F]*$"), single).otherwise(_nfkc(single))
+    return F.when(single.rlike(r"^[\x00-\x7F]*$"), single).otherwise(_nfkc(F.when(single.rlike(r"[^\x00-\x7F]"), single)))
 
 
 # Punctuation removed from grounded captions (comma and full stop stay)

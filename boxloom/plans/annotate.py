@@ -75,9 +75,12 @@ def level2(first: Level1, images: DataFrame, phrases: DataFrame, described: Data
 
 
 def scene_texts(second: Level2, images: DataFrame, captions: DataFrame, landmarks: DataFrame,
-                hot: bool | None = None) -> DataFrame:
-    """The scene description of every image, input of the dense captioner."""
-    layered = scene.depth_layers(scene.scene_objects(second.objects, 100, hot))
+                hot: bool | None = None, most: int | None = 100) -> DataFrame:
+    """The scene description of every image, input of the dense captioner.
+
+    In images with more than ``most`` objects, those with attributes and the first others up to ``most`` are spoken of;
+    None speaks of all."""
+    layered = scene.depth_layers(scene.scene_objects(second.objects, most, hot))
     groups = scene.proximity_groups(layered, hot=hot)
     related = scene.relationship_groups(second.grounding, groups)
     base = relate.attach_captions(images.select("image_id"), captions).join(landmarks, "image_id", "left")

@@ -151,9 +151,9 @@ def parse_voc(documents: DataFrame) -> DataFrame:
         F.col("o.bndbox.xmax").alias("x2"), F.col("o.bndbox.ymax").alias("y2"))
 
 
-def parse_yolo(lines: DataFrame, images: DataFrame, limit: int | None = 100) -> DataFrame:
+def parse_yolo(lines: DataFrame, images: DataFrame, limit: int | None = None) -> DataFrame:
     """Boxes from ``class cx cy w h`` lines in shares of the image; lines with fewer than five fields are
-    skipped, and the format's own limit of boxes per image applies (None for all).
+    skipped.  All boxes come; ``limit`` keeps the first boxes of each image instead.
     ``lines(image_id, line_no, line)``."""
     f = F.split(T.strip(F.col("line")), r"\s+")
     num = lambda i: f[i].cast("double")
@@ -166,7 +166,7 @@ def parse_yolo(lines: DataFrame, images: DataFrame, limit: int | None = 100) ->
     return sized.select("image_id", "line_no", f[0].cast("int").alias("class_index"), *[getattr(box, c).alias(c) for c in BOX])
 
 
-def read_yolo(spark: SparkSession, path: str, images: DataFrame, limit: int | None = 100) -> DataFrame:
+def read_yolo(spark: SparkSession, path: str, images: DataFrame, limit: int | None = None) -> DataFrame:
     text = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True)
     name = F.regexp_replace(F.url_decode(F.element_at(F.split("_metadata.file_path", "/"), -1)), r"\.[^.]+$", "")
     lines = text.select(name.alias("image_id"), F.posexplode(F.split("value", r"\r?\n")).alias("line_no", "line"))

@@ -8,7 +8,7 @@ from boxloom import scale
 from boxloom.functions import text as T
 
 # File types taken as images
-EXTENSIONS = ["jpg", "jpeg", "png"]
+EXTENSIONS = ["jpg", "jpeg", "png", "bmp", "tif", "tiff", "webp"]
 
 
 def list_files(spark: SparkSession, root: str) -> DataFrame:

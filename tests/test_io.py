@@ -75,6 +75,20 @@ def test_voc_and_yolo(spark, tmp_path):
     assert [(r.class_index, round(r.x1, 6), round(r.y1, 6), round(r.x2, 6), round(r.y2, 6)) for r in rows] == [(0, 40.0, 15.0, 60.0, 35.0), (2, 0.0, 0.0, 50.0, 25.0)]
 
 
+def test_yolo_keeps_every_box(spark, tmp_path):
+    put(tmp_path / "yolo" / "a.txt", "0 0.5 0.5 0.2 0.4\n" * 150)
+    images = spark.createDataFrame([("a", 100, 50)], "image_id string, width int, height int")
+    assert corpora.read_yolo(spark, str(tmp_path / "yolo"), images).count() == 150
+    assert corpora.read_yolo(spark, str(tmp_path / "yolo"), images, 100).count() == 100
+
+
+def test_every_image_type_is_found(spark, tmp_path):
+    for kind in ("jpg", "JPEG", "png", "bmp", "tif", "tiff", "webp", "txt"):
+        put(tmp_path / "all" / "flat" / f"{kind.lower()}.{kind}", "x")
+    found = discover.discover_images(discover.list_files(spark, str(tmp_path / "all")), str(tmp_path / "all"))
+    assert found.count() == 7
+
+
 def test_depth_files(spark, tmp_path):
     level = np.array([[0, 51], [102, 255]], dtype=np.uint8)
     put(tmp_path / "img.png_min_-10.0_max_41.0.jpg", level.tobytes())

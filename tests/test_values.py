@@ -116,6 +116,9 @@ def test_responses(spark):
     assert got[0] == (["corn_field", "leaf", "soil"], "A field of corn. It is green.")
     assert got[1] == (["a", "b", "c"], "no mark here") and got[2] == ([], "")
     assert got[3] == (["x", "y", "z"], "first line") and got[4] == (["a", "b"], "after list\nmore")
+    rows = [("CAPTION: foo [a,b,c]",), ("CAPTION: only words",), ("TAGS: [a, b, c] blah\nCAPTION: foo bar",)]
+    got = [r[0] for r in spark.createDataFrame(rows, "response string").select(T.parse_caption(F.col("response"))).collect()]
+    assert got == ["", "", "blah\nCAPTION: foo bar"]
 
 
 OBJ = "image_id long, kind string, id int, x1 double, y1 double, x2 double, y2 double, labels array<string>, attributes array<string>, depth double"
