@@ -15,11 +15,12 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from boxloom.llm.common import WordHashes, grams, mix, stored
+from boxloom.llm.common import WordHashes, grams, stored
 from boxloom.llm.link_trust import host_of
 from boxloom.scale import maybe_broadcast
 
@@ -28,7 +29,7 @@ SPARSE = 16            # suffixes of which one is kept
 # Shares of a host's pages, and numbers of pages, that make a substring boilerplate: inside the article, and elsewhere.
 INSIDE, ELSEWHERE = (0.8, 10), (0.1, 3)
 
-TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][\w:-]*)((?:[^>"']|"[^"]*"|'[^']*')*)(?:>|\Z)|<(/?)([a-zA-Z][\w:-]*)([^>]*)(?:>|\Z)""", re.S)
+TAG = re.compile(r"""<(?:!--.*?(?:-->|\Z)|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][\w:-]*)((?:[^>"']|"[^"]*"|'[^']*')*)(?:>|\Z)|(/?)([a-zA-Z][\w:-]*)([^>]*)(?:>|\Z))""", re.S)
 RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "svg", "math", "canvas", "object", "xmp"}
 IMPLIED = {"p", "li", "dt", "dd", "tr", "td", "th", "option"}      # a second one ends the first
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
@@ -147,17 +148,15 @@ def blocks(page: str) -> list[tuple[str, bool]]:
     return [(t, False) for t, _, links in out if not links]
 
 
-def suffixes(words: list[bytes], inside: bool, hashes: WordHashes) -> tuple[np.ndarray, np.ndarray, int]:
-    """Kept suffixes of a block: their places, their keys (up to ``DEPTH`` words; the whole of a short block), and how
-    many words a key covers."""
-    h = hashes.of(words)
-    side = np.uint64(1 if inside else 2)
-    if len(h) < DEPTH + SPARSE - 1:
-        return np.zeros(1, np.int64), mix(grams(h, len(h)) + side + np.uint64(len(h) << 2)), len(h)
-    keys = mix(grams(h, DEPTH) + side)
+def suffixes(block: bytes, n: int, keys: np.ndarray, inside: bool) -> tuple[np.ndarray, np.ndarray, int]:
+    """Kept suffixes of a block of ``n`` words: their places, their keys (of ``DEPTH`` words; of the whole of a short
+    block), and how many words a key covers.  ``keys`` are those of all its runs of ``DEPTH`` words."""
+    side = np.uint64(0x5851F42D4C957F2D if inside else 0x14057B7EF767814F)
+    if n < DEPTH + SPARSE - 1:
+        return np.zeros(1, np.int64), np.array([xxhash.xxh64_intdigest(block)], np.uint64) ^ side, n
     low = sliding_window_view(keys, SPARSE).argmin(1)
     at = np.unique(low + np.arange(len(low)))
-    return at, keys[at], DEPTH
+    return at, keys[at] ^ side, DEPTH
 
 
 def page_keys(pages: DataFrame) -> DataFrame:
@@ -165,15 +164,27 @@ def page_keys(pages: DataFrame) -> DataFrame:
     def run(batches):
         hashes = WordHashes()
         for b in batches:
-            out = [[], [], []]
+            out, found, words = [[], [], []], [], []
             for host, page in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                for side in (True, False):
-                    own = [suffixes(t.encode().split(b" "), side, hashes)[1] for t, s in blocks(page) if s == side]
-                    if own:
-                        keys = np.unique(np.concatenate(own)).view(np.int64)
-                        out[0].append(np.full(len(keys), host))
-                        out[1].append(keys)
-                        out[2].append(np.full(len(keys), side))
+                for text, side in blocks(page):
+                    raw = text.encode()
+                    own = raw.split(b" ")
+                    found.append((host, side, raw, len(words), len(own)))
+                    words += own
+                found.append(None)
+            keys = grams(hashes.of(words), DEPTH)          # at once for all blocks; runs across blocks are not used
+            page = {}
+            for block in found:
+                if block is not None:
+                    host, side, raw, start, n = block
+                    page.setdefault((host, side), []).append(suffixes(raw, n, keys[start:start + max(0, n - DEPTH + 1)], side)[1])
+                    continue
+                for (host, side), own in page.items():
+                    own = np.unique(np.concatenate(own)).view(np.int64)
+                    out[0].append(np.full(len(own), host))
+                    out[1].append(own)
+                    out[2].append(np.full(len(own), side))
+                page = {}
             kinds = [np.int64, np.int64, bool]
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c) if c else np.zeros(0, k)) for c, k in zip(out, kinds, strict=True)], ["host", "key", "inside"])
 
@@ -192,7 +203,7 @@ def boilerplate(pages: DataFrame) -> DataFrame:
 def unique_runs(text: str, inside: bool, known: set, hashes: WordHashes) -> str:
     """A block without the words that known suffixes cover, gaps between neighbouring ones included."""
     words = text.encode().split(b" ")
-    at, keys, wide = suffixes(words, inside, hashes)
+    at, keys, wide = suffixes(text.encode(), len(words), grams(hashes.of(words), DEPTH), inside)
     hit = [int(a) for a, k in zip(at, keys.view(np.int64).tolist(), strict=True) if k in known]
     if not hit:
         return text
