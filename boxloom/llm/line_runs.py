@@ -51,9 +51,11 @@ def repeated(lines: DataFrame, min_words: int) -> DataFrame:
     """Windows that stand earlier too, with the first place: (_k, p, last, k0, last0)."""
     found = windows(lines, min_words)
     place = F.struct("_k", "at")
-    again = found.groupBy("f").agg(F.min(place).alias("lo"), F.max(place).alias("hi")).where("lo <> hi").select("f")
-    known = found.join(again, "f", "left_semi")
+    # Both sums are stored: a join right above its own aggregate could not be split where one fingerprint is very common.
+    again = stored(found.groupBy("f").agg(F.min(place).alias("lo"), F.max(place).alias("hi")).where("lo <> hi").select("f"))
+    known = found.join(maybe_broadcast(again), "f", "left_semi")
     first = known.groupBy("content").agg(F.min(F.struct("_k", "p")).alias("o"), F.max(F.struct("_k", "p")).alias("z")).where("o <> z").drop("z")
+    first = maybe_broadcast(stored(first))
     return known.join(first, "content").where(F.struct("_k", "p") > F.col("o")).select(
         "_k", "p", (F.col("p") + F.col("c") - 1).alias("last"), F.col("o._k").alias("k0"), (F.col("o.p") + F.col("c") - 1).alias("last0"))
 
