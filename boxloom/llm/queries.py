@@ -15,9 +15,9 @@ from boxloom.llm import (
     page_text,
     quality,
 )
+from boxloom.llm.sqltext import ORACLES as ORACLES
 
 QUERIES = {}
-ORACLES: dict[str, str] = {}
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
