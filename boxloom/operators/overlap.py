@@ -19,11 +19,16 @@ def overlap_pairs(a: DataFrame, b: DataFrame, iou: float, *, keys: list[str] = [
     """Pairs of boxes of one image whose overlap reaches the thresholds.
 
     Result: ``keys``, structs ``l`` and ``r`` with all other columns of each side, and ``iou``.
-    Images with few boxes join on ``keys``; otherwise boxes are spread over grid cells, so
+    Images with few boxes join on ``keys``; boxes of the others are spread over grid cells, so
     that one crowded image is joined by many tasks and far-apart boxes never meet; a pair
-    sharing several cells is kept once, in the first cell both have.  ``plus`` is added to the union."""
+    sharing several cells is kept once, in the first cell both have.  ``hot`` puts all images on one of the two
+    plans; by default each goes by its own count.  ``plus`` is added to the union."""
     if hot is None:
-        hot = has_crowds(a, keys) or has_crowds(b, keys)
+        crowded = scale.crowds(keys, PAIR_LIMIT, a, b)
+        if crowded is not None:
+            near, far = (overlap_pairs(x, y, iou, keys=keys, inclusive=inclusive, strict=strict, dice=dice, plus=plus, hot=h, extra=extra)
+                         for x, y, h in zip(scale.apart(a, keys, crowded), scale.apart(b, keys, crowded), (False, True), strict=True))
+            return near.unionByName(far)
     left = a.select(*keys, F.struct(*[c for c in a.columns if c not in keys]).alias("l"))
     right = b.select(*keys, F.struct(*[c for c in b.columns if c not in keys]).alias("r"))
     on = list(keys)
@@ -53,14 +58,15 @@ def overlap_pairs(a: DataFrame, b: DataFrame, iou: float, *, keys: list[str] = [
     return pairs.select(*keys, "l", "r", value.alias("iou"))
 
 
-def has_crowds(df: DataFrame, keys: list[str] = ["image_id"]) -> bool:
-    return scale.has_oversized(df, keys, PAIR_LIMIT)
-
-
 def _match(a: DataFrame, b: DataFrame, iou: float, a_id: list[str], b_order: list[str], value: Column, by_overlap: bool,
            keys: list[str], hot: bool | None, **pair) -> DataFrame:
     if hot is None:
-        hot = has_crowds(a, keys) or has_crowds(b, keys)
+        crowded = scale.crowds(keys, PAIR_LIMIT, a, b)
+        if crowded is not None:
+            near, far = (_match(x, y, iou, a_id, b_order, value, by_overlap, keys, h, **pair)
+                         for x, y, h in zip(scale.apart(a, keys, crowded), scale.apart(b, keys, crowded), (False, True), strict=True))
+            return near.unionByName(far)
+        hot = False
     best = lambda c: F.struct(*([-F.col("iou")] if by_overlap else []), *[F.col(c)[o] for o in b_order])
     if not hot:
         pairs = overlap_pairs(a, b, iou, keys=keys, hot=False, **pair)

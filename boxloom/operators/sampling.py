@@ -39,11 +39,9 @@ def repeat_sample(factors: DataFrame, seed: int = 0) -> DataFrame:
 
 
 def random_subset(df: DataFrame, key: str, k: int, seed: int = 0) -> DataFrame:
-    """``k`` rows chosen by hash of the key.  A small choice is a top-k; a large one is numbered in hash order
-    by a range-partitioned sort, so that it is never brought to one place."""
+    """``k`` rows chosen by hash of the key, numbered in hash order by a range-partitioned sort, so that a choice
+    of any size is never brought to one place."""
     order = [F.xxhash64(key, F.lit(seed)), F.col(key)]
-    if k <= scale.TOP_LIMIT:
-        return df.orderBy(*order).limit(k)
     return scale.running(df, [], order, number="_i").where(F.col("_i") <= k).drop("_i")
 
 

@@ -29,13 +29,14 @@ def level1(detections: DataFrame, words: DataFrame | None = None, models: DataFr
 
     ``models``: a model table with registered models; ranks come from it when ``detections`` has none.
 
-    The number of boxes per image is checked once, here; later stages only ever see fewer.  ``keep`` stores
-    the result: it feeds many later steps, and outside models read it."""
+    Suppression, voting and numbering only ever see fewer boxes, so where no image holds many they need no count of
+    their own.  ``keep`` stores the result: it feeds many later steps, and outside models read it."""
     if models is not None and "priority" not in detections.columns:
         detections = vote.with_priority(detections, models)
     crowded = scale.has_oversized(detections, ["image_id"], scale.GROUP_LIMIT)
-    kept = vote.model_threshold(dedup.nms(scale.by_image(detections, crowded), hot=crowded), models)
-    voted = keep(vote.assign_ids(vote.vote(kept, models=models, hot=crowded), hot=crowded))
+    hot = None if crowded else False
+    kept = vote.model_threshold(dedup.nms(scale.by_image(detections, crowded), hot=hot), models)
+    voted = keep(vote.assign_ids(vote.vote(kept, models=models, hot=hot), hot=hot))
     words = aff.dictionary(detections.sparkSession) if words is None else words
     usable = aff.affordances(voted, words)   # before labels are generalised
     general = F.array_distinct(F.transform("labels", T.normalise_person))
@@ -57,7 +58,7 @@ def level2(first: Level1, images: DataFrame, phrases: DataFrame, described: Data
 
     ``described(image_id, id, attribute)`` and ``crops(image_id, id, vector)`` come from models that saw the
     promoted objects."""
-    objects, links = relate.promote(*relate.relate(first.objects, phrases, hot=first.crowded), hot=first.crowded)
+    objects, links = relate.promote(*relate.relate(first.objects, phrases))
     objects, links = keep(objects.drop("old_id")), keep(links)
     if described is not None:
         objects = relate.insert_attribute(objects, described)
@@ -101,9 +102,9 @@ def finish(first: Level1, second: Level2, images: DataFrame, captions: DataFrame
              relate.relationships(images, second.links).select(
                  "image_id", "part", F.struct("object_ids", "floating_object_ids", "grounding").alias("relationships"))]
     if dense is not None:
-        found = ground.ground_dense(dense, objects, second.grounding, hot=first.crowded)
+        found = ground.ground_dense(dense, objects, second.grounding)
         extra.append(ground.dense_captions(dense, found, objects))
     if masks:
-        objects = merge.add_masks(objects, masks, hot=first.crowded)
+        objects = merge.add_masks(objects, masks)
     base = merge.describe_classes(images, descriptions) if descriptions is not None else images
     return predictions.documents(base, objects, extra)

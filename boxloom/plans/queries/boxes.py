@@ -95,9 +95,10 @@ def vote_query(t):
         F.coalesce(F.array_join("attributes", ","), F.lit("")).alias("attributes"))
 
 
-def crowded(t) -> bool:
-    """The one size check of a chain: its later steps hold no more rows per image than its input."""
-    return scale.has_oversized(t.detections, ["image_id"], overlap.PAIR_LIMIT)
+def crowded(t) -> bool | None:
+    """False when no image holds many boxes, so that steps with no more rows than ``t.detections`` need no count;
+    else None, which leaves every step to its own."""
+    return None if scale.has_oversized(t.detections, ["image_id"], overlap.PAIR_LIMIT) else False
 
 
 def level1(t):
@@ -142,7 +143,7 @@ def registered_model_threshold(t):
 def agreed_objects(t):
     """Objects that survive suppression, thresholds and voting."""
     hot = crowded(t)
-    kept = vote.model_threshold(dedup.nms(scale.by_image(t.detections, hot), hot=hot))
+    kept = vote.model_threshold(dedup.nms(scale.by_image(t.detections, hot is None), hot=hot))
     ids = vote.assign_ids(vote.vote(kept, hot=hot), hot=hot)
     return ids.where("kind = 'object'").select("image_id", "id", "score", "votes", F.array_join("labels", ",").alias("labels"))
 

@@ -15,7 +15,6 @@ GROUP_LIMIT = 2_000          # rows of one group that an array fold may hold
 WINDOW_LIMIT = 5_000_000     # rows of one group that one sorted window may hold
 BROADCAST_ROWS = 200_000     # rows, and bytes as text, that a side may have to be broadcast
 BROADCAST_BYTES = 64 << 20
-TOP_LIMIT = 100_000          # rows that a sorted limit may bring to one place
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -40,6 +39,22 @@ def has_oversized(df: DataFrame, keys: list[str], limit: int) -> bool:
     return not oversized(df, keys, limit).isEmpty()
 
 
+def crowds(keys: list[str], limit: int, *tables: DataFrame) -> DataFrame | None:
+    """Keys of the groups with more than ``limit`` rows in any of the tables, stored; None when there are none."""
+    found = oversized(tables[0], keys, limit)
+    for df in tables[1:]:
+        found = found.union(oversized(df, keys, limit))
+    found = checkpointed(found.distinct())
+    return None if found.isEmpty() else found
+
+
+def apart(df: DataFrame, keys: list[str], crowded: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of the groups that are not in ``crowded``, and rows of those that are."""
+    side = maybe_broadcast(crowded)
+    rest, many = (df.join(side, keys, how).select(*df.columns) for how in ("left_anti", "left_semi"))
+    return rest, many
+
+
 def by_image(df: DataFrame, crowded: bool, key: str = "image_id") -> DataFrame:
     """Rows laid out by image once, so that the per-image steps that follow need no further shuffle;
     crowded images are left where they are."""

@@ -47,11 +47,29 @@ def test_overlap_pairs_on_cells(spark):
             assert sorted((r.image_id, r.l.priority, r.l.seq, r.r.priority, r.r.seq) for r in p.collect()) == want
 
 
-def test_large_subset_is_numbered(spark, monkeypatch):
+def test_crowded_images_part_from_the_others(spark, monkeypatch):
+    """One crowded image takes the plan of cells, the others keep theirs, and all rows are as on one plan."""
+    monkeypatch.setattr(overlap, "PAIR_LIMIT", 30)
+    rows = random_boxes(17, images=3, per_image=50)
+    df = spark.createDataFrame(rows, SCHEMA).select("image_id", "priority", "seq", "x1", "y1", "x2", "y2")
+    df = df.where("image_id = 1 or seq = 1").withColumn("o", F.col("priority") * 100 + F.col("seq"))
+    many = scale.crowds(["image_id"], 30, df, df.limit(0))
+    assert [r.image_id for r in many.collect()] == [1] and scale.crowds(["image_id"], 1000, df) is None
+    rest, big = scale.apart(df, ["image_id"], many)
+    assert rest.columns == df.columns and rest.where("image_id = 1").isEmpty() and big.where("image_id <> 1").isEmpty()
+    assert rest.count() + big.count() == df.count() and not rest.isEmpty()
+    plain, each = (sorted(map(str, overlap.overlap_pairs(df, df, 0.5, hot=hot).collect())) for hot in (False, None))
+    assert plain == each and plain
+    for f in (overlap.first_match, overlap.best_match):
+        plain, each = (sorted(map(str, f(df, df, 0.4, ["priority", "seq"], ["o"], F.col("r")["o"], hot=hot).collect())) for hot in (False, None))
+        assert plain == each and plain
+
+
+def test_subset_of_any_size(spark):
     df = spark.range(200).withColumnRenamed("id", "k")
-    top = {r.k for r in sampling.random_subset(df, "k", 50, seed=2).collect()}
-    monkeypatch.setattr(scale, "TOP_LIMIT", 10)
-    assert {r.k for r in sampling.random_subset(df, "k", 50, seed=2).collect()} == top and len(top) == 50
+    for n in (1, 50, 300):
+        want = {r.k for r in df.orderBy(F.xxhash64("k", F.lit(2)), "k").limit(n).collect()}
+        assert {r.k for r in sampling.random_subset(df, "k", n, seed=2).collect()} == want and len(want) == min(n, 200)
 
 
 def test_small_enough(spark):

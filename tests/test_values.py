@@ -3,6 +3,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from boxloom import scale
 from boxloom.functions import boxes as B
 from boxloom.functions import text as T
 from boxloom.operators import ground, masks, scene
@@ -71,6 +72,19 @@ def test_mask_edges(spark):
     assert o.iou == pytest.approx(2 / 5) and o.dice == pytest.approx(4 / 7)
 
 
+def test_runs_of_long_masks(spark):
+    """Runs start where the counts before them add up to, over many slices; zero counts make no run."""
+    import random
+
+    r = random.Random(8)
+    data = [(k, (1, 10**9, [r.choice([0, 1, 2, 7, 10**6]) for _ in range(n)])) for k, n in enumerate((0, 1, 2, 63, 64, 65, 128, 129, 1000))]
+    df = spark.createDataFrame(data, "id int, segmentation struct<h:int,w:int,counts:array<bigint>>")
+    want = {(k, sum(c[:i]), c[i]) for k, (_, _, c) in data for i in range(1, len(c), 2) if c[i]}
+    got = masks.runs(df, ["id"])
+    assert {(x.id, x.start, x.length) for x in got.collect()} == want
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_phrases(spark):
     vocab = F.array(*[F.lit(w) for w in ("green", "house")])
     r = one(spark, glued=T.join_split_words(F.lit("gre en ho use roof"), vocab), norm=T.normalise_phrase(F.lit("  The  RED\tCar ")),
@@ -173,8 +187,8 @@ def test_scorer_hook(spark):
     assert [r.score for r in df.orderBy("id").collect()] == [0.0, 2.0, 4.0, 6.0, 8.0]
 
 
-def test_fuzzy_on_shared_pieces(spark):
-    """The plan for crowded images finds the same objects."""
+def test_fuzzy_on_shared_pieces(spark, monkeypatch):
+    """The plan for crowded images finds the same objects, also where only some images, or one side, are crowded."""
     words = ["red", "old", "car", "cars", "tree", "of", "the", "in", "a", "big", "field", "x"]
     import random
 
@@ -186,3 +200,10 @@ def test_fuzzy_on_shared_pieces(spark):
     grounding = spark.createDataFrame([(0, (i, 0), say(), [i], 0) for i in range(5)], GR)
     a, b = (sorted(map(str, ground.dense_fuzzy(phrases, objs, grounding, none, hot).collect())) for hot in (False, True))
     assert a == b and len(a) > 10
+    # many phrases, few known texts in image 0 and the reverse of that in image 1, next to a small image
+    more = [(i, x.pos, x.noun, x.phrase) for i, n in ((1, 3), (2, 3)) for x in phrases.collect()[:n]]
+    phrases = phrases.union(spark.createDataFrame(more, phrases.schema))
+    objs = objs.where("id < 5").union(objs.withColumn("image_id", F.lit(1).cast("long"))).union(objs.where("id < 5").withColumn("image_id", F.lit(2).cast("long")))
+    monkeypatch.setattr(scale, "GROUP_LIMIT", 15)
+    a, b = (sorted(map(str, ground.dense_fuzzy(phrases, objs, grounding, none, hot).collect())) for hot in (False, None))
+    assert a == b and len(a) > 10
