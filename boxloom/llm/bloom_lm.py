@@ -3,30 +3,35 @@
 Words and pairs of neighbouring words are counted over all training texts.  A count c is kept as its level
 1 + floor(log2 c): the filter holds (n-gram, 1), ..., (n-gram, level), so probing level after level until one is
 missing gives the count back, rounded, and never too small.  The filter is made in segments, each by the task that
-merged the counts of its n-grams, has a fixed greatest size, and is broadcast to the workers, where smoothed
-probabilities come from repeated probes.
+merged the counts of its n-grams, and is as large as its entries need.  As many segments as may travel at once are
+broadcast to the workers, where smoothed probabilities come from repeated probes; where there are more, the texts are
+read once for each such group of segments, and what the groups add to a text's score is summed.
 
-The model knows the most frequent words; others share one class.  The plain unigram score beside it is exact for
-every word: counts of the frequent words travel with the filter, those of all other words are joined.
+The model knows every word.  Frequent words have short ids, and their exact counts travel with the filter; any other
+word goes by its hash.  The plain unigram score beside it is exact for every word: counts of the words that are not
+frequent are joined.
 """
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from boxloom.llm.common import WordHashes, mix, stored
 
-KNOWN = 65_000         # words of the model; ids stay below 2 ** 16 with the two classes below
+KNOWN = 65_000         # frequent words; ids stay below 2 ** 16 with the two classes below
 ALONE = 65_535         # stands before a word that is counted by itself
 PROBES = 3             # bits per level
-MOST_BITS = 1 << 28    # of the whole filter, 32 MB; past it, wrong hits become more frequent
+MOST_BITS = 1 << 28    # of the filter that are broadcast at once, 32 MB; a larger filter goes in several passes
 PER_SEGMENT = 4_000_000      # training tokens for each segment of the filter
 PRIOR = 20.0           # weight of the word's own probability against what follows the word before
 CHUNK = 4 << 20        # bytes of text that are worked on at once
+TAIL = np.uint64(1 << 63)      # set in the ids of words that are not frequent
 
 
 def in_training(key):
@@ -92,7 +97,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
 @dataclass
 class Model:
-    """What scoring needs: the frequent words' hashes in order with their counts, totals, and the filter."""
+    """What scoring needs: the frequent words' hashes in order with their counts, totals, and segments of the filter."""
 
     words: np.ndarray
     counts: np.ndarray
@@ -100,8 +105,9 @@ class Model:
     tokens: int
     types: int
     bits: np.ndarray
-    starts: np.ndarray       # first bit of each segment
+    starts: np.ndarray       # first bit of each segment in ``bits``
     sizes: np.ndarray        # bits of each segment
+    held: np.ndarray         # whether ``bits`` has the segment
 
     @property
     def other(self) -> int:
@@ -116,8 +122,13 @@ class Model:
         at[at == len(self.words)] = 0
         return np.where(self.words[at] == h, at, self.other) if len(self.words) else np.zeros(len(h), np.int64)
 
+    def codes(self, h: np.ndarray) -> np.ndarray:
+        """Ids of all words: short ones of the frequent, hashes of the others."""
+        at = self.ids(h)
+        return np.where(at == self.other, h | TAIL, at.astype(np.uint64))
+
     def level(self, keys: np.ndarray) -> np.ndarray:
-        """Levels of distinct n-gram keys, by probing until one is missing."""
+        """Levels of distinct n-gram keys of segments that are held, by probing until one is missing."""
         out = np.zeros(len(keys), np.int64)
         live = np.arange(len(keys))
         for level in range(1, 64):
@@ -139,32 +150,62 @@ class Model:
         return np.where(q > 0, 0.75 * 2.0 ** q - 0.5, 0.0)[back]
 
     def log10(self, ids: np.ndarray, before: np.ndarray) -> np.ndarray:
-        """log10 probability of each id after the one before it; a rare word has its class's share."""
-        alone = self.count(np.uint64(ALONE << 16) | ids.astype(np.uint64))
-        rare = ids == self.other
-        others = max(1, self.types - 1 - len(self.words))
-        total = self.tokens + self.types + 1
-        own = (np.where(rare, alone / others, alone) + 1) / total
-        pair = self.count(before.astype(np.uint64) << np.uint64(16) | ids.astype(np.uint64))
-        context = np.maximum(self.count(np.uint64(ALONE << 16) | before.astype(np.uint64)), pair)
-        return np.log10((np.where(rare, pair / others, pair) + PRIOR * own) / (context + PRIOR))
+        """What the segments that are held add to the log10 probability of each id after the one before it.
+
+        A probability is (pair + PRIOR * own) / (context + PRIOR).  The pair of a word that is not frequent lies in
+        the segment of its own count; where the word before is not frequent, the divisor is of that word's segment.
+        """
+        out = np.zeros(len(ids))
+        exact = np.append(self.counts, [0, self.ends]).astype(float)
+        key, alone = pair_keys(before, ids), np.uint64(ALONE)
+        at = np.flatnonzero(self.held[segment_of(key, len(self.sizes))])
+        key, word, ahead = key[at], ids[at], before[at]
+        pair = self.count(key)
+        own, rare = exact[np.where(word < TAIL, word, self.other).astype(np.int64)], word >= TAIL
+        own[rare] = self.count(pair_keys(alone, word[rare]))
+        value = np.log10(pair + PRIOR * (own + 1) / (self.tokens + self.types + 1))
+        common = ahead < TAIL
+        value[common] -= np.log10(np.maximum(exact[ahead[common].astype(np.int64)], pair[common]) + PRIOR)
+        out[at] = value
+        at = np.flatnonzero(before >= TAIL)
+        key = pair_keys(alone, before[at])
+        mine = self.held[segment_of(key, len(self.sizes))]
+        out[at[mine]] -= np.log10(self.count(key[mine]) + PRIOR)
+        return out
+
+
+def pair_keys(before, ids: np.ndarray) -> np.ndarray:
+    """Key of each id after the one before it.  Short ids are put together; the key of a word that is not frequent
+    begins with bits of its own hash, and so do all keys of that word."""
+    before = np.broadcast_to(np.asarray(before, np.uint64), ids.shape)
+    out = before << np.uint64(16) | ids
+    tail = ids >= TAIL
+    far = np.flatnonzero(tail | (before >= TAIL))
+    x = mix(mix(before[far]) + ids[far] * np.uint64(3))
+    own = ids[far] >> np.uint64(43) << np.uint64(43) | x >> np.uint64(21)      # bit 63 is set in the id
+    out[far] = np.where(tail[far], own, np.uint64(1 << 62) | x >> np.uint64(2))
+    return out
+
+
+def segment_of(keys: np.ndarray, parts: int) -> np.ndarray:
+    """Segment of each key; all keys of a word that is not frequent share one."""
+    return (mix(np.where(keys >= TAIL, keys >> np.uint64(43), keys) + np.uint64(1)) % np.uint64(parts)).astype(np.int64)
 
 
 def slots(keys: np.ndarray, level: int, sizes: np.ndarray):
     """Segment of each key, and its bits for a level within the segment."""
     h = mix(keys + np.uint64(1))
-    part = (h % np.uint64(len(sizes))).astype(np.int64)
+    part = segment_of(keys, len(sizes))
     room = np.maximum(sizes[part], 1).astype(np.uint64)
     x = mix(h ^ np.uint64(level * 0x9E3779B97F4A7C15 & (1 << 64) - 1))
     y = mix(x) | np.uint64(1)
     return part, [((x + np.uint64(i) * y) % room).astype(np.int64) for i in range(PROBES)]
 
 
-def train(texts: DataFrame, known: int = KNOWN, most_bits: int = MOST_BITS) -> tuple[Model, DataFrame]:
-    """The model learned from ``texts`` (t: binary), and the exact counts of all words (h, n).
-
-    To the driver come the frequent words (at most ``known``), three sums, and the filter (at most ``most_bits``).
-    """
+def segments(texts: DataFrame, known: int = KNOWN) -> tuple[Model, DataFrame, DataFrame]:
+    """The model learned from ``texts`` (t: binary) without its filter, the exact counts of all words (h, n), and the
+    filter's segments (part, bits).  To the driver come the frequent words (at most ``known``), three sums, and the
+    segments' sizes."""
     spark = texts.sparkSession
     counts = stored(word_counts(texts))
     ends = texts.count()
@@ -172,7 +213,8 @@ def train(texts: DataFrame, known: int = KNOWN, most_bits: int = MOST_BITS) -> t
     head = counts.orderBy(F.desc("n"), "h").limit(known).toArrow()
     words, n = head["h"].to_numpy().view(np.uint64), head["n"].to_numpy()
     order = np.argsort(words)
-    model = Model(words[order], n[order], ends, int(total[0]) + ends, int(total[1]) + (ends > 0), np.zeros(1, np.uint8), np.zeros(1, np.int64), np.zeros(1, np.int64))
+    model = Model(words[order], n[order], ends, int(total[0]) + ends, int(total[1]) + (ends > 0), np.zeros(1, np.uint8), np.zeros(1, np.int64), np.zeros(1, np.int64),
+                  np.ones(1, bool))
     parts = max(1, -(-model.tokens // PER_SEGMENT))
     sent = spark.sparkContext.broadcast(model)
 
@@ -181,30 +223,34 @@ def train(texts: DataFrame, known: int = KNOWN, most_bits: int = MOST_BITS) -> t
 
         def out(x):
             keys, n = x
-            part = (mix(keys + np.uint64(1)) % np.uint64(parts)).astype(np.int64)
+            part = segment_of(keys, parts)
             sort = np.lexsort((keys, part))
             keys, n, part = keys[sort], n[sort], part[sort]
             cut = np.searchsorted(part, np.arange(parts + 1))
             full = [p for p in range(parts) if cut[p] < cut[p + 1]]
-            steps = [np.diff(keys[cut[p]:cut[p + 1]], prepend=np.uint64(0)).astype(np.uint32).tobytes() for p in full]
-            return pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array(steps, pa.binary()), pa.array(
-                [n[cut[p]:cut[p + 1]].astype(np.uint32).tobytes() for p in full], pa.binary())], ["part", "steps", "n"])
+            own = [keys[cut[p]:cut[p + 1]] for p in full]
+            near = [np.searchsorted(k, np.uint64(1 << 32)) for k in own]
+            steps = [np.diff(k[:c], prepend=np.uint64(0)).astype(np.uint32).tobytes() for k, c in zip(own, near, strict=True)]
+            far = [k[c:].tobytes() for k, c in zip(own, near, strict=True)]
+            return pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array(steps, pa.binary()), pa.array(far, pa.binary()), pa.array(
+                [n[cut[p]:cut[p + 1]].astype(np.uint32).tobytes() for p in full], pa.binary())], ["part", "steps", "far", "n"])
 
         for b in batches:
             rows = b.column(0).to_pylist()
             for i, j in chunks(rows):
                 ids, before = laid_out(m, *hashed(rows[i:j], hashes))
-                keys, n = np.unique(np.concatenate([before << np.uint64(16) | ids, np.uint64(ALONE << 16) | ids]), return_counts=True)
+                keys, n = np.unique(np.concatenate([pair_keys(before, ids), pair_keys(ALONE, ids)]), return_counts=True)
                 yield from map(out, sums.add(keys, n))
         if sums.parts:
             yield out(sums.take())
 
     def segment(table: pa.Table) -> pa.Table:
-        keys = np.concatenate([np.cumsum(np.frombuffer(x, np.uint32), dtype=np.uint64) for x in table["steps"].to_pylist()])
+        keys = np.concatenate([k for x, y in zip(table["steps"].to_pylist(), table["far"].to_pylist(), strict=True) for k in (
+            np.cumsum(np.frombuffer(x, np.uint32), dtype=np.uint64), np.frombuffer(y, np.uint64))])
         n = np.concatenate([np.frombuffer(x, np.uint32) for x in table["n"].to_pylist()])
         keys, back = np.unique(keys, return_inverse=True)
         q = 1 + np.floor(np.log2(np.bincount(back, n))).astype(np.int64)
-        size = int(min(most_bits // parts, np.ceil(q.sum() * PROBES / np.log(2)))) + 7 & ~7
+        size = int(np.ceil(q.sum() * PROBES / np.log(2))) + 7 & ~7
         sizes = np.full(parts, size, np.int64)
         bits = np.zeros(size >> 3, np.uint8)
         for level in range(1, int(q.max()) + 1):
@@ -212,12 +258,38 @@ def train(texts: DataFrame, known: int = KNOWN, most_bits: int = MOST_BITS) -> t
                 np.bitwise_or.at(bits, a >> 3, (1 << (a & 7)).astype(np.uint8))
         return pa.table({"part": pa.array([table["part"][0].as_py()], pa.int32()), "bits": pa.array([bits.tobytes()], pa.binary())})
 
-    made = texts.select("t").mapInArrow(run, "part int, steps binary, n binary").groupBy("part").applyInArrow(segment, "part int, bits binary").toArrow()
-    got = dict(zip(made["part"].to_pylist(), made["bits"].to_pylist(), strict=True))
-    model.sizes = np.array([8 * len(got.get(p, b"")) for p in range(parts)], np.int64)
-    model.starts = np.concatenate([[0], np.cumsum(model.sizes)[:-1]])
-    model.bits = np.frombuffer(b"".join(got.get(p, b"") for p in range(parts)) or b"\0", np.uint8)
-    return model, counts
+    made = stored(texts.select("t").mapInArrow(run, "part int, steps binary, far binary, n binary").groupBy("part").applyInArrow(segment, "part int, bits binary"))
+    model.sizes, model.held = np.zeros(parts, np.int64), np.zeros(parts, bool)
+    for part, size in made.select("part", F.length("bits").cast("long") * 8).collect():
+        model.sizes[part] = size
+    return model, counts, made
+
+
+def passes(sizes: np.ndarray, most_bits: int) -> list[np.ndarray]:
+    """Segments that are broadcast together: runs of at most ``most_bits``, or one segment."""
+    out, bits = [[]], 0
+    for part, size in enumerate(sizes.tolist()):
+        if out[-1] and bits + size > most_bits:
+            out.append([])
+            bits = 0
+        out[-1].append(part)
+        bits += size
+    return [np.array(x) for x in out]
+
+
+def holding(model: Model, made: DataFrame, parts: np.ndarray) -> Model:
+    """``model`` with some of the segments ``made``."""
+    table = made.where(F.col("part").between(int(parts[0]), int(parts[-1]))).toArrow()
+    got = dict(zip(table["part"].to_pylist(), table["bits"].to_pylist(), strict=True))
+    starts, held = np.zeros(len(model.sizes), np.int64), np.zeros(len(model.sizes), bool)
+    held[parts], starts[parts] = True, np.cumsum(model.sizes[parts]) - model.sizes[parts]
+    return replace(model, bits=np.frombuffer(b"".join(got.get(p, b"") for p in parts.tolist()) or b"\0", np.uint8), starts=starts, held=held)
+
+
+def train(texts: DataFrame, known: int = KNOWN) -> tuple[Model, DataFrame]:
+    """The model learned from ``texts`` (t: binary) with its whole filter, and the exact counts of all words (h, n)."""
+    model, counts, made = segments(texts, known)
+    return holding(model, made, np.arange(len(model.sizes))), counts
 
 
 def laid_out(model: Model, h: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -226,13 +298,13 @@ def laid_out(model: Model, h: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np
     last = np.cumsum(n + 1) - 1
     inner = np.ones(len(ids), bool)
     inner[last] = False
-    ids[inner] = model.ids(h)
+    ids[inner] = model.codes(h)
     return ids, np.concatenate([[np.uint64(model.end)], ids[:-1]]).astype(np.uint64)
 
 
 def scored(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``docs``: (key, row, n_tokens, n_head, head: sum of log10(count + 1) over frequent words and
-    ends, score, tail: other words' hashes, times)."""
+    ends, score: what the model's segments add, digest of the text, tail: other words' hashes, times)."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
     kind = docs.schema[key].dataType.simpleString()
 
@@ -247,19 +319,37 @@ def scored(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text
                 ids, before = laid_out(m, h, n)
                 first = np.cumsum(n + 1) - (n + 1)
                 total = lambda x: np.add.reduceat(x, first)
-                at = ids.astype(np.int64)
+                at = np.where(ids < TAIL, ids, m.other).astype(np.int64)
                 rare = np.split(np.where(m.ids(h) == m.other, h, 0), np.cumsum(n)[:-1])
                 tails = [np.unique(r[r > 0], return_counts=True) for r in rare]
                 yield pa.RecordBatch.from_arrays([
                     b.column(0).slice(i, j - i), pa.array(n + 1), pa.array(total(counted[at]).astype(np.int64)), pa.array(total(weight[at])),
-                    pa.array(total(m.log10(ids, before))), pa.array([t[0].view(np.int64) for t in tails], pa.list_(pa.int64())),
-                    pa.array([t[1].astype(np.int32) for t in tails], pa.list_(pa.int32()))], ["k", "n_tokens", "n_head", "head", "score", "tail", "times"])
+                    pa.array(total(m.log10(ids, before))), pa.array([xxhash.xxh3_128_digest(t) for t in rows[i:j]], pa.binary()), pa.array([t[0].view(np.int64) for t in tails], pa.list_(pa.int64())),
+                    pa.array([t[1].astype(np.int32) for t in tails], pa.list_(pa.int32()))], ["k", "n_tokens", "n_head", "head", "score", "digest", "tail", "times"])
 
     t = docs.select(F.col(key).alias("k"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("t"))
-    out = t.mapInArrow(run, f"k {kind}, n_tokens long, n_head long, head double, score double, tail array<long>, times array<int>")
+    out = t.mapInArrow(run, f"k {kind}, n_tokens long, n_head long, head double, score double, digest binary, tail array<long>, times array<int>")
     return stored(out.withColumn("row", F.monotonically_increasing_id()))
 
 
+def added(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """(digest, score): what the segments of a further pass add to each text; equal texts come once."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        m, hashes = sent.value, WordHashes()
+        for b in batches:
+            rows = b.column(0).to_pylist()
+            for i, j in chunks(rows):
+                h, n = hashed(rows[i:j], hashes)
+                ids, before = laid_out(m, h, n)
+                yield pa.RecordBatch.from_arrays([pa.array([xxhash.xxh3_128_digest(t) for t in rows[i:j]], pa.binary()), pa.array(
+                    np.add.reduceat(m.log10(ids, before), np.cumsum(n + 1) - (n + 1)))], ["digest", "score"])
+
+    t = docs.select(F.coalesce(F.col(text), F.lit("")).cast("binary").alias("t"))
+    return stored(t.mapInArrow(run, "digest binary, score double").groupBy("digest").agg(F.max("score").alias("score")))
+
+
 def score(docs: DataFrame, key: str = "doc_id", text: str = "text", known: int = KNOWN, most_bits: int = MOST_BITS) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score), one row per row of ``docs``.
 
@@ -269,8 +359,14 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", known: int =
     Without training rows every count is 0.  Other columns play no part.
     """
     learned = docs.where(in_training(key)).select(F.coalesce(F.col(text), F.lit("")).cast("binary").alias("t"))
-    model, counts = train(learned, known, most_bits)
-    rows = scored(docs, model, key, text)
+    model, counts, made = segments(learned, known)
+    first, *rest = passes(model.sizes, most_bits)
+    rows = scored(docs, holding(model, made, first), key, text)
+    if rest:
+        more = [added(docs, holding(model, made, parts), text) for parts in rest]
+        sums = reduce(DataFrame.union, more).groupBy("digest").agg(F.sum("score").alias("_more"))
+        rows = stored(rows.join(sums, "digest").withColumn("score", F.col("score") + F.col("_more")).drop("_more"))
+    rows = rows.drop("digest")
     tail = rows.select("row", F.explode(F.arrays_zip("tail", "times")).alias("x")).select("row", F.col("x.tail").alias("h"), F.col("x.times").alias("k"))
     met = tail.join(counts, "h").groupBy("row").agg(F.sum(F.col("k") * F.log10(F.col("n") + 1.0)).alias("more"), F.sum("k").alias("n_tail"))
     total = float(np.log10(model.tokens + model.types + 1.0))

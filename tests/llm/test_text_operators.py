@@ -353,3 +353,24 @@ def test_pipeline(spark, tmp_path):
     assert kept[names[1]] - kept[names[2]] == {201}
     assert kept[names[2]] - kept[names[3]] == {202}
     assert kept[names[4]] == kept[names[3]] >= set(clean)
+
+
+def test_bloom_lm_in_passes_with_every_word(spark, monkeypatch):
+    r = random.Random(12)
+    chain = {i: [(i * 7 + 3) % 400, (i * 11 + 5) % 400] for i in range(400)}
+    rows = []
+    for k in range(150):
+        w = [r.randrange(400)]
+        while len(w) < 40:
+            w.append(r.choice(chain[w[-1]]))
+        rows.append((k, " ".join(f"w{x}" for x in w)))
+    rows += [(900 + i, " ".join(f"new{i}x{j}" for j in range(40))) for i in range(20)] + [(950, rows[0][1])]
+    df = frame(spark, rows)
+    monkeypatch.setattr(bloom_lm, "PER_SEGMENT", 500)
+    whole, parted, few = ({x.doc_id: x for x in bloom_lm.score(df, **o).collect()} for o in ({}, {"most_bits": 4096, "known": 30}, {"known": 30}))
+    assert len(parted) == len(rows)
+    for k in whole:
+        assert parted[k].score == pytest.approx(few[k].score)      # the filter is as good in many passes
+        assert parted[k].base_score == pytest.approx(whole[k].base_score)
+        assert abs(few[k].score - whole[k].score) < 0.2 * whole[k].n_tokens      # words that are not frequent are known as well
+    assert parted[0].score == parted[950].score
