@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from boxloom.llm.common import ascii_lower, once
 
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"                  # what stands between the words of a lower-cased text
-ANY_CASE_BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 MARK = "\x01"          # stands in no word
 
 # Base phrases and their labels.
@@ -101,7 +100,7 @@ SINGLE = [
     ("public-domain", "public domain", "public domain", 4, 0.5),
     ("creative-commons", "creative commons", "creative commons(?: licen[cs]e)?", 4, 0.6),
     ("proprietary", "proprietary", "proprietary and confidential", 2, 0.8),
-    ("proprietary", "unauthorized", "unauthori[sz]ed (?:copying|reproduction|distribution)", 2, 0.8),
+    ("proprietary", "unauthorized|unauthorised", "unauthori[sz]ed (?:copying|reproduction|distribution)", 2, 0.8),
     ("reserved", "rights reserved", "(?:all|some|no) rights reserved", 4, 0.6),
     ("copyright", "copyright", "copyright(?: c)? (?:19|20)[0-9][0-9]", 5, 0.4),
     ("unknown-license", "licen", "licen[cs]ed under", 6, 0.3),
@@ -109,9 +108,6 @@ SINGLE = [
     ("unknown-license", "terms", "terms of (?:use|service)", 6, 0.2),
 ]
 LONGEST = 24           # words a match can span at most
-# What a text must contain, in lower case, for any phrase or rule to be there.
-GATES = ["licen", "copyright", "reserved", "public domain", "proprietary", "unauthori", "redistribution", "permission", "free software",
-         "later version", "creative commons", "terms", "spdx", "under", "governed", "subject to", "permitted", "cc"]
 
 
 def rules() -> list[tuple[str, str, str, int, float]]:
@@ -167,13 +163,9 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", found: list |
     """
     found = rules() if found is None else found
     t = F.coalesce(F.col(text), F.lit(""))
-    gate = F.lit(False)
-    for g in GATES:
-        gate = gate | F.contains("_low", F.lit(g))
-    words = F.array_remove(F.split(ascii_lower(F.col("_t")), BETWEEN), "")
-    d = docs.select(F.col(key).alias("_k"), t.alias("_t"), once(F.lower(t)).alias("_low")).select("_k", "_t", gate.alias("_g"))
-    d = d.select("_k", F.size(F.array_remove(F.split("_t", ANY_CASE_BETWEEN), "")).cast("long").alias("n_words"),
-                    once(F.when(F.col("_g"), F.concat(F.lit(" "), F.array_join(words, " "), F.lit(" "))).otherwise(F.lit("  "))).alias("_n"))
+    words = F.array_remove(F.split(ascii_lower(t), BETWEEN), "")
+    d = docs.select(F.col(key).alias("_k"), once(words).alias("_w"))
+    d = d.select("_k", F.size("_w").cast("long").alias("n_words"), once(F.concat(F.lit(" "), F.array_join("_w", " "), F.lit(" "))).alias("_n"))
     base = [F.when(F.contains("_n", F.lit(f" {p} ")), places(F.col("_n"), F.lit(f"(?<= ){p}(?= )"))).otherwise(
         F.array().cast("array<struct<first:int,last:int>>")) for p, _ in PHRASES]
     keywords = sorted({k for r in found for k in r[1].split("|")})

@@ -374,3 +374,17 @@ def test_bloom_lm_in_passes_with_every_word(spark, monkeypatch):
         assert parted[k].base_score == pytest.approx(whole[k].base_score)
         assert abs(few[k].score - whole[k].score) < 0.2 * whole[k].n_tokens      # words that are not frequent are known as well
     assert parted[0].score == parted[950].score
+
+
+def test_license_rules_need_no_other_word(spark):
+    texts = {"GPLv3": "gpl-3.0", "GPL-2.0": "gpl-2.0", "LGPL 2.1": "lgpl-2.1", "MPL 2.0": "mpl-2.0", "EPL 1.0": "epl-1.0", "Apache-2.0": None, "MS-PL": "ms-pl", "WTFPL": "wtfpl",
+             "Neither the name of Acme nor the names of its contributors": "bsd-3-clause", "it is in the public\ndomain": "public-domain", "Public-Domain": "public-domain",
+             "Creative\nCommons": "creative-commons", "any later\nversion": "gpl-or-later", "This program is free\nsoftware: you can redistribute it": "gpl",
+             "unauthorised copying": "proprietary"}
+    got = {x.doc_id: x.labels for x in license_rules.scan(frame(spark, list(enumerate(texts)))).collect()}
+    import re
+    for i, (t, label) in enumerate(texts.items()):
+        norm = f" {' '.join(re.findall('[0-9a-z]+', t.lower()))} "
+        want = {r[0] for r in license_rules.rules() if re.search(f"(?<= )(?:{r[2]})(?= )", norm)}
+        assert set(filter(None, got[i].split(","))) <= want and bool(got[i]) == bool(want), t      # the rules decide, without keywords
+        assert label is None or label in got[i].split(","), t
