@@ -5,10 +5,13 @@ line hash in a window is its fingerprint (of equal ones the last): neighbouring
 of lines that holds ``min_words`` words and stands elsewhere too gives the same fingerprint there.  Fingerprints
 are counted over all texts; windows whose fingerprint has one place only are out.  The rest are joined on their
 content with the first place that has it.  Runs are the union of such windows; as windows start at every line,
-a run's front is exact, and its end is extended while the lines after it go on as at the first place.
+a run's front is exact.  Every window is extended while the lines after it go on as at its first place; of
+neighbouring windows whose first places are neighbours too, the last one is extended for all.
 """
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -60,21 +63,36 @@ def repeated(lines: DataFrame, min_words: int) -> DataFrame:
         "_k", "p", (F.col("p") + F.col("c") - 1).alias("last"), F.col("o._k").alias("k0"), (F.col("o.p") + F.col("c") - 1).alias("last0"))
 
 
-def deleted_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, gone): numbers of the lines, from 0, that belong to a run of at least ``min_words`` words that
-    comes earlier; texts that lose nothing are absent.  Earlier is by doc_id, then by place."""
-    lines = stored(hashed_lines(docs, key, text))
-    seeds = stored(repeated(lines, min_words))
-    ahead = F.lead("p").over(Window.partitionBy("_k").orderBy("p", "last"))
-    ends = seeds.withColumn("_next", ahead).where("_next is null or _next > last + 1").drop("_next")
+def extended(ends: DataFrame, lines: DataFrame, most: int) -> DataFrame:
+    """``ends`` (_k, p, last, k0, last0) moved on by the n lines, at most ``most``, that are the same after both ends."""
     mine = lines.select("_k", F.col("a").alias("mine"))
     first = lines.select(F.col("_k").alias("k0"), F.col("a").alias("theirs"))
-    met = ends.join(mine, "_k").select("_k", "p", "last", "k0", "last0", F.slice("mine", F.col("last") + 2, min_words).alias("x")).join(first, "k0")
-    pair = F.arrays_zip(F.col("x").alias("x"), F.slice("theirs", F.col("last0") + 2, min_words).alias("y"))
+    met = ends.join(mine, "_k").select("_k", "p", "last", "k0", "last0", F.slice("mine", F.col("last") + 2, most).alias("x")).join(first, "k0")
+    pair = F.arrays_zip(F.col("x").alias("x"), F.slice("theirs", F.col("last0") + 2, most).alias("y"))
     same = lambda z: z["x"]["h"].eqNullSafe(z["y"]["h"])
     more = F.aggregate(pair, F.struct(F.lit(0).alias("n"), F.lit(True).alias("on")), lambda acc, z: F.struct(
         (acc["n"] + F.when(acc["on"] & same(z), 1).otherwise(0)).alias("n"), (acc["on"] & same(z)).alias("on")))["n"]
-    tails = met.select("_k", "p", (F.col("last") + more).alias("last"))
+    return met.withColumn("n", more).select("_k", "p", (F.col("last") + F.col("n")).alias("last"), "k0", (F.col("last0") + F.col("n")).alias("last0"), "n")
+
+
+def deleted_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+    """(doc_id, gone): numbers of the lines, from 0, that belong to a run of at least ``min_words`` words that
+    comes earlier, as far as that run goes on at the first place of one of its windows; texts that lose nothing are
+    absent.  Earlier is by doc_id, then by place."""
+    lines = stored(hashed_lines(docs, key, text))
+    seeds = stored(repeated(lines, min_words))
+    # Windows that follow each other at the same distance to their first places end alike, so the last one is extended.
+    ahead = F.lead("p").over(Window.partitionBy("_k", "k0", F.col("last0") - F.col("last")).orderBy("p", "last"))
+    ends = seeds.withColumn("_next", ahead).where("_next is null or _next > last + 1").drop("_next")
+    tails, most = [], min_words
+    while True:
+        longer = stored(extended(ends, lines, most))
+        tails.append(longer.select("_k", "p", "last"))
+        ends = longer.where(F.col("n") == most).drop("n")
+        if ends.isEmpty():
+            break
+        most *= 4
+    tails = reduce(DataFrame.union, tails)
     runs = seeds.select("_k", "p", "last").union(tails).groupBy("_k").agg(F.collect_list(F.struct("p", "last")).alias("runs"))
     places = F.array_distinct(F.flatten(F.transform("runs", lambda r: F.sequence(r["p"], r["last"]))))
     return runs.join(lines, "_k").select(F.col("_k").alias(key), F.array_sort(F.transform(places, lambda p: F.get("a", p)["i"])).alias("gone"))

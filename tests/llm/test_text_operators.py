@@ -388,3 +388,15 @@ def test_license_rules_need_no_other_word(spark):
         want = {r[0] for r in license_rules.rules() if re.search(f"(?<= )(?:{r[2]})(?= )", norm)}
         assert set(filter(None, got[i].split(","))) <= want and bool(got[i]) == bool(want), t      # the rules decide, without keywords
         assert label is None or label in got[i].split(","), t
+
+
+def test_line_runs_extend_every_window(spark):
+    line = lambda name, n=10: " ".join(f"{name}{i}" for i in range(n))
+    l0, l1, w1, w2, tail = line("l"), line("m"), line("v"), line("w"), line("t", 5)
+    long = [f"z{i}" for i in range(70)]
+    rows = [(1, [w1, w2, line("x")]), (10, [l0, l1, w1, w2, tail]), (20, [l0, l1, w1, w2, tail, line("o")]),
+            *((30 + i, long[i:i + 20] + [f"q{i}"]) for i in range(1, 51)), (100, [line("h", 20), *long]), (101, [line("h", 20), *long, "end"])]
+    rows = [(k, "\n".join(t)) for k, t in rows]
+    got = {x.doc_id: x.gone for x in line_runs.deleted_lines(frame(spark, rows)).collect()}
+    assert got[20] == [0, 1, 2, 3, 4] and got[101] == list(range(71))
+    assert got == deleted(rows, 20)
