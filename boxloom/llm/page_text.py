@@ -3,10 +3,10 @@ the host's pages repeat.
 
 A page's blocks outside menus, notices, forms and the like become a stream of words.  The streams of a host's pages,
 one after another, are indexed by their suffixes up to a fixed depth; equal suffixes are brought together by
-Spark's own grouping, so a host may have any number of pages.  The array is sparse: of the suffixes in any 16
-places that follow each other the one with the smallest hash is kept, so every substring of 23 words shared by two
-pages has a suffix in common; short blocks are indexed whole.  Words covered by suffixes that many distinct pages of the
-host share are boilerplate and go; unique runs stay.
+Spark's own grouping, so a host may have any number of pages.  Every place of a block has its suffix, so a
+substring that pages share is covered from its first word to its last by the suffixes in it; blocks shorter than a
+suffix are indexed whole.  Words covered by suffixes that many distinct pages of the host share are boilerplate and go;
+unique runs stay.
 """
 from __future__ import annotations
 
@@ -16,7 +16,6 @@ import re
 import numpy as np
 import pyarrow as pa
 import xxhash
-from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,7 +24,6 @@ from boxloom.llm.link_trust import host_of
 from boxloom.scale import maybe_broadcast
 
 DEPTH = 8              # words that suffixes are compared by
-SPARSE = 16            # suffixes of which one is kept
 # Shares of a host's pages, and numbers of pages, that make a substring boilerplate: inside the article, and elsewhere.
 INSIDE, ELSEWHERE = (0.8, 10), (0.1, 3)
 
@@ -149,14 +147,12 @@ def blocks(page: str) -> list[tuple[str, bool]]:
 
 
 def suffixes(block: bytes, n: int, keys: np.ndarray, inside: bool) -> tuple[np.ndarray, np.ndarray, int]:
-    """Kept suffixes of a block of ``n`` words: their places, their keys (of ``DEPTH`` words; of the whole of a short
+    """Suffixes of a block of ``n`` words: their places, their keys (of ``DEPTH`` words; of the whole of a short
     block), and how many words a key covers.  ``keys`` are those of all its runs of ``DEPTH`` words."""
     side = np.uint64(0x5851F42D4C957F2D if inside else 0x14057B7EF767814F)
-    if n < DEPTH + SPARSE - 1:
+    if n < DEPTH:
         return np.zeros(1, np.int64), np.array([xxhash.xxh64_intdigest(block)], np.uint64) ^ side, n
-    low = sliding_window_view(keys, SPARSE).argmin(1)
-    at = np.unique(low + np.arange(len(low)))
-    return at, keys[at] ^ side, DEPTH
+    return np.arange(len(keys)), keys ^ side, DEPTH
 
 
 def page_keys(pages: DataFrame) -> DataFrame:
@@ -197,22 +193,19 @@ def boilerplate(pages: DataFrame) -> DataFrame:
     total = pages.groupBy(F.col("h").alias("host")).agg(F.count("*").alias("pages"))
     shared = page_keys(pages).groupBy("host", "key", "inside").agg(F.count("*").alias("n")).where(f"n >= {min(INSIDE[1], ELSEWHERE[1])}")
     least = F.when(F.col("inside"), F.greatest(F.lit(INSIDE[1]), F.col("pages") * INSIDE[0])).otherwise(F.greatest(F.lit(ELSEWHERE[1]), F.col("pages") * ELSEWHERE[0]))
-    return shared.join(total, "host").where(F.col("n") >= least).groupBy("host").agg(F.collect_list("key").alias("keys"))
+    return shared.join(total, "host").where(F.col("n") >= least).groupBy("host").agg(F.array_sort(F.collect_list("key")).alias("keys"))
 
 
-def unique_runs(text: str, inside: bool, known: set, hashes: WordHashes) -> str:
-    """A block without the words that known suffixes cover, gaps between neighbouring ones included."""
+def unique_runs(text: str, inside: bool, known: np.ndarray, hashes: WordHashes) -> str:
+    """A block without the words that ``known`` suffixes, in order, cover."""
     words = text.encode().split(b" ")
     at, keys, wide = suffixes(text.encode(), len(words), grams(hashes.of(words), DEPTH), inside)
-    hit = [int(a) for a, k in zip(at, keys.view(np.int64).tolist(), strict=True) if k in known]
-    if not hit:
+    keys = keys.view(np.int64)
+    hit = at[known[np.minimum(np.searchsorted(known, keys), len(known) - 1)] == keys]
+    if not len(hit):
         return text
-    covered = np.zeros(len(words), bool)
-    last = None
-    for a in hit:
-        covered[(last if last is not None and a - last <= SPARSE + DEPTH else a):a + wide] = True
-        last = a
-    return b" ".join(w for w, c in zip(words, covered, strict=True) if not c).decode()
+    edges = np.bincount(hit, minlength=len(words) + 1) - np.bincount(hit + wide, minlength=len(words) + 1)
+    return b" ".join(w for w, c in zip(words, np.cumsum(edges)[:-1], strict=True) if not c).decode()
 
 
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
@@ -231,11 +224,11 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str
     def run(batches):
         hashes = WordHashes()
         for b in batches:
-            out = []
-            for page, keys in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
+            out, lists = [], b.column(3)
+            for i, page in enumerate(b.column(2).to_pylist()):
                 found = blocks(page)
-                if keys:
-                    keys = set(keys)
+                if lists[i].is_valid:
+                    keys = lists[i].values.to_numpy()
                     found = [(unique_runs(t, side, keys, hashes), side) for t, side in found]
                 out.append("\n\n".join(t for t, _ in found if t))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.string()), pa.array([len(t) for t in out], pa.int64())], [key, url, "text", "n_chars"])

@@ -400,3 +400,17 @@ def test_line_runs_extend_every_window(spark):
     got = {x.doc_id: x.gone for x in line_runs.deleted_lines(frame(spark, rows)).collect()}
     assert got[20] == [0, 1, 2, 3, 4] and got[101] == list(range(71))
     assert got == deleted(rows, 20)
+
+
+def test_page_text_whole_repeated_runs(spark):
+    r = random.Random(3)
+    words = lambda n: " ".join(f"u{r.randrange(10 ** 9)}" for _ in range(n))
+    notices = {f"h{n}.org": words(n) for n in (8, 12, 15, 22, 40, 61)}
+    rows, want = [], {}
+    for host, notice in notices.items():
+        for j in range(8):
+            a, b = words(20 + j), words(25)
+            rows.append((len(rows), f"http://{host}/{j}", f"<div>{a} {notice} {b}</div>"))
+            want[len(rows) - 1] = f"{a} {b}"
+    got = {x.page_id: x.text for x in page_text.extract(frame(spark, rows, "page_id long, url string, html string, text string, h string")).collect()}
+    assert got == want
