@@ -156,42 +156,53 @@ def suffixes(block: bytes, n: int, keys: np.ndarray, inside: bool) -> tuple[np.n
 
 
 def page_keys(pages: DataFrame) -> DataFrame:
-    """(host, key, inside): the suffixes of every page, each once per page."""
+    """(host, content, outer, inner): of every page a hash of its blocks, and its suffixes outside and inside the
+    article, each once."""
     def run(batches):
         hashes = WordHashes()
         for b in batches:
-            out, found, words = [[], [], []], [], []
-            for host, page in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            found, words, contents = [], [], []
+            for page in b.column(1).to_pylist():
+                stream = xxhash.xxh64()
                 for text, side in blocks(page):
                     raw = text.encode()
                     own = raw.split(b" ")
-                    found.append((host, side, raw, len(words), len(own)))
+                    found.append((side, raw, len(words), len(own)))
                     words += own
+                    stream.update(raw + (b"\n1" if side else b"\n0"))
                 found.append(None)
+                contents.append(stream.intdigest())
             keys = grams(hashes.of(words), DEPTH)          # at once for all blocks; runs across blocks are not used
-            page = {}
+            out, page = ([], []), ([], [])
             for block in found:
                 if block is not None:
-                    host, side, raw, start, n = block
-                    page.setdefault((host, side), []).append(suffixes(raw, n, keys[start:start + max(0, n - DEPTH + 1)], side)[1])
+                    side, raw, start, n = block
+                    page[side].append(suffixes(raw, n, keys[start:start + max(0, n - DEPTH + 1)], side)[1])
                     continue
-                for (host, side), own in page.items():
-                    own = np.unique(np.concatenate(own)).view(np.int64)
-                    out[0].append(np.full(len(own), host))
-                    out[1].append(own)
-                    out[2].append(np.full(len(own), side))
-                page = {}
-            kinds = [np.int64, np.int64, bool]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c) if c else np.zeros(0, k)) for c, k in zip(out, kinds, strict=True)], ["host", "key", "inside"])
+                for rows, own in zip(out, page, strict=True):
+                    rows.append(np.unique(np.concatenate(own)).view(np.int64) if own else np.zeros(0, np.int64))
+                page = ([], [])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.array(contents, np.uint64).view(np.int64)), *[
+                pa.array(rows, pa.list_(pa.int64())) for rows in out]], ["host", "content", "outer", "inner"])
 
-    return pages.select("h", "html").mapInArrow(run, "host long, key long, inside boolean")
+    return pages.select("h", "html").mapInArrow(run, "host long, content long, outer array<long>, inner array<long>")
+
+
+def distinct_pages(pages: DataFrame) -> DataFrame:
+    """``page_keys`` with one row per host and content, so that copies of a page are no further pages."""
+    every = stored(page_keys(pages).withColumn("row", F.monotonically_increasing_id()))
+    copies = every.groupBy("host", "content").agg(F.min("row").alias("first"), F.max("row").alias("last")).where("first <> last").drop("last")
+    return every.join(maybe_broadcast(stored(copies)), ["host", "content"], "left").where("first is null or row = first")
 
 
 def boilerplate(pages: DataFrame) -> DataFrame:
     """(host, keys): suffixes that enough distinct pages of the host share.  No host has more of them than a few
     times those of its average page, as each stands in a tenth of its pages or more."""
-    total = pages.groupBy(F.col("h").alias("host")).agg(F.count("*").alias("pages"))
-    shared = page_keys(pages).groupBy("host", "key", "inside").agg(F.count("*").alias("n")).where(f"n >= {min(INSIDE[1], ELSEWHERE[1])}")
+    distinct = distinct_pages(pages)
+    total = distinct.groupBy("host").agg(F.count("*").alias("pages"))
+    sides = F.explode(F.array(F.struct(F.col("outer").alias("keys"), F.lit(False).alias("inside")), F.struct(F.col("inner").alias("keys"), F.lit(True).alias("inside"))))
+    found = distinct.select("host", sides.alias("s")).select("host", "s.inside", F.explode("s.keys").alias("key"))
+    shared = found.groupBy("host", "key", "inside").agg(F.count("*").alias("n")).where(f"n >= {min(INSIDE[1], ELSEWHERE[1])}")
     least = F.when(F.col("inside"), F.greatest(F.lit(INSIDE[1]), F.col("pages") * INSIDE[0])).otherwise(F.greatest(F.lit(ELSEWHERE[1]), F.col("pages") * ELSEWHERE[0]))
     return shared.join(total, "host").where(F.col("n") >= least).groupBy("host").agg(F.array_sort(F.collect_list("key")).alias("keys"))
 
@@ -212,7 +223,8 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str
     """(page_id, url, text, n_chars), one row per row of ``pages``: blocks of the main text joined by two line ends.
 
     Null and empty html, and pages without text, give an empty text.  A null url, or one without a host, has no host's
-    array: such pages go by their markup alone.  Rows that repeat are extracted alike and count as pages.  Broken and
+    array: such pages go by their markup alone.  Rows that repeat are extracted alike; pages of a host with the same main
+    text count as one page.  Broken and
     cut-off markup is read as far as it goes.  Other columns play no part.
     """
     host = host_of(F.col(url))

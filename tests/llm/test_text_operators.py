@@ -414,3 +414,13 @@ def test_page_text_whole_repeated_runs(spark):
             want[len(rows) - 1] = f"{a} {b}"
     got = {x.page_id: x.text for x in page_text.extract(frame(spark, rows, "page_id long, url string, html string, text string, h string")).collect()}
     assert got == want
+
+
+def test_page_text_keeps_copies_of_a_page(spark):
+    story = " ".join(f"s{i}" for i in range(30))
+    rows = [(i, "http://a.org/x", f"<div>{story}</div>") for i in range(3)] + [(10 + i, f"http://b.org/{i}", f"<article><p>{story}</p></article>") for i in range(12)]
+    rows += [(30 + i, f"http://b.org/o{i}", f"<article><p>other {i} {i * 3}</p></article>") for i in range(2)]
+    rows += [(40 + i, f"http://c.org/{i}", f"<div>{story}</div><div>news {i // 2}</div>") for i in range(6)]       # three pages, each twice
+    got = {x.page_id: x.text for x in page_text.extract(frame(spark, rows, "page_id long, url string, html string, text string, h string")).collect()}
+    assert all(got[k] == story for k in [0, 1, 2, *range(10, 22)]) and got[31] == "other 1 3"
+    assert [got[40 + i] for i in range(6)] == [f"news {i // 2}" for i in range(6)]
