@@ -13,6 +13,7 @@ from boxloom.llm import (
     multi_index,
     packing,
     page_text,
+    piece_codec,
     quality,
 )
 from boxloom.llm.sqltext import ORACLES as ORACLES
@@ -80,3 +81,8 @@ def op9_contamination(spark, folder):
 @query
 def op10_bloom_lm(spark, folder):
     return bloom_lm.score(table(spark, folder, "documents"))
+
+
+@query
+def op13_piece_codec(spark, folder):
+    return piece_codec.digests(table(spark, folder, "documents"))
