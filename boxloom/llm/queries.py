@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from boxloom.llm import (
     bloom_lm,
     contamination,
+    hard_negatives,
     jaccard_join,
     license_rules,
     line_runs,
@@ -15,6 +16,7 @@ from boxloom.llm import (
     page_text,
     piece_codec,
     quality,
+    spelling,
 )
 from boxloom.llm.sqltext import ORACLES as ORACLES
 
@@ -83,6 +85,16 @@ def op10_bloom_lm(spark, folder):
     return bloom_lm.score(table(spark, folder, "documents"))
 
 
+@query
+def op11_hard_negatives(spark, folder):
+    return hard_negatives.mine(table(spark, folder, "embeddings"))
+
+
+@query
+def op12_spelling(spark, folder):
+    return spelling.group(table(spark, folder, "documents"))
+
+
 @query
 def op13_piece_codec(spark, folder):
     return piece_codec.digests(table(spark, folder, "documents"))
