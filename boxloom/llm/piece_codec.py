@@ -14,6 +14,8 @@ import codecs
 import hashlib
 import re
 import struct
+from array import array
+from functools import lru_cache
 from heapq import heapify, heappop, heappush
 
 import numpy as np
@@ -155,6 +157,33 @@ def one_for_each(error):
 codecs.register_error("boxloom-each-byte", one_for_each)
 
 
+def words_of(pieces, mark: str) -> str:
+    """An expression for parts of a text that no piece reaches across: from one run of marks to the next, and letters apart
+    from a character behind them that follows a letter in no piece."""
+    if any(mark in p.lstrip(mark) for p in pieces):
+        return "(?s).+"
+    letter = re.compile(r"[^\W\d_]")
+    behind = {p[i] for p in pieces for i in range(1, len(p)) if letter.match(p[i - 1])}
+    apart = "".join(re.escape(c) for c in sorted({c for p in pieces for c in p} | {"\n"}) if not letter.match(c) and c not in behind)
+    return f"{mark}*[^\\W\\d_]+(?=[{apart}])|{mark}+[^{mark}]*|[^{mark}]+" if apart else f"{mark}+[^{mark}]*|[^{mark}]+"
+
+
+class Kept(dict):
+    """Words with their encoding; forgets all when it holds too many, and never keeps long ones."""
+
+    def __init__(self, encoded):
+        super().__init__()
+        self.encoded = encoded
+
+    def __missing__(self, word: str):
+        found = self.encoded(word)
+        if len(word) <= KEPT_LENGTH:
+            if len(self) >= KEPT_WORDS:
+                self.clear()
+            self[word] = found
+        return found
+
+
 class Codec:
     """Encoder and decoder of one model."""
 
@@ -175,16 +204,55 @@ class Codec:
         score = [struct.unpack("<f", p[2])[0] if 2 in p else 0.0 for p in pieces]
         self.ids = {n: i for i, (n, p) in enumerate(zip(names, pieces, strict=True)) if p[3] == NORMAL}
         self.score = {n: -score[i] for n, i in self.ids.items()}
+        self.wide = {n: len(n.encode()) for n in self.ids}
         self.unknown = next(i for i, p in enumerate(pieces) if p[3] == UNKNOWN)
         self.end = next((i for i, (n, p) in enumerate(zip(names, pieces, strict=True)) if p[3] == CONTROL and n == "</s>"), None)
         self.bytes = {int(n[3:5], 16): i for i, (n, p) in enumerate(zip(names, pieces, strict=True)) if p[3] == BYTE}
         mark = self.normalise.space
-        self.word = re.compile(f"{mark}+[^{mark}]*|[^{mark}]+" if not any(mark in n.lstrip(mark) for n in self.ids) else "(?s).+")
+        self.word = re.compile(words_of(self.ids, mark))
         surface = trainer.get(44, " ⁇ ".encode())
         self.surface = [surface if p[3] == UNKNOWN else b"" if p[3] == CONTROL else bytes([int(n[3:5], 16)]) if p[3] == BYTE
                         else n.replace(MARK, " ").encode() for n, p in zip(names, pieces, strict=True)]
         self.kind = [p[3] for p in pieces]
-        self.kept = {}
+        self.control = np.array([k == CONTROL for k in self.kind])
+        self.spelled = [str(i) for i in range(len(names))]
+        self.longest = {}
+        for n in self.ids:
+            self.longest[n[0]] = max(self.longest.get(n[0], 1), len(n))
+        self.kept, self.fits = Kept(self.encoded_word), Kept(self.fitting)
+
+    def fitting(self, pair: tuple[str, str]) -> bool:
+        return self.merged(pair[0] + pair[1]) == [p for p in pair if p]
+
+    def parted(self, word: str) -> list[str]:
+        """The pieces of a word.  They are the only ones of which every two neighbours, merged by themselves, come out as those
+        two: a merge across a border between pieces would also happen between these two alone.  So the longest piece that
+        fits the one before it is taken, and given back where nothing fits behind it.  Long words, and words that make many
+        steps, are merged pair by pair."""
+        n, at, out, last, steps = len(word), 0, [], "", 0
+        if n > KEPT_LENGTH:
+            return self.merged(word)
+        names, fits, longest = self.ids, self.fits, self.longest
+        k = min(n, longest.get(word[0], 1))
+        while steps < 8 * n:
+            steps += 1
+            while k:
+                piece = word[at:at + k]
+                if (k == 1 or piece in names) and fits[last, piece]:
+                    break
+                k -= 1
+            if k:
+                out.append(piece)
+                at += k
+                if at == n:
+                    return out
+                last = piece
+                k = min(n - at, longest.get(word[at], 1))
+            else:
+                k = len(out.pop()) - 1
+                at -= k + 1
+                last = out[-1] if out else ""
+        return self.merged(word)
 
     def merged(self, word: str) -> list[str]:
         """Symbols of a word after all merges; of equal scores the leftmost pair goes first."""
@@ -211,35 +279,25 @@ class Codec:
 
     def encoded_word(self, word: str) -> tuple[bytes, bytes, str]:
         """Ids, lengths in bytes, and the ids as text, of the pieces of one word."""
-        found = self.kept.get(word)
-        if found is not None:
-            return found
-        ids, sizes = [], []
-        for piece in self.merged(word):
-            raw = piece.encode()
-            if piece in self.ids:
-                ids.append(self.ids[piece])
-                sizes.append(len(raw))
-            elif self.bytes:                     # the last byte's piece takes the character's span
-                ids += [self.bytes[b] for b in raw]
-                sizes += [0] * (len(raw) - 1) + [len(raw)]
-            else:
-                ids.append(self.unknown)
-                sizes.append(len(raw))
-        found = np.array(ids, np.uint32).tobytes(), np.array(sizes, np.uint16).tobytes(), " ".join(map(str, ids))
-        if len(word) <= KEPT_LENGTH:
-            if len(self.kept) >= KEPT_WORDS:
-                self.kept.clear()
-            self.kept[word] = found
-        return found
+        pieces, ids = self.parted(word), self.ids
+        try:
+            found, sizes = [ids[p] for p in pieces], [self.wide[p] for p in pieces]
+        except KeyError:                             # some character has no piece
+            found, sizes = [], []
+            for piece in pieces:
+                raw = piece.encode()
+                own = [ids[piece]] if piece in ids else [self.bytes[b] for b in raw] if self.bytes else [self.unknown]
+                found += own
+                sizes += [0] * (len(own) - 1) + [len(raw)]      # the last byte's piece takes the character's span
+        return array("I", found).tobytes(), array("H", sizes).tobytes(), " ".join([self.spelled[i] for i in found])
 
     def encode(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, str]:
         """Ids, first and last (exclusive) original byte of each piece, and the ids as text, without an end id."""
         norm, back = self.normalise(text)
-        words = [self.encoded_word(w) for w in self.word.findall(norm)]
-        ids = np.frombuffer(b"".join([w[0] for w in words]), np.uint32)
-        ends = np.frombuffer(b"".join([w[1] for w in words]), np.uint16).cumsum(dtype=np.int64)
-        spelled = " ".join([w[2] for w in words])
+        found, sizes, spelled = zip(*map(self.kept.__getitem__, self.word.findall(norm)), strict=True) if norm else ((), (), ())
+        ids = np.frombuffer(b"".join(found), np.uint32)
+        ends = np.frombuffer(b"".join(sizes), np.uint16).cumsum(dtype=np.int64)
+        spelled = " ".join(spelled)
         if not self.bytes and (again := (ids[1:] == self.unknown) & (ids[:-1] == self.unknown)).any():
             ids, ends = ids[np.concatenate([[True], ~again])], ends[np.concatenate([~again, [True]])]      # unknowns in a row are one
             spelled = " ".join(map(str, ids.tolist()))
@@ -248,12 +306,9 @@ class Codec:
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids: marks are spaces, the one put before the text goes, runs of byte pieces are read together."""
-        runs, drop = [[]], 0
-        for i in ids:
-            if self.kind[i] == CONTROL:          # bytes before and after it are not read as one character
-                runs.append([])
-            else:
-                runs[-1].append(self.surface[i])
+        raw, drop = list(map(self.surface.__getitem__, ids)), 0
+        cuts = np.flatnonzero(self.control[ids]) if len(ids) else []        # bytes before and after a control id are not read as one character
+        runs = [raw[a:b] for a, b in zip([0, *cuts], [*cuts, len(raw)], strict=True)]
         if self.normalise.prefix or self.normalise.squeeze:
             for i in ids:
                 if self.kind[i] == CONTROL:
@@ -264,7 +319,9 @@ class Codec:
         return "".join([b"".join(r).decode("utf-8", "boxloom-each-byte") for r in runs])[drop:]
 
 
+@lru_cache(maxsize=2)
 def codec(model: str = MODEL) -> Codec:
+    """The codec of a model, read once by each worker."""
     with open(public_tokenizers.path(model), "rb") as f:
         return Codec(f.read())
 
