@@ -1,12 +1,16 @@
 """Main text of web pages: markup tells the article from what surrounds it, and a suffix array per host finds what
 the host's pages repeat.
 
-A page's blocks outside menus, notices, forms and the like become a stream of words.  The streams of a host's pages,
-one after another, are indexed by their suffixes up to a fixed depth; equal suffixes are brought together by
-Spark's own grouping, so a host may have any number of pages.  Every place of a block has its suffix, so a
-substring that pages share is covered from its first word to its last by the suffixes in it; blocks shorter than a
-suffix are indexed whole.  Words covered by suffixes that many distinct pages of the host share are boilerplate and go;
-unique runs stay.
+A page's blocks outside menus, notices, forms and the like become a stream of words.  The streams of a host's distinct
+pages, one after another, are ordered by their suffixes by prefix doubling, up to a depth of eight words; suffixes that
+agree that far are neighbours, an interval of the array, and its distinct pages are counted.  Ordering deeper would
+change nothing: a word lies in a repeated substring of eight words or more exactly if it lies in one of eight.  Blocks
+shorter than that are suffixes as a whole.  Words covered by intervals that enough distinct pages share are boilerplate
+and go; unique runs stay.
+
+A host of any size is ordered in parts of bounded numbers of words.  A substring on a share of the host's pages is on
+that share of the pages of one part at least, so each part names its candidates, and those alone are counted
+over all of the host's pages.
 """
 from __future__ import annotations
 
@@ -16,6 +20,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,17 +28,19 @@ from boxloom.llm.common import WordHashes, grams, stored
 from boxloom.llm.link_trust import host_of
 from boxloom.scale import maybe_broadcast
 
-DEPTH = 8              # words that suffixes are compared by
+DEPTH = 8              # words that suffixes are ordered by
+PART = 1 << 18         # words that one part of a host's array should hold
 # Shares of a host's pages, and numbers of pages, that make a substring boilerplate: inside the article, and elsewhere.
 INSIDE, ELSEWHERE = (0.8, 10), (0.1, 3)
 
 TAG = re.compile(r"""<(?:!--.*?(?:-->|\Z)|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][\w:-]*)((?:[^>"']|"[^"]*"|'[^']*')*)(?:>|\Z)|(/?)([a-zA-Z][\w:-]*)([^>]*)(?:>|\Z))""", re.S)
-RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "svg", "math", "canvas", "object", "xmp"}
+RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "canvas", "xmp"}
 IMPLIED = {"p", "li", "dt", "dd", "tr", "td", "th", "option"}      # a second one ends the first
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 ASIDE = {"nav", "footer", "aside", "form", "menu", "dialog", "button", "select", "datalist", "audio", "video", "head"}
 BLOCK = set("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 "
             "h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split())
+PROSE = set("p h1 h2 h3 h4 h5 h6 li dt dd blockquote pre td th tr tbody table figure figcaption caption math svg object b i em strong span code sub sup q cite".split())
 NAMES = ("ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie cookies consent gdpr notice notices alert "
          "newsletter subscribe subscription signup sidebar menu nav navbar navigation breadcrumb breadcrumbs share sharing social related "
          "recommended recommendations comment comments reply replies respond disqus footer masthead popup modal overlay login widget widgets "
@@ -64,6 +71,8 @@ def kind_of(tag: str, raw: str, inside: bool) -> str | None:
         return "noise"
     if (tag == "header" or TOP.search(names)) and not inside:
         return "noise"
+    if inside and tag in PROSE:                # of a paragraph of the article only a whole name tells, not a word of a longer one
+        return "noise" if any(n.lower() in NAMES for n in names.split()) else None
     return "noise" if names.strip() and NAMED.search(names) else None
 
 
@@ -155,56 +164,116 @@ def suffixes(block: bytes, n: int, keys: np.ndarray, inside: bool) -> tuple[np.n
     return np.arange(len(keys)), keys ^ side, DEPTH
 
 
-def page_keys(pages: DataFrame) -> DataFrame:
-    """(host, content, outer, inner): of every page a hash of its blocks, and its suffixes outside and inside the
-    article, each once."""
+def packed(found: list[tuple[str, bool]]) -> bytes:
+    """Blocks as one compressed line each, led by whether they are inside the article."""
+    return zstandard.compress("\n".join(("1" if side else "0") + t for t, side in found).encode(), 3)
+
+
+def unpacked(raw: bytes) -> list[tuple[str, bool]]:
+    return [(line[1:], line[0] == "1") for line in zstandard.decompress(raw).decode().split("\n") if line]
+
+
+def streams(pages: DataFrame) -> DataFrame:
+    """(k, u, h, content, words, blocks): of every page its blocks, a hash of them and how many words they have."""
     def run(batches):
-        hashes = WordHashes()
         for b in batches:
-            found, words, contents = [], [], []
-            for page in b.column(1).to_pylist():
+            content, words, out = [], [], []
+            for page in b.column(3).to_pylist():
+                found = blocks(page)
                 stream = xxhash.xxh64()
-                for text, side in blocks(page):
-                    raw = text.encode()
-                    own = raw.split(b" ")
-                    found.append((side, raw, len(words), len(own)))
-                    words += own
-                    stream.update(raw + (b"\n1" if side else b"\n0"))
-                found.append(None)
-                contents.append(stream.intdigest())
-            keys = grams(hashes.of(words), DEPTH)          # at once for all blocks; runs across blocks are not used
-            out, page = ([], []), ([], [])
-            for block in found:
-                if block is not None:
-                    side, raw, start, n = block
-                    page[side].append(suffixes(raw, n, keys[start:start + max(0, n - DEPTH + 1)], side)[1])
-                    continue
-                for rows, own in zip(out, page, strict=True):
-                    rows.append(np.unique(np.concatenate(own)).view(np.int64) if own else np.zeros(0, np.int64))
-                page = ([], [])
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.array(contents, np.uint64).view(np.int64)), *[
-                pa.array(rows, pa.list_(pa.int64())) for rows in out]], ["host", "content", "outer", "inner"])
-
-    return pages.select("h", "html").mapInArrow(run, "host long, content long, outer array<long>, inner array<long>")
-
-
-def distinct_pages(pages: DataFrame) -> DataFrame:
-    """``page_keys`` with one row per host and content, so that copies of a page are no further pages."""
-    every = stored(page_keys(pages).withColumn("row", F.monotonically_increasing_id()))
-    copies = every.groupBy("host", "content").agg(F.min("row").alias("first"), F.max("row").alias("last")).where("first <> last").drop("last")
-    return every.join(maybe_broadcast(stored(copies)), ["host", "content"], "left").where("first is null or row = first")
-
-
-def boilerplate(pages: DataFrame) -> DataFrame:
-    """(host, keys): suffixes that enough distinct pages of the host share.  No host has more of them than a few
+                for text, side in found:
+                    stream.update(text.encode() + (b"\n1" if side else b"\n0"))
+                content.append(stream.intdigest())
+                words.append(sum(t.count(" ") + 1 for t, _ in found))
+                out.append(packed(found))
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(np.array(content, np.uint64).view(np.int64)), pa.array(words, pa.int64()), pa.array(out, pa.binary())],
+                                             ["k", "u", "h", "content", "words", "blocks"])
+
+    kind = pages.schema["k"].dataType.simpleString()
+    return pages.select("k", "u", "h", "html").mapInArrow(run, f"k {kind}, u string, h long, content long, words long, blocks binary")
+
+
+def distinct_pages(every: DataFrame) -> DataFrame:
+    """One row per host and content, so that copies of a page are no further pages; only hosts with pages enough to
+    repeat something."""
+    own = every.where("h is not null and words > 0")
+    copies = own.groupBy("h", "content").agg(F.min("row").alias("first"), F.max("row").alias("last")).where("first <> last").drop("last")
+    return own.join(maybe_broadcast(stored(copies)), ["h", "content"], "left").where("first is null or row = first").drop("first")
+
+
+def order(ids: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """Ranks of the suffixes at all places by their first ``DEPTH`` words, by prefix doubling; ``left`` counts the words from a
+    place to the end of its block, which no suffix crosses.  Equal ranks are neighbours in the suffix array."""
+    rank, wide = np.unique(ids, return_inverse=True)[1] + 1, 1
+    while wide < DEPTH:
+        after = np.zeros_like(rank)
+        after[:-wide] = np.where(left[:-wide] > wide, rank[wide:], 0)
+        rank = np.unique(rank * (len(rank) + 2) + after, return_inverse=True)[1] + 1
+        wide *= 2
+    return rank
+
+
+def repeated(contents: list[list[tuple[str, bool]]], shares: tuple[float, float], hashes: WordHashes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys of the suffixes that a share of the given pages have, whether they are inside the article, and on how many pages
+    they stand."""
+    raws = [(i, t.encode(), side) for i, page in enumerate(contents) for t, side in page]
+    words = [r.split(b" ") for _, r, _ in raws]
+    sizes = np.array([len(w) for w in words], np.int64)
+    stops = sizes.cumsum()
+    ids = hashes.of([w for own in words for w in own])
+    left = np.repeat(stops, sizes) - np.arange(len(ids))
+    starts = np.repeat(stops - sizes, sizes) == np.arange(len(ids))
+    page, side = (np.repeat(np.array(c, np.int64), sizes) for c in ([i for i, _, _ in raws], [s for _, _, s in raws]))
+    # a short block counts as a whole; places too near the end of a longer block start no suffix
+    use = np.flatnonzero((left >= DEPTH) | starts)
+    rank = order(ids, left)[use]
+    interval = (rank * 2 + (left[use] < DEPTH)) * 2 + side[use]
+    seen = np.unique(interval * len(contents) + page[use], return_index=True)
+    name, first, n = np.unique(seen[0] // len(contents), return_index=True, return_counts=True)
+    inside = name % 2 == 1
+    enough = n >= np.where(inside, shares[1], shares[0]) * len(contents) - 1e-9
+    at = use[seen[1][first[enough]]]
+    block = np.searchsorted(stops, at, "right")
+    keys = np.zeros(len(at), np.uint64)
+    for j, (place, own) in enumerate(zip(at, block, strict=True)):
+        start = stops[own] - sizes[own]
+        found = words[own][place - start:place - start + DEPTH]
+        _, key, _ = suffixes(b" ".join(found), len(found), grams(hashes.of(found), DEPTH), raws[own][2])
+        keys[j] = key[0]
+    return keys.view(np.int64), inside[enough], n[enough]
+
+
+def boilerplate(every: DataFrame) -> DataFrame:
+    """(h, keys): suffixes that enough distinct pages of the host share.  No host has more of them than a few
     times those of its average page, as each stands in a tenth of its pages or more."""
-    distinct = distinct_pages(pages)
-    total = distinct.groupBy("host").agg(F.count("*").alias("pages"))
-    sides = F.explode(F.array(F.struct(F.col("outer").alias("keys"), F.lit(False).alias("inside")), F.struct(F.col("inner").alias("keys"), F.lit(True).alias("inside"))))
-    found = distinct.select("host", sides.alias("s")).select("host", "s.inside", F.explode("s.keys").alias("key"))
-    shared = found.groupBy("host", "key", "inside").agg(F.count("*").alias("n")).where(f"n >= {min(INSIDE[1], ELSEWHERE[1])}")
+    distinct = distinct_pages(every).select("h", "content", "words", "blocks")
+    hosts = distinct.groupBy("h").agg(F.count("*").alias("pages"), F.ceil(F.sum("words") / PART).alias("parts")).where(f"pages >= {min(INSIDE[1], ELSEWHERE[1])}")
+    hosts = maybe_broadcast(stored(hosts))
+
+    def ordered(key, group):
+        hashes = WordHashes()
+        keys, inside, n = repeated([unpacked(r) for r in group["blocks"].to_pylist()], (ELSEWHERE[0], INSIDE[0]), hashes)
+        return pa.table({"h": pa.array([key[0].as_py()] * len(keys), pa.int64()), "key": pa.array(keys), "inside": pa.array(inside), "n": pa.array(n, pa.int64())})
+
+    laid = distinct.join(hosts, "h").select("h", F.pmod(F.xxhash64("content"), F.col("parts")).alias("part"), "blocks")
+    found = stored(laid.groupBy("h", "part").applyInArrow(ordered, "h long, key long, inside boolean, n long").join(hosts, "h"))
+    sure, asked = found.where("parts = 1"), found.where("parts > 1").select("h", "key", "inside", "pages").distinct()
+    lists = stored(asked.groupBy("h").agg(F.array_sort(F.collect_list("key")).alias("keys")))
+
+    def counted(batches):
+        hashes, total = WordHashes(), {}
+        for b in batches:
+            for host, raw, known in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
+                known = known.values.to_numpy()
+                own = [suffixes(t.encode(), t.count(" ") + 1, grams(hashes.of(t.encode().split(b" ")), DEPTH), side)[1] for t, side in unpacked(raw)]
+                for k in np.intersect1d(np.concatenate(own).view(np.int64), known).tolist():
+                    total[host, k] = total.get((host, k), 0) + 1
+        yield pa.RecordBatch.from_arrays([pa.array([k[i] for k in total], pa.int64()) for i in (0, 1)] + [pa.array(list(total.values()), pa.int64())], ["h", "key", "n"])
+
+    sums = distinct.join(maybe_broadcast(lists), "h").select("h", "blocks", "keys").mapInArrow(counted, "h long, key long, n long").groupBy("h", "key").agg(F.sum("n").alias("n"))
+    every_n = sure.select("h", "key", "inside", "n", "pages").union(asked.join(sums, ["h", "key"]).select("h", "key", "inside", "n", "pages"))
     least = F.when(F.col("inside"), F.greatest(F.lit(INSIDE[1]), F.col("pages") * INSIDE[0])).otherwise(F.greatest(F.lit(ELSEWHERE[1]), F.col("pages") * ELSEWHERE[0]))
-    return shared.join(total, "host").where(F.col("n") >= least).groupBy("host").agg(F.array_sort(F.collect_list("key")).alias("keys"))
+    return every_n.where(F.col("n") >= least).groupBy("h").agg(F.array_sort(F.collect_list("key")).alias("keys"))
 
 
 def unique_runs(text: str, inside: bool, known: np.ndarray, hashes: WordHashes) -> str:
@@ -229,20 +298,21 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str
     """
     host = host_of(F.col(url))
     p = pages.select(F.col(key).alias("k"), F.col(url).alias("u"), F.when(host != "", F.xxhash64(host)).alias("h"), F.coalesce(F.col(html), F.lit("")).alias("html"))
-    known = stored(boilerplate(p.where("h is not null")))
-    met = p.join(maybe_broadcast(known.withColumnRenamed("host", "h")), "h", "left")
+    every = stored(streams(p).withColumn("row", F.monotonically_increasing_id()))
+    known = stored(boilerplate(every))
+    met = every.join(maybe_broadcast(known), "h", "left")
     kind = pages.schema[key].dataType.simpleString()
 
     def run(batches):
         hashes = WordHashes()
         for b in batches:
             out, lists = [], b.column(3)
-            for i, page in enumerate(b.column(2).to_pylist()):
-                found = blocks(page)
+            for i, raw in enumerate(b.column(2).to_pylist()):
+                found = unpacked(raw)
                 if lists[i].is_valid:
                     keys = lists[i].values.to_numpy()
                     found = [(unique_runs(t, side, keys, hashes), side) for t, side in found]
                 out.append("\n\n".join(t for t, _ in found if t))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.string()), pa.array([len(t) for t in out], pa.int64())], [key, url, "text", "n_chars"])
 
-    return met.select("k", "u", "html", "keys").mapInArrow(run, f"{key} {kind}, {url} string, text string, n_chars long")
+    return met.select("k", "u", "blocks", "keys").mapInArrow(run, f"{key} {kind}, {url} string, text string, n_chars long")
