@@ -219,6 +219,14 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = S
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """Rows of ``docs`` without those that follow another of their component; rows with a null key stay."""
+    """Rows of ``docs`` without those that follow another of their component; rows with a null key stay.  Of rows that repeat
+    a doc_id and are in one component, the one whose text has the smallest hash stays."""
     out = join(docs, key, text, **options)
-    return without(docs, stored(out.where(F.col(key) != F.col("component_id")).select(key).distinct()), key)
+    twice = stored(out.groupBy(key, "component_id").agg(F.count("*").alias("n")).where("n > 1").select(key).distinct())
+    left = without(docs, stored(out.where(F.col(key) != F.col("component_id")).select(key).distinct()), key)
+    if twice.isEmpty():
+        return left
+    again = only(left, twice, key)
+    ranked = Window.partitionBy(key).orderBy(F.xxhash64(text), text)
+    rank = "rank_" + "".join(docs.columns)
+    return without(left, twice, key).union(again.withColumn(rank, F.row_number().over(ranked)).where(F.col(rank) == 1).drop(rank))

@@ -1,18 +1,16 @@
 """Line dedup: winnowed line hashes find repeated runs of lines, which are deleted wherever they come again.
 
-A window starts at every line that has words and takes lines until they hold ``min_words`` words.  The smallest
-line hash in a window is its fingerprint (of equal ones the last): neighbouring windows mostly share it, and any run
-of lines that holds ``min_words`` words and stands elsewhere too gives the same fingerprint there.  Fingerprints
-are counted over all texts; windows whose fingerprint has one place only are out.  The rest are joined on their
-content with the first place that has it.  Runs are the union of such windows; as windows start at every line,
-a run's front is exact.  Every window is extended while the lines after it go on as at its first place; of
-neighbouring windows whose first places are neighbours too, the last one is extended for all.
+A window reaches from a line onwards until its lines hold ``min_words`` words; another reaches from a line backwards.  The
+smallest line hash in a window is its fingerprint (of equal ones the last): neighbouring windows mostly share it, and
+any run of lines that holds ``min_words`` words and stands elsewhere too gives the same fingerprints there.
+Fingerprints are counted over all texts; windows whose fingerprint has one place only are out.  The places of the rest are joined on
+the window's content: a match at a fingerprint extends forwards as far as windows that start in the run reach, and
+backwards as far as those that end in it do.  A repeated run of any length is exactly the union of the windows in it,
+wherever it stands earlier: each window looks for its own earliest place, so no text that shares only a part hides another.
 """
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from boxloom.llm.common import once, stored
@@ -28,21 +26,42 @@ def line_words(line: Column) -> Column:
 
 
 def hashed_lines(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(_k, a): for every text its lines that have words, as (i: number of the line, h: hash, n: words)."""
-    lines = docs.where(F.col(key).isNotNull() & (F.length(text) > 0)).select(F.col(key).alias("_k"), once(F.split(text, "\n")).alias("_l"))
+    """(_k, a): for every place (key and hash of the text) its lines that have words, as (i: number of the line, h: hash, n: words)."""
+    place = F.struct(F.col(key).alias("k"), F.xxhash64(text).alias("t"))
+    lines = docs.where(F.col(key).isNotNull() & (F.length(text) > 0)).select(place.alias("_k"), once(F.split(text, "\n")).alias("_l"))
     a = F.transform("_l", lambda x, i: F.struct(i.alias("i"), F.xxhash64(F.trim(x)).alias("h"), line_words(x).alias("n")))
     return lines.select("_k", F.filter(a, lambda x: x["n"] > 0).alias("a"))
 
 
+def each_place(lines: DataFrame) -> DataFrame:
+    """``lines`` with one row per place: rows that repeat both key and text are one."""
+    twice = maybe_broadcast(stored(lines.groupBy("_k").count().where("count > 1").select("_k")))
+    if twice.isEmpty():
+        return lines
+    return stored(lines.join(twice, "_k", "left_anti").union(lines.join(twice, "_k", "left_semi").dropDuplicates(["_k"])))
+
+
 def windows(lines: DataFrame, min_words: int) -> DataFrame:
     """One row per window: (_k, p: place of its first line in ``a``, c: lines, f: fingerprint, at: its place, content)."""
-    def window(x, p):
-        near = F.slice("a", p + 1, F.lit(min_words))          # every line has a word, so this is enough
-        full = F.aggregate(near, F.struct(F.lit(0).alias("t"), F.lit(0).alias("c")), lambda acc, y: F.when(acc["t"] >= min_words, acc).otherwise(
-            F.struct((acc["t"] + y["n"]).alias("t"), (acc["c"] + 1).alias("c"))))
+    def reach(near):
+        """Lines of ``near`` until they hold enough words, their words, and the words of the last."""
+        start = F.struct(F.lit(0).alias("t"), F.lit(0).alias("c"), F.lit(0).alias("n"))
+        return F.aggregate(near, start, lambda acc, y: F.when(acc["t"] >= min_words, acc).otherwise(
+            F.struct((acc["t"] + y["n"]).alias("t"), (acc["c"] + 1).alias("c"), y["n"].alias("n"))))
+
+    def onwards(x, p):                                       # every line has a word, so ``min_words`` lines are enough
+        full = reach(F.slice("a", p + 1, F.lit(min_words)))
         return F.when(full["t"] >= min_words, F.struct(p.alias("p"), full["c"].alias("c")))
 
-    found = lines.select("_k", "a", F.explode(F.array_compact(F.transform("a", window))).alias("w"))
+    def backwards(x, p):                                     # those that also reach onwards just as far are there already
+        start = F.greatest(p + 2 - min_words, F.lit(1))
+        near = F.slice("a", start, p + 2 - start)
+        full = reach(F.reverse(near))
+        words = F.aggregate(F.slice("a", p + 2 - full["c"], full["c"] - 1), F.lit(0), lambda acc, y: acc + y["n"])
+        return F.when((full["t"] >= min_words) & (words >= min_words), F.struct((p + 1 - full["c"]).alias("p"), full["c"].alias("c")))
+
+    both = F.concat(F.array_compact(F.transform("a", onwards)), F.array_compact(F.transform("a", backwards)))
+    found = lines.select("_k", "a", F.explode(both).alias("w"))
     hashes = F.transform(F.slice("a", F.col("w.p") + 1, F.col("w.c")), lambda y: y["h"])
     found = found.select("_k", "w.p", "w.c", once(hashes).alias("hs"))
     low = F.array_min("hs")
@@ -51,7 +70,7 @@ def windows(lines: DataFrame, min_words: int) -> DataFrame:
 
 
 def repeated(lines: DataFrame, min_words: int) -> DataFrame:
-    """Windows that stand earlier too, with the first place: (_k, p, last, k0, last0)."""
+    """Windows that stand earlier too: (_k, p, last)."""
     found = windows(lines, min_words)
     place = F.struct("_k", "at")
     # Both sums are stored: a join right above its own aggregate could not be split where one fingerprint is very common.
@@ -59,63 +78,44 @@ def repeated(lines: DataFrame, min_words: int) -> DataFrame:
     known = found.join(maybe_broadcast(again), "f", "left_semi")
     first = known.groupBy("content").agg(F.min(F.struct("_k", "p")).alias("o"), F.max(F.struct("_k", "p")).alias("z")).where("o <> z").drop("z")
     first = maybe_broadcast(stored(first))
-    return known.join(first, "content").where(F.struct("_k", "p") > F.col("o")).select(
-        "_k", "p", (F.col("p") + F.col("c") - 1).alias("last"), F.col("o._k").alias("k0"), (F.col("o.p") + F.col("c") - 1).alias("last0"))
+    return known.join(first, "content").where(F.struct("_k", "p") > F.col("o")).select("_k", "p", (F.col("p") + F.col("c") - 1).alias("last"))
 
 
-def extended(ends: DataFrame, lines: DataFrame, most: int) -> DataFrame:
-    """``ends`` (_k, p, last, k0, last0) moved on by the n lines, at most ``most``, that are the same after both ends."""
-    mine = lines.select("_k", F.col("a").alias("mine"))
-    first = lines.select(F.col("_k").alias("k0"), F.col("a").alias("theirs"))
-    met = ends.join(mine, "_k").select("_k", "p", "last", "k0", "last0", F.slice("mine", F.col("last") + 2, most).alias("x")).join(first, "k0")
-    pair = F.arrays_zip(F.col("x").alias("x"), F.slice("theirs", F.col("last0") + 2, most).alias("y"))
-    same = lambda z: z["x"]["h"].eqNullSafe(z["y"]["h"])
-    more = F.aggregate(pair, F.struct(F.lit(0).alias("n"), F.lit(True).alias("on")), lambda acc, z: F.struct(
-        (acc["n"] + F.when(acc["on"] & same(z), 1).otherwise(0)).alias("n"), (acc["on"] & same(z)).alias("on")))["n"]
-    return met.withColumn("n", more).select("_k", "p", (F.col("last") + F.col("n")).alias("last"), "k0", (F.col("last0") + F.col("n")).alias("last0"), "n")
+def gone_lines(docs: DataFrame, key: str, text: str, min_words: int) -> DataFrame:
+    """(_k, gone): of every place that loses some, the numbers of its lines that go."""
+    lines = each_place(stored(hashed_lines(docs, key, text)))
+    runs = repeated(lines, min_words).groupBy("_k").agg(F.collect_list(F.struct("p", "last")).alias("runs"))
+    places = F.array_distinct(F.flatten(F.transform("runs", lambda r: F.sequence(r["p"], r["last"]))))
+    return runs.join(lines, "_k").select("_k", F.array_sort(F.transform(places, lambda p: F.get("a", p)["i"])).alias("gone"))
 
 
 def deleted_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, gone): numbers of the lines, from 0, that belong to a run of at least ``min_words`` words that
-    comes earlier, as far as that run goes on at the first place of one of its windows; texts that lose nothing are
-    absent.  Earlier is by doc_id, then by place."""
-    lines = stored(hashed_lines(docs, key, text))
-    seeds = stored(repeated(lines, min_words))
-    # Windows that follow each other at the same distance to their first places end alike, so the last one is extended.
-    ahead = F.lead("p").over(Window.partitionBy("_k", "k0", F.col("last0") - F.col("last")).orderBy("p", "last"))
-    ends = seeds.withColumn("_next", ahead).where("_next is null or _next > last + 1").drop("_next")
-    tails, most = [], min_words
-    while True:
-        longer = stored(extended(ends, lines, most))
-        tails.append(longer.select("_k", "p", "last"))
-        ends = longer.where(F.col("n") == most).drop("n")
-        if ends.isEmpty():
-            break
-        most *= 4
-    tails = reduce(DataFrame.union, tails)
-    runs = seeds.select("_k", "p", "last").union(tails).groupBy("_k").agg(F.collect_list(F.struct("p", "last")).alias("runs"))
-    places = F.array_distinct(F.flatten(F.transform("runs", lambda r: F.sequence(r["p"], r["last"]))))
-    return runs.join(lines, "_k").select(F.col("_k").alias(key), F.array_sort(F.transform(places, lambda p: F.get("a", p)["i"])).alias("gone"))
+    """(doc_id, gone): numbers of the lines, from 0, that belong to a run of at least ``min_words`` words that stands
+    earlier, in this text or another; texts that lose nothing are absent.  Earlier is by doc_id, then by the hash of the text (where texts
+    share a doc_id, each has a row), then by place."""
+    return gone_lines(docs, key, text, min_words).select(F.col("_k.k").alias(key), "gone")
 
 
-def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """``docs`` with repeated runs deleted from ``text``; adds ``n_lines`` and ``n_deleted`` (lines before, lines gone).
+def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS, lines: str = "n_lines", deleted: str = "n_deleted") -> DataFrame:
+    """``docs`` with repeated runs deleted from ``text``, one row per row; the columns ``lines`` and ``deleted`` (lines before, lines
+    gone) come last and take the place of others of those names.
 
     The first place of a run, by doc_id and then line, keeps it; the same holds within one text.  White space
     at a line's ends plays no part in comparisons; lines without words belong to no run and stay.  Null and empty
-    texts stay as they are with 0 lines; so do rows with a null key.  A doc_id names one text: rows that repeat it are
-    one place.  Other columns pass through.
+    texts stay as they are with 0 lines; so do rows with a null key.  Rows that repeat a doc_id with another text are places
+    of their own, by the hash of the text; rows that repeat both are one place and are cut alike.  Other columns pass through.
     """
-    gone = stored(deleted_lines(docs, key, text, min_words))
-    d = docs.join(maybe_broadcast(gone.withColumnRenamed("gone", "_gone")), key, "left")
-    lines = F.split(F.col(text), "\n")
-    n = F.when(F.length(text) > 0, F.size(lines)).otherwise(0)
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_gone"))
-    new = F.when(F.col("_gone").isNull(), F.col(text)).otherwise(F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n"))
-    return d.select(*[new.alias(c) if c == text else F.col(c) for c in docs.columns], n.cast("long").alias("n_lines"),
-                    F.when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone")).cast("long").alias("n_deleted"))
-
-
-def counted(deduped: DataFrame, text: str = "text", count: str = "n_chars") -> Column:
+    was, at, cut = (f"{name}_{''.join(docs.columns)}" for name in ("key", "hash", "gone"))       # names that no column has
+    gone = stored(gone_lines(docs, key, text, min_words)).select(F.col("_k.k").alias(was), F.col("_k.t").alias(at), F.col("gone").alias(cut))
+    d = docs.join(maybe_broadcast(gone), (F.col(key) == F.col(was)) & (F.xxhash64(text) == F.col(at)), "left")
+    split = F.split(F.col(text), "\n")
+    n = F.when(F.length(text) > 0, F.size(split)).otherwise(0)
+    kept = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), F.col(cut))
+    new = F.when(F.col(cut).isNull(), F.col(text)).otherwise(F.array_join(F.transform(kept, lambda i: F.get(split, i)), "\n"))
+    return d.select(*[new.alias(c) if c == text else F.col(c) for c in docs.columns if c not in (lines, deleted)], n.cast("long").alias(lines),
+                    F.when(F.col(cut).isNull(), 0).otherwise(F.size(cut)).cast("long").alias(deleted))
+
+
+def counted(deduped: DataFrame, text: str = "text", count: str = "n_chars", deleted: str = "n_deleted") -> Column:
     """The column that holds a text's length, brought up to date where lines went."""
-    return F.when(F.col("n_deleted") > 0, F.length(text).cast(deduped.schema[count].dataType)).otherwise(F.col(count))
+    return F.when(F.col(deleted) > 0, F.length(text).cast(deduped.schema[count].dataType)).otherwise(F.col(count))

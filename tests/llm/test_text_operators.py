@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 
 pytest.importorskip("boxloom.llm")
 from boxloom.llm import (  # noqa: E402
@@ -123,21 +124,19 @@ def test_jaccard_join_of_nothing(spark):
 
 
 def deleted(rows, least):
-    lines = {k: [x for x in ((i, s.strip(" "), len(s.strip(" ").split(" ")) if s.strip(" ") else 0) for i, s in enumerate(t.split("\n"))) if x[2]]
-             for k, t in sorted(rows, key=lambda r: r[0]) if t}
-    first, seeds, gone = {}, [], {k: set() for k in lines}
+    """Every run of lines of at least ``least`` words that stands at an earlier place, whatever else stands there."""
+    place = lambda r: (r[0], xxhash.xxh64_intdigest(r[1], 42) - (1 << 64) * (xxhash.xxh64_intdigest(r[1], 42) >> 63), r[1])
+    lines = {(k, t): [x for x in ((i, s.strip(" "), len(s.strip(" ").split(" ")) if s.strip(" ") else 0) for i, s in enumerate(t.split("\n"))) if x[2]]
+             for k, t in sorted((r for r in rows if r[0] is not None and r[1]), key=place)}
+    seen, gone = set(), {k: set() for k in lines}
     for k, a in lines.items():
         for p in range(len(a)):
-            q = next((q for q in range(p, len(a)) if sum(x[2] for x in a[p:q + 1]) >= least), None)
-            if q is not None:
-                place = first.setdefault(tuple(x[1] for x in a[p:q + 1]), (k, p))
-                if place != (k, p):
-                    seeds.append((k, p, q, *place))
-    for k, p, q, k0, p0 in seeds:
-        a, b, e = lines[k], lines[k0], p0 + q - p
-        while q + 1 < len(a) and e + 1 < len(b) and a[q + 1][1] == b[e + 1][1]:
-            q, e = q + 1, e + 1
-        gone[k].update(x[0] for x in a[p:q + 1])
+            for q in range(p, len(a)):
+                if sum(x[2] for x in a[p:q + 1]) >= least:
+                    run = tuple(x[1] for x in a[p:q + 1])
+                    if run in seen:
+                        gone[k].update(x[0] for x in a[p:q + 1])
+                    seen.add(run)
     return {k: sorted(v) for k, v in gone.items() if v}
 
 
@@ -150,7 +149,7 @@ def test_line_runs(spark):
     got = {x.doc_id: x for x in line_runs.dedup_lines(df, min_words=12).collect()}
     assert len(got) == len(rows)
     for k, t in rows:
-        gone = want.get(k, [])
+        gone = want.get((k, t), [])
         assert got[k].n_deleted == len(gone)
         assert got[k].text == (t if not gone else "\n".join(s for i, s in enumerate(t.split("\n")) if i not in gone))
     assert line_runs.dedup_lines(df.limit(0)).count() == 0
@@ -399,7 +398,40 @@ def test_line_runs_extend_every_window(spark):
     rows = [(k, "\n".join(t)) for k, t in rows]
     got = {x.doc_id: x.gone for x in line_runs.deleted_lines(frame(spark, rows)).collect()}
     assert got[20] == [0, 1, 2, 3, 4] and got[101] == list(range(71))
-    assert got == deleted(rows, 20)
+    assert got == {k: v for (k, _), v in deleted(rows, 20).items()}
+
+
+def test_line_runs_repeated_rows_and_names(spark):
+    line = lambda x, n=10: " ".join(f"{x}{i}" for i in range(n))
+    a, b, t = line("a"), line("b"), line("t", 5)
+    rows = [(1, [a, b, line("x")]), (5, [a, b, t]), (9, [a, b, t, line("o")]), (2, [line("h"), a, b]), (2, [line("h"), a, b]), (2, [a, b, line("k", 30)]),
+            (7, [line("k", 30), "", "  ", line("z")]), (None, [a, b]), (12, [f"w{i} w w w" for i in range(4000)]), (13, [f"w{i} w w w" for i in range(4000)])]
+    rows = [(k, "\n".join(x)) for k, x in rows] + [(20, None), (21, ""), (20, None)]
+    df = spark.createDataFrame([(*r, 1, "g", 5, 6) for r in rows], "doc_id long, text string, _gone int, gone string, n_lines int, _k int").repartition(3)
+    out = line_runs.dedup_lines(df)
+    assert out.columns == ["doc_id", "text", "_gone", "gone", "_k", "n_lines", "n_deleted"]
+    got = sorted(((x.doc_id or 0), x.text or "", x.n_deleted) for x in out.collect())
+    small = [r for r in rows if r[0] not in (12, 13)]
+    want = deleted(small, 20) | {(13, rows[9][1]): list(range(4000))}
+    cut = lambda k, x: "\n".join(s for i, s in enumerate((x or "").split("\n")) if i not in set(want.get((k, x), [])))
+    assert got == sorted((k or 0, cut(k, x), len(want.get((k, x), []))) for k, x in rows)
+    assert (9, line("o"), 3) in got and len(got) == len(rows)
+
+
+def test_pipeline_stages_on_repeated_ids(spark):
+    import corpus_pipeline
+
+    word = lambda x, n: " ".join(f"{x}{i}" for i in range(n))
+    a = word("a", 40)
+    rows = [(1, f"{a}\n{word('b', 30)}"), (2, f"{word('c', 50)}\n{a}\nend of two"), (2, f"{word('c', 50)}\n{a}\nend of two"), (3, None), (4, "")]
+    docs = spark.createDataFrame([(k, t, None if t is None else len(t), "s") for k, t in rows], "doc_id long, text string, n_chars long, n_deleted string")
+    out = corpus_pipeline.fresh_lines(spark, docs, "")
+    assert out.columns == docs.columns
+    left = f"{word('c', 50)}\nend of two"
+    assert sorted((x.doc_id, x.text, x.n_chars, x.n_deleted) for x in out.where("doc_id < 3").collect()) == [(1, rows[0][1], len(rows[0][1]), "s"), *[(2, left, len(left), "s")] * 2]
+    assert out.count() == 5
+    one = corpus_pipeline.one_of_each_group(spark, out, "")
+    assert sorted(x.doc_id for x in one.collect()) == [1, 2, 3, 4]
 
 
 def test_page_text_whole_repeated_runs(spark):
