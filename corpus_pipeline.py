@@ -17,9 +17,11 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def fresh_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the runs of lines that came earlier; those that lose every line go."""
-    out = line_runs.dedup_lines(docs)
-    left = out.where("n_deleted = 0 or trim(text) <> ''")
-    return left.withColumn("n_chars", line_runs.counted(left)).select(*docs.columns) if "n_chars" in docs.columns else left.select(*docs.columns)
+    out = line_runs.dedup_lines(docs, lines="_lines_before", deleted="_lines_gone")
+    left = out.where("_lines_gone = 0 or trim(text) <> ''")
+    if "n_chars" in docs.columns:
+        left = left.withColumn("n_chars", line_runs.counted(left, deleted="_lines_gone"))
+    return left.select(*docs.columns)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
