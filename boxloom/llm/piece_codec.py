@@ -5,8 +5,8 @@ the byte it came from.  Pairs of neighbouring symbols then merge, best score fir
 piece fall back to bytes.  The ends of pieces in the normalised text, looked up in that alignment, are spans of the
 original text, and spans of one text lie end to end from its first byte to its last.
 
-No piece holds a space mark behind another character, so merges never cross the start of a word: words are encoded
-apart, and the words a task has met are kept (a bounded number).
+No piece holds a space mark behind another character, so merges never cross the start of a word.  The distinct words of
+a few megabytes of text are merged side by side: each round makes the best merge of every word that has one left.
 """
 from __future__ import annotations
 
@@ -14,7 +14,7 @@ import codecs
 import hashlib
 import re
 import struct
-from array import array
+from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
 
@@ -26,7 +26,9 @@ from pyspark.sql import functions as F
 
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"                       # stands for a space
-KEPT_WORDS, KEPT_LENGTH = 200_000, 64      # words that a task keeps, and how long they may be
+CHUNK = 4_000_000                # characters of text that are encoded at once
+LONG = 64                        # longer words are merged by themselves
+BASE = 1 << 21                   # above all code points and symbols
 NORMAL, UNKNOWN, CONTROL, OWN, UNUSED, BYTE = range(1, 7)      # kinds of pieces
 BPE = 2
 
@@ -168,20 +170,12 @@ def words_of(pieces, mark: str) -> str:
     return f"{mark}*[^\\W\\d_]+(?=[{apart}])|{mark}+[^{mark}]*|[^{mark}]+" if apart else f"{mark}+[^{mark}]*|[^{mark}]+"
 
 
-class Kept(dict):
-    """Words with their encoding; forgets all when it holds too many, and never keeps long ones."""
+class Numbers(dict):
+    """Words by the order in which they are first asked for."""
 
-    def __init__(self, encoded):
-        super().__init__()
-        self.encoded = encoded
-
-    def __missing__(self, word: str):
-        found = self.encoded(word)
-        if len(word) <= KEPT_LENGTH:
-            if len(self) >= KEPT_WORDS:
-                self.clear()
-            self[word] = found
-        return found
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        return number
 
 
 class Codec:
@@ -204,7 +198,6 @@ class Codec:
         score = [struct.unpack("<f", p[2])[0] if 2 in p else 0.0 for p in pieces]
         self.ids = {n: i for i, (n, p) in enumerate(zip(names, pieces, strict=True)) if p[3] == NORMAL}
         self.score = {n: -score[i] for n, i in self.ids.items()}
-        self.wide = {n: len(n.encode()) for n in self.ids}
         self.unknown = next(i for i, p in enumerate(pieces) if p[3] == UNKNOWN)
         self.end = next((i for i, (n, p) in enumerate(zip(names, pieces, strict=True)) if p[3] == CONTROL and n == "</s>"), None)
         self.bytes = {int(n[3:5], 16): i for i, (n, p) in enumerate(zip(names, pieces, strict=True)) if p[3] == BYTE}
@@ -215,44 +208,70 @@ class Codec:
                         else n.replace(MARK, " ").encode() for n, p in zip(names, pieces, strict=True)]
         self.kind = [p[3] for p in pieces]
         self.control = np.array([k == CONTROL for k in self.kind])
+        self.control = np.array([k == CONTROL for k in self.kind])
         self.spelled = [str(i) for i in range(len(names))]
-        self.longest = {}
-        for n in self.ids:
-            self.longest[n[0]] = max(self.longest.get(n[0], 1), len(n))
-        self.kept, self.fits = Kept(self.encoded_word), Kept(self.fitting)
-
-    def fitting(self, pair: tuple[str, str]) -> bool:
-        return self.merged(pair[0] + pair[1]) == [p for p in pair if p]
-
-    def parted(self, word: str) -> list[str]:
-        """The pieces of a word.  They are the only ones of which every two neighbours, merged by themselves, come out as those
-        two: a merge across a border between pieces would also happen between these two alone.  So the longest piece that
-        fits the one before it is taken, and given back where nothing fits behind it.  Long words, and words that make many
-        steps, are merged pair by pair."""
-        n, at, out, last, steps = len(word), 0, [], "", 0
-        if n > KEPT_LENGTH:
-            return self.merged(word)
-        names, fits, longest = self.ids, self.fits, self.longest
-        k = min(n, longest.get(word[0], 1))
-        while steps < 8 * n:
-            steps += 1
-            while k:
-                piece = word[at:at + k]
-                if (k == 1 or piece in names) and fits[last, piece]:
+        self.tables()
+
+    def tables(self) -> None:
+        """Symbols are the pieces and the characters in them, by number; other characters are their code point plus the number
+        of symbols.  Every way to make a piece of two symbols is a pair, with the piece's place by score and its symbol."""
+        names = list(self.ids) + sorted({c for n in self.ids for c in n} - set(self.ids))
+        symbol = {n: i for i, n in enumerate(names)}
+        place = {s: i for i, s in enumerate(sorted(set(self.score.values())))}
+        pairs = sorted((symbol[n[:i]] * BASE + symbol[n[i:]], place[self.score[n]], symbol[n])
+                       for n in self.ids for i in range(1, len(n)) if n[:i] in symbol and n[i:] in symbol)
+        self.pairs, self.places, self.made = (np.array(c, np.int64) for c in zip(*pairs, strict=True))
+        self.never = len(place)
+        self.symbol = {n: i for n, i in symbol.items() if len(n) == 1}
+        self.of_point = np.arange(0x110000, dtype=np.int64) + len(names)
+        self.of_point[[ord(c) for c in self.symbol]] = list(self.symbol.values())
+        self.piece = np.array([self.ids.get(n, -1) for n in names], np.int64)
+        self.point = np.array([ord(n) if len(n) == 1 else 0 for n in names], np.int64)
+        self.size = np.array([len(n.encode()) for n in names], np.int64)
+        self.byte = np.array([self.bytes.get(b, self.unknown) for b in range(256)], np.int64)
+
+    def order(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place by score of the piece that each pair of symbols makes, and that piece's symbol."""
+        key = left * BASE + right
+        at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
+        return np.where(self.pairs[at] == key, self.places[at], self.never), self.made[at]
+
+    def merged_all(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The symbols of all words after all merges, one word after another, and how many each word has."""
+        symbols = self.of_point[np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)]
+        word = np.repeat(np.arange(len(words)), np.fromiter(map(len, words), np.int64, len(words)))
+        done = []
+        joined = word[1:] == word[:-1]
+        place, made = np.full(len(word), self.never), np.zeros(len(word), np.int64)
+        at = np.flatnonzero(joined)
+        place[at], made[at] = self.order(symbols[at], symbols[at + 1])
+        while len(word):
+            first = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
+            best = np.minimum.reduceat(place, first)
+            sizes = np.diff(np.append(first, len(word)))
+            best, open_ = np.repeat(best, sizes), np.repeat(best < self.never, sizes)
+            if not open_.all():
+                done.append((word[~open_], symbols[~open_]))
+                word, symbols, place, made, best = word[open_], symbols[open_], place[open_], made[open_], best[open_]
+                if not len(word):
                     break
-                k -= 1
-            if k:
-                out.append(piece)
-                at += k
-                if at == n:
-                    return out
-                last = piece
-                k = min(n - at, longest.get(word[at], 1))
-            else:
-                k = len(out.pop()) - 1
-                at -= k + 1
-                last = out[-1] if out else ""
-        return self.merged(word)
+            at = np.flatnonzero(place == best)
+            at = at[np.concatenate([[True], word[at[1:]] != word[at[:-1]]])]            # the leftmost of each word
+            symbols[at] = made[at]
+            keep = np.ones(len(word), bool)
+            keep[at + 1] = False
+            word, symbols, place, made = word[keep], symbols[keep], place[keep], made[keep]
+            at = at - np.arange(len(at))
+            for left in (at, at[at > 0] - 1):
+                pair = (left + 1 < len(word)) & (word[left] == word[np.minimum(left + 1, len(word) - 1)])
+                place[left] = self.never
+                left = left[pair]
+                place[left], made[left] = self.order(symbols[left], symbols[left + 1])
+        if not done:
+            return symbols, np.zeros(len(words), np.int64)
+        word, symbols = (np.concatenate(c) for c in zip(*done, strict=True))
+        turn = np.argsort(word, kind="stable")
+        return symbols[turn], np.bincount(word, minlength=len(words))
 
     def merged(self, word: str) -> list[str]:
         """Symbols of a word after all merges; of equal scores the leftmost pair goes first."""
@@ -277,32 +296,68 @@ class Codec:
                 heappush(todo, (score[q], h, q))
         return [p for p in parts if p]
 
-    def encoded_word(self, word: str) -> tuple[bytes, bytes, str]:
-        """Ids, lengths in bytes, and the ids as text, of the pieces of one word."""
-        pieces, ids = self.parted(word), self.ids
-        try:
-            found, sizes = [ids[p] for p in pieces], [self.wide[p] for p in pieces]
-        except KeyError:                             # some character has no piece
-            found, sizes = [], []
-            for piece in pieces:
-                raw = piece.encode()
-                own = [ids[piece]] if piece in ids else [self.bytes[b] for b in raw] if self.bytes else [self.unknown]
-                found += own
-                sizes += [0] * (len(own) - 1) + [len(raw)]      # the last byte's piece takes the character's span
-        return array("I", found).tobytes(), array("H", sizes).tobytes(), " ".join([self.spelled[i] for i in found])
-
-    def encode(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, str]:
-        """Ids, first and last (exclusive) original byte of each piece, and the ids as text, without an end id."""
-        norm, back = self.normalise(text)
-        found, sizes, spelled = zip(*map(self.kept.__getitem__, self.word.findall(norm)), strict=True) if norm else ((), (), ())
-        ids = np.frombuffer(b"".join(found), np.uint32)
-        ends = np.frombuffer(b"".join(sizes), np.uint16).cumsum(dtype=np.int64)
-        spelled = " ".join(spelled)
-        if not self.bytes and (again := (ids[1:] == self.unknown) & (ids[:-1] == self.unknown)).any():
-            ids, ends = ids[np.concatenate([[True], ~again])], ends[np.concatenate([~again, [True]])]      # unknowns in a row are one
-            spelled = " ".join(map(str, ids.tolist()))
-        starts = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
-        return ids, back[starts], back[ends], spelled
+    def encoded_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids and lengths in bytes of the pieces of all words, and where each word's begin (and the last's end)."""
+        long = [i for i, w in enumerate(words) if len(w) > LONG]
+        symbols, count = self.merged_all([w if len(w) <= LONG else "" for w in words])
+        if long:
+            names = {n: i for i, n in enumerate(self.ids)} | self.symbol
+            parts = {i: np.array([names.get(p, len(self.piece) + ord(p[0])) for p in self.merged(words[i])], np.int64) for i in long}
+            ends = count.cumsum()
+            symbols = np.insert(symbols, np.repeat([ends[i] for i in long], [len(parts[i]) for i in long]), np.concatenate([parts[i] for i in long]))
+            count[long] = [len(parts[i]) for i in long]
+        known = symbols < len(self.piece)
+        inner = np.where(known, symbols, 0)
+        ids, sizes = np.where(known, self.piece[inner], -1), np.where(known, self.size[inner], 0)
+        odd = np.flatnonzero(ids < 0)
+        repeat = np.ones(len(ids), np.int64)
+        if len(odd):
+            point = np.where(known[odd], self.point[inner[odd]], symbols[odd] - len(self.piece))
+            wide = 1 + (point >= 0x80) + (point >= 0x800) + (point >= 0x10000)
+            sizes[odd] = wide
+            if self.bytes:                           # one id a byte; the last one's piece takes the character's span
+                repeat[odd] = wide
+                rest = np.repeat(wide.cumsum(), wide) - np.arange(wide.sum()) - 1
+                point, wide = np.repeat(point, wide), np.repeat(wide, wide)
+                low = np.where(rest == wide - 1, np.array([0, 0, 0xC0, 0xE0, 0xF0])[wide] | point >> 6 * rest, 0x80 | point >> 6 * rest & 0x3F)
+                odd = np.repeat(ids < 0, repeat)
+                ids, sizes = np.repeat(ids, repeat), np.repeat(sizes, repeat)
+                ids[odd] = self.byte[low]
+                sizes[np.flatnonzero(odd)[rest > 0]] = 0
+            else:
+                ids[odd] = self.unknown
+        made = np.concatenate([[0], repeat.cumsum()])[np.concatenate([[0], count.cumsum()])]
+        return ids, sizes, made
+
+    def encode_all(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """For each text its ids, and the first and last (exclusive) original byte of each piece, without an end id."""
+        norms = [self.normalise(t) for t in texts]
+        index, places = Numbers(), []
+        for norm, _ in norms:
+            found = self.word.findall(norm)
+            places.append(np.fromiter(map(index.__getitem__, found), np.int64, len(found)))
+        every, wide, begin = self.encoded_words(list(index)) if index else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(1, np.int64))
+        for at, (_, back) in zip(places, norms, strict=True):
+            count = begin[at + 1] - begin[at]
+            where = np.repeat(begin[at] - count.cumsum() + count, count) + np.arange(count.sum())
+            ids, ends = every[where], wide[where].cumsum()
+            if not self.bytes and (again := (ids[1:] == self.unknown) & (ids[:-1] == self.unknown)).any():
+                ids, ends = ids[np.concatenate([[True], ~again])], ends[np.concatenate([~again, [True]])]      # unknowns in a row are one
+            starts = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
+            yield ids, back[starts], back[ends]
+
+    def encode(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return next(self.encode_all([text]))
+
+    def chunks(self, texts: list[str]) -> Iterator[tuple[str, np.ndarray, np.ndarray, np.ndarray]]:
+        """Each text with what ``encode`` gives, a bounded number of characters at a time."""
+        some, size = [], 0
+        for i, t in enumerate(texts):
+            some.append(t)
+            size += len(t)
+            if size >= CHUNK or i + 1 == len(texts):
+                yield from ((own, *found) for own, found in zip(some, self.encode_all(some), strict=True))
+                some, size = [], 0
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids: marks are spaces, the one put before the text goes, runs of byte pieces are read together."""
@@ -337,11 +392,10 @@ def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", model: str
         own = codec(model)
         for b in batches:
             out = [[], [], []]
-            for t in b.column(1).to_pylist():
-                ids, starts, ends, _ = own.encode(t)
+            for t, ids, starts, ends in own.chunks(b.column(1).to_pylist()):
                 if end:
                     last = len(t.encode())
-                    ids, starts, ends = np.append(ids, np.uint32(own.end)), np.append(starts, last), np.append(ends, last)
+                    ids, starts, ends = np.append(ids, own.end), np.append(starts, last), np.append(ends, last)
                 for col, v in zip(out, (ids.astype(np.int32), starts, ends), strict=True):
                     col.append(v)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out[0], pa.list_(pa.int32())), *[pa.array(c, pa.list_(pa.int64())) for c in out[1:]]],
@@ -374,11 +428,10 @@ def digests(docs: DataFrame, key: str = "doc_id", text: str = "text", model: str
         own = codec(model)
         for b in batches:
             n, first, second, whole = [], [], [], []
-            for t in b.column(1).to_pylist():
-                ids, starts, ends, spelled = own.encode(t)
+            for t, ids, starts, ends in own.chunks(b.column(1).to_pylist()):
                 ids = [*ids.tolist(), own.end]
                 n.append(len(ids))
-                first.append(hashlib.sha256(f"{spelled} {own.end}".lstrip().encode()).hexdigest())
+                first.append(hashlib.sha256(" ".join(map(own.spelled.__getitem__, ids)).encode()).hexdigest())
                 second.append(hashlib.sha256(own.decode(ids).encode()).hexdigest())
                 last = len(t.encode())
                 whole.append(not last if not len(ends) else bool(starts[0] == 0 and ends[-1] == last and (starts[1:] == ends[:-1]).all()))

@@ -27,7 +27,7 @@ def library():
 def test_ids_and_spans(library):
     own = piece_codec.codec()
     for t in texts():
-        ids, starts, ends, _ = own.encode(t)
+        ids, starts, ends = own.encode(t)
         want = library.encode(t, return_type="proto").pieces
         assert ids.tolist() == [p.id for p in want]
         assert list(zip(starts.tolist(), ends.tolist(), strict=True)) == [(p.begin, p.end) for p in want]
