@@ -1,6 +1,8 @@
 """Box geometry, filters, suppression, voting, overlap joins and masks."""
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from boxloom import scale
@@ -8,6 +10,7 @@ from boxloom.functions import boxes as B
 from boxloom.operators import dedup, filters, masks, merge, overlap, vote
 from boxloom.plans.queries import sqltext as S
 from boxloom.plans.registry import query
+from boxloom.streaming import release
 
 D, DI = ("detections",), ("detections", "images")
 KEY = ["image_id", "model", "seq"]
@@ -133,19 +136,46 @@ def registered_model_threshold(t):
     return vote.model_threshold(t.detections, models).select(*KEY, "score")
 
 
-@query("agreed_objects", f"""with n as ({S.leaders('(select * from detections where score >= 0.1)', 'image_id, model',
+_AGREED = f"""with n as ({S.leaders('(select * from detections where score >= 0.1)', 'image_id, model',
     'score desc, seq', _F.replace('p := priority, ', 'p := priority, '), _T, f"{S.inter('k', 'd')} / greatest({S.union('k', 'd')}, 1e-5) > 0.9")}),
   kept as (select image_id, model, u.p as priority, u.s as seq, u.score as score, u.label as label, u.x1 as x1, u.y1 as y1,
     u.x2 as x2, u.y2 as y2 from (select image_id, model, unnest(lead) as u from n)),
   passed as (select * from kept where score > {THRESH}),
   {VOTED.replace('from detections group', 'from passed group')}
-  select image_id, id, score, votes, coalesce(array_to_string(labels, ','), '') as labels from numbered where kind = 'object'""", D)
+  select image_id, id, score, votes, coalesce(array_to_string(labels, ','), '') as labels from numbered where kind = 'object'"""
+
+
+def agreed(detections, hot):
+    kept = vote.model_threshold(dedup.nms(detections, hot=hot))
+    ids = vote.assign_ids(vote.vote(kept, hot=hot), hot=hot)
+    return ids.where("kind = 'object'").select("image_id", "id", "score", "votes", F.array_join("labels", ",").alias("labels"))
+
+
+@query("agreed_objects", _AGREED, D)
 def agreed_objects(t):
     """Objects that survive suppression, thresholds and voting."""
     hot = crowded(t)
-    kept = vote.model_threshold(dedup.nms(scale.by_image(t.detections, hot is None), hot=hot))
-    ids = vote.assign_ids(vote.vote(kept, hot=hot), hot=hot)
-    return ids.where("kind = 'object'").select("image_id", "id", "score", "votes", F.array_join("labels", ",").alias("labels"))
+    return agreed(scale.by_image(t.detections, hot is None), hot)
+
+
+@query("incremental_annotation", _AGREED, D)
+def incremental_annotation(t):
+    """The same, image by image as the models' notices come in three parts, each worked off by a query that starts where the one before
+    it ended."""
+    folder = f"{scale.shared_folder(t.spark)}/incremental-{uuid.uuid4().hex}"
+    models = {r.model: r.priority for r in t.detections.select("model", "priority").distinct().collect()}       # seven names
+    images = t.detections.select("image_id").distinct()
+    kinds = agreed(t.detections.limit(0), False).schema
+    for part in range(3):
+        t.detections.where(F.col("priority") % 3 == part).write.mode("append").parquet(f"{folder}/rows")
+        through = F.explode(F.array(*[F.lit(m) for m, p in sorted(models.items()) if p % 3 == part]))
+        notes = images.select("image_id", through.alias("model")).withColumn("ts", F.lit(f"2024-01-01 0{part}:00:00").cast("timestamp"))
+        notes.write.mode("append").parquet(f"{folder}/notices")
+        query = release.annotate_released(t.spark.readStream.schema(notes.schema).parquet(f"{folder}/notices"), list(models),
+                                          lambda ids: t.spark.read.parquet(f"{folder}/rows").join(ids, "image_id"),
+                                          lambda rows: agreed(rows, None), f"{folder}/out", f"{folder}/checkpoint", wait=86400.0)
+        query.awaitTermination()
+    return t.spark.read.schema(kinds).parquet(f"{folder}/out").select(*kinds.names)
 
 
 @query("tag_attributes", """select doc_id as image_id, 'attribute' as kind, coalesce(lang, '') as label, cast(n_chars % 10 as double) / 10 as score

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 GROUP_LIMIT = 2_000          # rows of one group that an array fold may hold
@@ -19,15 +19,21 @@ BROADCAST_BYTES = 64 << 20
 
 def checkpointed(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder, cutting its lineage."""
-    sc = df.sparkSession.sparkContext
+    shared_folder(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder, which driver and executors share; one of our own only where none is set and all run on this machine."""
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
             if not sc.master.startswith("local"):
                 raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
             folder = tempfile.mkdtemp(prefix="boxloom-checkpoint-")
         sc.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    return sc.getCheckpointDir()
 
 
 def oversized(df: DataFrame, keys: list[str], limit: int) -> DataFrame:
