@@ -253,7 +253,22 @@ def track_iou(t):
     return track.track_frames(video_boxes(t)).select("video_id", "frame", "idx", "track_id", "period")
 
 
-@query("track_with_memory")
+_MEMORY = f"""{_VB}, df as (select video_id, frame, row_number() over (partition by video_id order by frame) as f from (select distinct video_id, frame from vb)),
+  fb as (select vb.*, f, f * 100000 + idx as node from vb join df using (video_id, frame)),
+  vp as (select n.video_id, n.f, n.idx as i, n.f - p.f as lag, p.idx as j, n.node as a, p.node as b from fb n join fb p on n.video_id = p.video_id and n.f - p.f between 1 and 4
+   where {S.iou('n', 'p')} >= 0.5 and (n.f - p.f = 1 or ((p.x2 - p.x1) / 400 >= 0.02 and (p.y2 - p.y1) / 300 >= 0.02))),
+  tk as (select video_id, list_reduce(list(struct_pack(a := a, b := b, lag := lag) order by f, i, lag, j), lambda won, d: case
+     when len(list_filter(won, lambda k: k.a = d.a or k.b = d.b)) > 0 then won
+     when d.lag > 1 and len(list_filter(won, lambda k: k.a = d.b)) = 0 then won else list_append(won, d) end, cast([] as struct(a bigint, b bigint, lag bigint)[])) as won
+   from vp group by 1),
+  lk as (select video_id, u.a as a, u.b as b from (select video_id, unnest(won) as u from tk))"""
+
+
+@query("track_with_memory", f"""with recursive {_MEMORY},
+  ch as (select fb.video_id, node, node as head, cast(1 as bigint) as period from fb left join lk on lk.video_id = fb.video_id and lk.a = fb.node where lk.a is null
+    union all select lk.video_id, lk.a, ch.head, ch.period + 1 from ch join lk on lk.video_id = ch.video_id and lk.b = ch.node),
+  hd as (select video_id, head, row_number() over (partition by video_id order by head) - 1 as track_id from (select distinct video_id, head from ch))
+  select video_id, frame, idx, track_id, period from ch join hd using (video_id, head) join fb using (video_id, node)""")
 def track_with_memory(t):
     """Objects may be lost for up to three frames."""
     return track.track_with_memory(video_boxes(t), max_lost=3, width=400, height=300).select("video_id", "frame", "idx", "track_id", "period")

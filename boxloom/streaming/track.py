@@ -3,7 +3,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from boxloom import scale
@@ -143,30 +143,94 @@ INPUT = ["video_id", "frame", "idx", *BOX]
 
 
 def track_with_memory(df: DataFrame, max_lost: int, iou: float = 0.5, min_period: int = 1, min_size: float = 0.02,
-                      width: float = 1920, height: float = 1080, best_first: bool = False) -> DataFrame:
+                      width: float = 1920, height: float = 1080, best_first: bool = False, hot: bool | None = None) -> DataFrame:
     """Ids when an object may be lost for up to ``max_lost`` frames and return.
 
-    Now each frame depends on all before it.  Videos are hashed to tasks and sorted by frame; a task reads its
-    rows as a stream of batches and holds only the objects last seen, whatever the length of a video."""
-    opts = _options(iou, max_lost, min_period, min_size, width, height, best_first)
-
-    def follow(frames):
-        video, tracker, rest = None, None, None
-        for pdf in frames:
-            rows = pdf if rest is None else pd.concat([rest, pdf])
-            # the last frame of a batch may continue in the next one
-            tail = (rows["video_id"] == rows["video_id"].iloc[-1]) & (rows["frame"] == rows["frame"].iloc[-1])
-            rest, rows = rows[tail], rows[~tail]
-            for v, part in rows.groupby("video_id", sort=False):
-                if v != video:
-                    video, tracker = v, _Tracker()
-                yield _run(tracker, part, opts)
-        if rest is not None and len(rest):
-            v = rest["video_id"].iloc[0]
-            yield _run(tracker if v == video else _Tracker(), rest, opts)
-
-    laid = df.select(*INPUT).repartition("video_id").sortWithinPartitions("video_id", "frame", "idx")
-    return laid.mapInPandas(follow, OUTPUT)
+    A box may continue any box of the frame before or, where that was part of an object seen in more than ``min_period`` frames
+    and is not too small, of the frames that the memory reaches back to.  All such pairs are found by one join per frame
+    distance, for all frames at once, and then settled in rounds (``_continued``); chains of settled pairs are objects.
+    A video spreads over all tasks."""
+    hot = _crowded(df) if hot is None else hot
+    at = scale.checkpointed(df.select(*INPUT).join(_dense_frames(df, hot), ["video_id", "frame"]))
+    pairs = _possible(at, max_lost, iou, min_size, width, height, best_first, hot)
+    return _numbered(at, _continued(pairs, min_period), hot)
+
+
+def _node(f, i):
+    return F.struct(f.alias("f"), i.alias("idx"))
+
+
+def _possible(at: DataFrame, max_lost: int, iou: float, min_size: float, width: float, height: float, best_first: bool, hot: bool) -> DataFrame:
+    """``video_id, a, b, lag, key``: box ``a`` could continue box ``b``, ``lag`` frames before; ``key`` is the order in which a frame
+    by frame walk would come to the pair."""
+    large = ((F.col("x2") - F.col("x1")) / width >= min_size) & ((F.col("y2") - F.col("y1")) / height >= min_size)
+    found = None
+    for lag in range(1, max_lost + 2):
+        before = (at if lag == 1 else at.where(large)).select("video_id", (F.col("f") + lag).alias("f"), "idx", *BOX)
+        one = overlap_pairs(at.select("video_id", "f", "idx", *BOX), before, iou, keys=["video_id", "f"], inclusive=False, hot=hot)
+        first = [(-F.col("iou")).alias("best")] if best_first else []
+        one = one.select("video_id", _node(F.col("f"), F.col("l.idx")).alias("a"), _node(F.col("f") - lag, F.col("r.idx")).alias("b"), F.lit(lag).alias("lag"),
+                         F.struct("f", *first, F.col("l.idx").alias("i"), F.lit(lag).alias("lag"), F.col("r.idx").alias("j")).alias("key"))
+        found = one if found is None else found.unionByName(one)
+    return found
+
+
+def _continued(pairs: DataFrame, min_period: int) -> DataFrame:
+    """The pairs (``video_id, a, b``) that a walk in order of ``key`` takes: neither box taken before on its side, and, over a gap,
+    ``b`` the end of a chain of more than ``min_period`` boxes.
+
+    A round takes, everywhere in all videos at once, the pairs that come first for both of their boxes, and drops those
+    that share a box with them.  A pair over a gap waits until the chain before ``b`` is settled; that chain has earlier pairs only, so
+    the earliest pair of a video never waits.  Frames far apart do not wait for one another, so rounds are few.
+    """
+    side = lambda df, c: df.select("video_id", F.col(c).alias("n")).distinct()
+    semi = lambda df, c, nodes, how: df.join(nodes.withColumnRenamed("n", c), ["video_id", c], how).select(*df.columns)
+    left, won = scale.checkpointed(pairs), None
+    while not left.isEmpty():
+        # ends of chains long enough, and boxes whose chain may yet become so
+        pending = ahead = side(left, "a")
+        long = None if won is None else side(won, "a")
+        for _ in range(min_period - 1):
+            pending = ahead if won is None else ahead.union(side(semi(won, "b", pending, "left_semi"), "a")).distinct()
+            long = None if won is None else side(semi(won, "b", long, "left_semi"), "a")
+        if min_period < 1:
+            ready = left.withColumn("ready", F.lit(1))
+        else:
+            marks = pending.withColumn("m", F.lit(0))
+            marks = marks if long is None else marks.union(long.withColumn("m", F.lit(1)))
+            marks = marks.groupBy("video_id", "n").agg(F.max("m").alias("m")).withColumnRenamed("n", "b")
+            state = F.when(F.col("lag") == 1, 1).otherwise(F.coalesce("m", F.lit(-1)))        # can be taken, has to wait, never
+            ready = left.join(marks, ["video_id", "b"], "left").select(*left.columns, state.alias("ready")).where("ready >= 0")
+        for c in "ab":
+            ready = ready.withColumn(f"first_{c}", F.min("key").over(Window.partitionBy("video_id", c)))
+        ready = scale.checkpointed(ready)
+        taken = ready.where("ready = 1 and key = first_a and key = first_b").select("video_id", "a", "b")
+        won = taken if won is None else won.union(taken)
+        left = ready.select(*pairs.columns)
+        for c in "ab":
+            left = semi(left, c, side(taken, c), "left_anti")
+        left = scale.checkpointed(left)
+    return pairs.select("video_id", "a", "b").limit(0) if won is None else won
+
+
+def _numbered(at: DataFrame, links: DataFrame, hot: bool) -> DataFrame:
+    """Boxes with ``track_id``, counting first boxes in (frame, idx) order, and ``period``, how many boxes of the object there are up to
+    this one.  First boxes are found by doubling steps along the links."""
+    me = at.select("video_id", _node(F.col("f"), F.col("idx")).alias("a"))
+    state = me.join(links, ["video_id", "a"], "left").select(
+        "video_id", F.col("a").alias("me"), F.coalesce("b", "a").alias("up"), F.col("b").isNotNull().cast("long").alias("steps"))
+    state = scale.checkpointed(state)
+    while True:
+        jump = state.select("video_id", F.col("me").alias("up"), F.col("up").alias("far"), F.col("steps").alias("more"))
+        ahead = scale.checkpointed(state.join(jump, ["video_id", "up"]).select("video_id", "me", "up", "far", (F.col("steps") + F.col("more")).alias("steps")))
+        settled = ahead.where("up <> far").isEmpty()
+        state = ahead.select("video_id", "me", F.col("far").alias("up"), "steps")
+        if settled:
+            break
+    ids = scale.running(state.where("me = up").select("video_id", "up"), ["video_id"], [F.col("up.f"), F.col("up.idx")], number="_n", hot=hot)
+    named = state.join(ids, ["video_id", "up"]).select("video_id", F.col("me.f").alias("f"), F.col("me.idx").alias("idx"),
+                                                     (F.col("_n") - 1).alias("track_id"), (F.col("steps") + 1).alias("period"))
+    return at.join(named, ["video_id", "f", "idx"]).select(*INPUT, "track_id", "period")
 
 
 def track_stream(stream: DataFrame, max_lost: int = 0, iou: float = 0.5, min_period: int = 1, min_size: float = 0.02,

@@ -3,6 +3,7 @@ import random
 
 import pytest
 from helpers import groups, iou
+from pyspark.sql import functions as F
 
 from boxloom.streaming import track
 
@@ -72,6 +73,33 @@ def test_memory(spark, max_lost):
     assert result(got) == walk(rows, max_lost=max_lost)
 
 
+@pytest.mark.parametrize("options", [{"min_period": 3}, {"min_period": 0, "min_size": 0.16}, {"best_first": True, "min_period": 2, "iou": 0.3}])
+def test_memory_options(spark, options):
+    rows = make(6, videos=2, frames=14)
+    got = track.track_with_memory(spark.createDataFrame(rows, S), 3, width=200, height=200, **options)
+    names = {"t": options.get("iou", 0.5), **{k: v for k, v in options.items() if k != "iou"}}
+    assert result(got) == walk(rows, max_lost=3, **names)
+
+
+def test_memory_spreads_one_video(spark):
+    """One long video with objects that leave and return: few rounds, rows over all tasks, as in the walk."""
+    r = random.Random(9)
+    spots = [(r.randrange(4000), r.randrange(4000)) for _ in range(6)]
+    rows = [(1, f, i, float(x), float(y), float(x + 100), float(y + 100)) for f in range(600)
+            for i, (x, y) in enumerate(s for s in spots if r.random() < 0.8)]
+    rounds = []
+    old = track.scale.checkpointed
+    track.scale.checkpointed = lambda df: rounds.append(1) or old(df)
+    try:
+        got = track.track_with_memory(spark.createDataFrame(rows, S).repartition(4), 2, width=4100, height=4100)
+    finally:
+        track.scale.checkpointed = old
+    assert len(rounds) < 40
+    assert result(got) == walk(rows, max_lost=2, w=4100, h=4100)
+    laid = track._possible(got.withColumn("f", F.col("frame")), 1, 0.5, 0.0, 1, 1, False, False)
+    assert laid.groupBy(F.spark_partition_id().alias("p")).count().where("count > 0").count() > 1
+
+
 def test_memory_across_batches(spark):
     """A video, and a frame of it, spread over many Arrow batches."""
     old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
