@@ -3,13 +3,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from boxloom import scale
 from boxloom.functions import boxes as B
 from boxloom.functions import text as T
 from boxloom.operators.overlap import best_match
+from boxloom.scale import maybe_broadcast
 
 BOX = ["x1", "y1", "x2", "y2"]
 
@@ -125,36 +126,108 @@ def grounded_ids(short: DataFrame, dense: DataFrame) -> DataFrame:
         dense.select("image_id", F.explode("object_ids").alias("id"))).distinct())
 
 
+def depth_cells(depth: DataFrame, cell: int = 32, bins: int = 32) -> tuple[DataFrame, DataFrame]:
+    """A depth map in two levels, from its non-zero pixels.
+
+    The pixels, as (image_id, x, y, value, tx, ty, bin): ``bin`` numbers value ranges of the image that hold about equally many
+    pixels.  And one row per tile and bin that has some: (image_id, tx, ty, bin, n, vals), vals with each value and how often it occurs.
+    """
+    some = depth.where("value <> 0")
+    cuts = some.groupBy("image_id").agg(F.percentile_approx("value", [i / bins for i in range(1, bins)], 1000).alias("_cuts"))
+    pixels = some.join(maybe_broadcast(cuts), "image_id").select(
+        "image_id", "x", "y", "value", F.expr(f"cast(x div {cell} as bigint)").alias("tx"), F.expr(f"cast(y div {cell} as bigint)").alias("ty"),
+        F.size(F.filter("_cuts", lambda c: c < F.col("value"))).alias("bin"))
+    tile = ["image_id", "tx", "ty", "bin"]
+    cells = pixels.groupBy(*tile, "value").agg(F.count("*").alias("n")).groupBy(*tile).agg(
+        F.sum("n").alias("n"), F.collect_list(F.struct("value", "n")).alias("vals"))
+    return pixels, cells
+
+
+def summed_tiles(cells: DataFrame, bins: int = 32) -> DataFrame:
+    """(image_id, tx, ty, sums): for every tile up to the image's last, how many pixels of each bin lie in the tiles up to it in
+    both directions."""
+    at = ["image_id", "tx", "ty"]
+    held = cells.groupBy(*at).agg(*[F.sum(F.when(F.col("bin") == i, F.col("n"))).alias(f"_{i}") for i in range(bins)])
+    grid = held.groupBy("image_id").agg(F.max("tx").alias("mx"), F.max("ty").alias("my"))
+    grid = grid.select("image_id", "my", F.explode(F.sequence(F.lit(0), "mx")).alias("tx")).select("image_id", "tx", F.explode(F.sequence(F.lit(0), "my")).alias("ty"))
+    for here, along in (("ty", "tx"), ("tx", "ty")):
+        w = Window.partitionBy("image_id", here).orderBy(along).rowsBetween(Window.unboundedPreceding, 0)
+        held = (grid.join(held, at, "left") if here == "ty" else held).select(
+            *at, *[F.coalesce(F.sum(f"_{i}").over(w), F.lit(0)).alias(f"_{i}") for i in range(bins)])
+    return held.select(*at, F.array(*[f"_{i}" for i in range(bins)]).alias("sums"))
+
+
 def median_depth(objects: DataFrame, depth: DataFrame, width: int | None = None, height: int | None = None,
-                 approximate: bool = False, cell: int = 32) -> DataFrame:
+                 cell: int = 32, bins: int = 32) -> DataFrame:
     """Median of the non-zero depth values in each box, to two decimals (null where there are none).
 
     Box corners are cut to integers and to the depth map; the box is half open.  ``depth(image_id, x, y,
-    value)``; the map's size is given, or the largest pixel of each image tells it.  Pixels and boxes
-    meet on grid tiles, so pixels far from a box are never compared with it."""
+    value)``; the map's size is given, or the largest pixel of each image tells it.
+
+    Two levels: how many pixels of each bin a box holds says in which bins its middle values lie; only those bins are looked into.
+    Tiles inside a box count by four corners of the summed tiles, and their values come by tile and bin; only the rim of a box
+    meets pixels.  So a box over a whole image costs its tiles, not its pixels.
+    """
     if width is None or height is None:
         size = depth.groupBy("image_id").agg((F.max("x") + 1).alias("_w"), (F.max("y") + 1).alias("_h"))
         sized = objects.join(size, "image_id")
     else:
         sized = objects.withColumn("_w", F.lit(width)).withColumn("_h", F.lit(height))
+        depth = depth.where((F.col("x") < width) & (F.col("y") < height))
     zero = F.lit(0)
     cut = sized.select(
         "image_id", "id", F.greatest(zero, F.col("x1").cast("int")).alias("a"), F.greatest(zero, F.col("y1").cast("int")).alias("b"),
-        F.least("_w", F.col("x2").cast("int")).alias("c"), F.least("_h", F.col("y2").cast("int")).alias("d")
+        F.least("_w", F.col("x2").cast("int")).alias("c"), F.least("_h", F.col("y2").cast("int")).alias("d"), "_w", "_h"
     ).where("c > a and d > b")
-    # boxes with the same pixels share a median; it is taken once
-    tiles = cut.select("image_id", *"abcd").distinct().withColumn("tx", F.explode(F.expr(f"sequence(a div {cell}, (c - 1) div {cell})"))) \
-        .withColumn("ty", F.explode(F.expr(f"sequence(b div {cell}, (d - 1) div {cell})")))
-    pixels = depth.where("value <> 0").withColumn("tx", F.expr(f"cast(x div {cell} as bigint)")).withColumn(
-        "ty", F.expr(f"cast(y div {cell} as bigint)"))
-    hits = tiles.join(pixels, ["image_id", "tx", "ty"]).where("x >= a and x < c and y >= b and y < d")
-    mid = F.percentile_approx("value", 0.5, 10_000) if approximate else F.percentile("value", F.lit(0.5))
+    box = ["image_id", *"abcd"]
+    # boxes with the same pixels share a median; it is taken once.  Tiles l to r, t to u lie inside; the map's edge cuts none of them off.
+    inner = [F.expr(f"cast((a + {cell - 1}) div {cell} as bigint) as l"), F.expr(f"cast((b + {cell - 1}) div {cell} as bigint) as t"),
+             F.expr(f"cast(if(c >= _w, (c - 1) div {cell}, c div {cell} - 1) as bigint) as r"),
+             F.expr(f"cast(if(d >= _h, (d - 1) div {cell}, d div {cell} - 1) as bigint) as u")]
+    boxes = scale.checkpointed(cut.select(*box, *inner).distinct())
+    pixels, cells = depth_cells(depth, cell, bins)
+    cells = scale.checkpointed(cells)
+    rim = scale.checkpointed(_rim(boxes, pixels, cell))
+
+    corners = F.array(*[F.struct((F.col(x) - dx).alias("tx"), (F.col(y) - dy).alias("ty"), F.lit(s).alias("s"))
+                        for x, dx, y, dy, s in (("r", 0, "u", 0, 1), ("l", 1, "u", 0, -1), ("r", 0, "t", 1, -1), ("l", 1, "t", 1, 1))])
+    last = cells.groupBy("image_id").agg(F.max("tx").alias("_mx"), F.max("ty").alias("_my"))
+    sums = boxes.where("l <= r and t <= u").join(last, "image_id").select(*box, "_mx", "_my", F.explode(corners).alias("k")).where("k.tx >= 0 and k.ty >= 0").select(
+        *box, F.least("k.tx", "_mx").alias("tx"), F.least("k.ty", "_my").alias("ty"), "k.s").join(summed_tiles(cells, bins), ["image_id", "tx", "ty"])
+    sums = sums.select(*box, F.posexplode(F.transform("sums", lambda n: n * F.col("s"))).alias("bin", "n"))
+    held = sums.union(rim.select(*box, "bin", "n")).groupBy(*box, "bin").agg(F.sum("n").alias("n")).where("n > 0")
+
+    order = Window.partitionBy(*box).orderBy("bin")
+    upto, every = F.sum("n").over(order), F.sum("n").over(Window.partitionBy(*box))
+    middle = held.select(*box, "bin", (upto - F.col("n")).alias("low"), upto.alias("high"), every.alias("all")).where(
+        "(all - 1) div 2 between low and high - 1 or all div 2 between low and high - 1")
+    middle = scale.checkpointed(middle.select(*box, "bin", "low", "all"))                       # one or two bins a box
+
+    tiles = boxes.where("l <= r and t <= u").join(middle.select(*box, "bin"), box).select(
+        *box, "bin", "l", "r", F.explode(F.sequence("t", "u")).alias("ty")).select(*box, "bin", "ty", F.explode(F.sequence("l", "r")).alias("tx"))
+    found = tiles.join(cells.drop("n"), ["image_id", "tx", "ty", "bin"]).select(*box, "bin", F.explode("vals").alias("v")).select(*box, "bin", "v.value", "v.n")
+    found = found.union(rim.join(middle.select(*box, "bin"), [*box, "bin"]).select(*box, "bin", "value", "n"))
+    found = found.groupBy(*box, "bin", "value").agg(F.sum("n").alias("n")).join(middle, [*box, "bin"])
+    end = F.col("low") + F.sum("n").over(Window.partitionBy(*box, "bin").orderBy("value"))
+    found = found.select(*box, "value", "all", (end - F.col("n")).alias("from"), end.alias("to"))
+    at = lambda rank: F.max(F.when(F.expr(f"{rank} >= from and {rank} < to"), F.col("value")))
     # through a decimal, so that noise in the last bits of the mean of two values does not decide
-    med = hits.groupBy("image_id", *"abcd").agg(F.round(mid.cast("decimal(24,6)"), 2).cast("double").alias("depth"))
-    per = cut.select("image_id", "id", *"abcd").join(med, ["image_id", *"abcd"]).select("image_id", "id", "depth")
+    mid = (at("(all - 1) div 2") * 0.5 + at("all div 2") * 0.5).cast("decimal(24,6)")
+    med = found.groupBy(*box).agg(F.round(mid, 2).cast("double").alias("depth"))
+    per = cut.select("image_id", "id", *"abcd").join(med, box).select("image_id", "id", "depth")
     return objects.join(per, ["image_id", "id"], "left")
 
 
+def _rim(boxes: DataFrame, pixels: DataFrame, cell: int) -> DataFrame:
+    """(box, bin, value, n) of the pixels in boxes but not in the tiles inside them."""
+    box = ["image_id", *"abcd"]
+    tiles = boxes.withColumn("tx", F.explode(F.expr(f"sequence(cast(a div {cell} as bigint), cast((c - 1) div {cell} as bigint))")))
+    whole = F.expr(f"sequence(cast(b div {cell} as bigint), cast((d - 1) div {cell} as bigint))")
+    tiles = tiles.withColumn("ty", F.explode(F.when(F.col("tx").between(F.col("l"), F.col("r")), F.filter(whole, lambda y: ~y.between(F.col("t"), F.col("u")))).otherwise(whole)))
+    hits = tiles.select(*box, "tx", "ty").join(pixels, ["image_id", "tx", "ty"]).where("x >= a and x < c and y >= b and y < d")
+    return hits.groupBy(*box, "bin", "value").agg(F.count("*").alias("n"))
+
+
 def add_depth(objects: DataFrame, depth: DataFrame, **size) -> DataFrame:
     """Depth for objects; images without objects get it for their floating objects instead."""
     have = objects.where(F.col("kind") == "object").select("image_id").distinct()

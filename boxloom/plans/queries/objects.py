@@ -16,20 +16,20 @@ csv = lambda c: F.array_join(F.transform(c, lambda v: v.cast("string")), ",")
 
 
 def plain_objects(t):
-    """A cheap stand-in for level-1 output: boxes of two models as objects and floating objects."""
-    d = t.detections.where("priority in (1, 2)")
-    return d.select("image_id", F.when(F.col("priority") == 1, "object").otherwise("floating").alias("kind"),
-                    (F.col("seq") - 1 + F.when(F.col("priority") == 2, 100).otherwise(0)).cast("int").alias("id"), *BOX,
+    """A cheap stand-in for level-1 output: the boxes of all models, by turns as objects and floating objects."""
+    d = t.detections
+    return d.select("image_id", F.when(F.col("priority") % 2 == 1, "object").otherwise("floating").alias("kind"),
+                    (F.col("seq") - 1 + (F.col("priority") - 1) * 1000).cast("int").alias("id"), *BOX,
                     F.when(F.col("seq") % 3 == 0, F.array("label", F.concat(F.col("label"), F.lit("s")))).otherwise(
                         F.array("label")).alias("labels"),
                     F.when(F.col("seq") % 2 == 0, F.array(F.concat(F.lit("small: "), F.col("label")))).alias("attributes"), "score")
 
 
 # the same in SQL; labels and attributes as lists
-OBJ = """objs as (select image_id, case priority when 1 then 'object' else 'floating' end as kind,
-  cast(seq - 1 + case priority when 2 then 100 else 0 end as int) as id, x1, y1, x2, y2, label as base,
+OBJ = """objs as (select image_id, case priority % 2 when 1 then 'object' else 'floating' end as kind,
+  cast(seq - 1 + (priority - 1) * 1000 as int) as id, x1, y1, x2, y2, label as base,
   case when seq % 3 = 0 then [label, label || 's'] else [label] end as labels,
-  case when seq % 2 = 0 then ['small: ' || label] end as attributes, score from detections where priority in (1, 2))"""
+  case when seq % 2 = 0 then ['small: ' || label] end as attributes, score from detections)"""
 
 
 def phrase_boxes(t):
@@ -271,12 +271,11 @@ def median_depth(t):
     return merge.median_depth(plain_objects(t).select("image_id", "id", *BOX), t.depth).select("image_id", "id", "depth")
 
 
-@query("add_depth", f"""with {_DEPTH}, part as (select * from objs where kind = 'floating' or image_id % 2 = 0)
-  select image_id, id, kind, case when kind = 'object' or image_id not in (select image_id from part where kind = 'object') then depth end as depth
-  from part left join med using (image_id, id)""", ("detections", "depth"))
+@query("add_depth", f"""with {_DEPTH}
+  select image_id, id, kind, case when kind = 'object' or image_id not in (select image_id from objs where kind = 'object') then depth end as depth
+  from objs left join med using (image_id, id)""", ("detections", "depth"))
 def add_depth(t):
-    some = plain_objects(t).where("kind = 'floating' or image_id % 2 = 0")
-    return merge.add_depth(some, t.depth).select("image_id", "id", "kind", "depth")
+    return merge.add_depth(plain_objects(t), t.depth).select("image_id", "id", "kind", "depth")
 
 
 def deep_objects(t):
@@ -437,7 +436,7 @@ def ground_dense_exact(t):
 _FUZZY = f"""{_DENSE}, ph as (select image_id, cast(p as int) as pos, case p when 0 then 'bright old ' || a when 1 then 'small ' || b || ' one' when 2 then 'person here' else 'wet class_3' end as phrase
     from sd, (select unnest([0, 1, 2, 3]) as p)),
   known as (select image_id, id, max(text) as text, min(rk) as rk from (
-     select o.image_id, o.id, coalesce(g.phrase, trim(split_part(attributes[1], ':', 2))) as text, case when attributes is not null then o.id else 1000 + g.pos end as rk
+     select o.image_id, o.id, coalesce(g.phrase, trim(split_part(attributes[1], ':', 2))) as text, case when attributes is not null then o.id else 1000000 + g.pos end as rk
      from objs o left join (select image_id, object_ids[1] as id, phrase, pos from gr where (image_id, phrase) not in (select image_id, phrase from ph)) g using (image_id, id)
      where attributes is not null or g.phrase is not null) group by 1, 2),
   ask as (select * from ph where (image_id, phrase) not in (select image_id, phrase from ex)),
