@@ -184,6 +184,22 @@ def measured(index: DataFrame, tree, width: int) -> list:
     return parts.groupBy("slot", "i").agg(F.min("low").alias("low"), F.max("high").alias("high")).collect()      # a few per split point of the bounded tree
 
 
+def first_rows(score: np.ndarray, able: np.ndarray, lows: np.ndarray, highs: np.ndarray, top: int) -> Iterator[tuple[np.ndarray, int, np.ndarray]]:
+    """For each window, the places (row, column) of the ``top`` highest scores of each row in it; of equal ones the first columns."""
+    n = score.shape[1]
+    size = 1 << n.bit_length()
+    if np.abs(score).max() >= (1 << 62) // size:
+        rank = np.unique(score, return_inverse=True)[1].reshape(score.shape)
+    else:
+        rank = score
+    key = rank * size + np.arange(n)[::-1]
+    for w in range(lows.shape[1]):
+        mine = np.where(able & (score >= lows[:, w, None]) & (score <= highs[:, w, None]), key, -FAR)
+        at = np.argpartition(mine, n - top, axis=1)[:, n - top:] if top < n else np.tile(np.arange(n), (len(mine), 1))
+        row, place = np.nonzero(np.take_along_axis(mine, at, 1) > -FAR)
+        yield row, w, at[row, place]
+
+
 WINDOWS = "id long, label long, vector binary, lows array<long>, highs array<long>"
 
 
@@ -226,21 +242,17 @@ def met(index: DataFrame, seen: DataFrame, width: int, top: int, same: bool) ->
     theirs = seen.join(sizes, "leaf").select("leaf", each("mb").alias("x"), part("vb").alias("y"), *[F.col(c).alias(f"a_{c}") for c in ("id", "label", "vector", "lows", "highs")])
 
     def meet(members: pd.DataFrame, anchors: pd.DataFrame) -> pd.DataFrame:
-        out = [[], [], [], []]
+        out = [[np.zeros(0, np.int64)] for _ in range(4)]
         if len(members) and len(anchors):
             members = members.sort_values("id")
-            ids, labels = members["id"].to_numpy(), members["label"].to_numpy()
+            ids, asking = members["id"].to_numpy(), anchors["a_id"].to_numpy()
             score = products(matrix(anchors["a_vector"], width), matrix(members["vector"], width))
-            for s, a, label, lows, highs in zip(score, anchors["a_id"], anchors["a_label"], anchors["a_lows"], anchors["a_highs"], strict=True):
-                able = ((labels == label) == same) & (ids != a)
-                for w, (low, high) in enumerate(zip(lows, highs, strict=True)):
-                    at = np.flatnonzero(able & (s >= low) & (s <= high))
-                    if len(at) > 4 * top:
-                        at = at[s[at] >= np.partition(s[at], len(at) - top)[len(at) - top]]
-                    at = at[np.argsort(-s[at], kind="stable")[:top]]            # ids are in order, so ties are too
-                    for col, v in zip(out, ([a] * len(at), [w] * len(at), s[at], ids[at]), strict=True):
-                        col.extend(v)
-        return pd.DataFrame(dict(zip(("anchor", "w", "score", "id"), (np.array(c, np.int64) for c in out), strict=True)))
+            able = ((anchors["a_label"].to_numpy()[:, None] == members["label"].to_numpy()) == same) & (asking[:, None] != ids)
+            lows, highs = (np.array(anchors[c].tolist(), np.int64).reshape(len(anchors), -1) for c in ("a_lows", "a_highs"))
+            for a, w, m in first_rows(score, able, lows, highs, top):
+                for col, v in zip(out, (asking[a], np.full(len(a), w), score[a, m], ids[m]), strict=True):
+                    col.append(v)
+        return pd.DataFrame(dict(zip(("anchor", "w", "score", "id"), map(np.concatenate, out), strict=True)))
 
     keys = ["leaf", "x", "y"]
     found = mine.groupBy(*keys).cogroup(theirs.groupBy(*keys)).applyInPandas(meet, "anchor long, w long, score long, id long")
