@@ -218,12 +218,12 @@ def content_words(text: Column) -> Column:
                                                w.substr(F.lit(1), F.length(w) - 1)).otherwise(w))
 
 
-def phrase_similarity(a: Column, b: Column) -> Column:
+def phrase_similarity(a: Column, b: Column, words_a: Column | None = None, words_b: Column | None = None) -> Column:
     """1 when one phrase contains the other; else the share of the shorter one's content words
-    that occur in the longer one."""
+    that occur in the longer one.  The content words may be given, where they are known already."""
     short_first = F.length(a) < F.length(b)
     short, long = F.when(short_first, a).otherwise(b), F.when(short_first, b).otherwise(a)
-    words = content_words(short)
+    words = content_words(short) if words_a is None else F.when(short_first, words_a).otherwise(words_b)
     hits = F.size(F.filter(words, lambda w: F.contains(long, w)))
     share = F.coalesce(F.try_divide(hits.cast("double"), F.size(words).cast("double")), F.lit(0.0))
     return F.when(F.contains(a, b) | F.contains(b, a), 1.0).otherwise(share)

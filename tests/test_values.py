@@ -207,3 +207,20 @@ def test_fuzzy_on_shared_pieces(spark, monkeypatch):
     monkeypatch.setattr(scale, "GROUP_LIMIT", 15)
     a, b = (sorted(map(str, ground.dense_fuzzy(phrases, objs, grounding, none, hot).collect())) for hot in (False, None))
     assert a == b and len(a) > 10
+
+
+def test_fuzzy_pairs_of_a_crowded_image(spark):
+    """Phrases and texts meet on their rarest words: every similar pair, each once, and few others."""
+    import random
+
+    r = random.Random(6)
+    words = ["the", "of", "in", "x", "cars", "Class", "classes", "tree", "é", "bus", "!", "--", "a" * 40, "a" * 40 + "b"] + [f"w{i}" for i in range(300)]
+    say = lambda: "".join(w + r.choice([" ", " ", "-", ""]) for w in r.choices(words, [3] * 14 + [1] * 300, k=r.randrange(1, 6))).strip() or "x"
+    asked, texts = sorted({say() for _ in range(400)}), sorted({say() for _ in range(400)} | {"!", "the", "of the"})
+    ask = spark.createDataFrame([(0, p) for p in asked], "image_id long, phrase string").withColumn("_wp", T.content_words(F.col("phrase")))
+    known = spark.createDataFrame([(0, t) for t in texts], "image_id long, text string").withColumn("_wt", T.content_words(F.col("text")))
+    value = T.phrase_similarity(F.col("phrase"), F.col("text"))
+    want = {(x.phrase, x.text) for x in ground._meet(ask, known, False).where(value >= ground.FUZZY).collect()}
+    met = [(x.phrase, x.text) for x in ground._meet(ask, known, True).select("phrase", "text").collect()]
+    assert len(met) == len(set(met)) < len(asked) * len(texts) / 4
+    assert want <= set(met) and len(want) > 300
