@@ -482,12 +482,12 @@ def ground_dense_noun(t):
 
 
 @query("filter_groundings", f"""with g as (select image_id, label || case when priority > 3 then ' ' || model else '' end as phrase,
-     cast(seq % 2 as varchar) as k, priority as step, seq as a from detections where priority < 6),
+     cast(seq % 2 as varchar) as k, priority as step, seq as a from detections),
   f as (select image_id, phrase, arg_min(k, (step, a, k)) as k, min(step * 100000 + a) as pos from g group by 1, 2),
   l as ({S.leaders('f', 'image_id', 'length(phrase) desc, pos', 'phrase := phrase, k := k', 'phrase varchar, k varchar', 'k.k = d.k and contains(k.phrase, d.phrase)')})
   select image_id, u.phrase as phrase, u.k as object_ids from (select image_id, unnest(lead) as u from l)""", D)
 def filter_groundings(t):
-    d = t.detections.where("priority < 6")
+    d = t.detections
     phrase = F.concat("label", F.when(F.col("priority") > 3, F.concat(F.lit(" "), "model")).otherwise(""))
     found = d.select("image_id", F.col("priority").alias("step"), F.struct(F.col("seq").alias("a"), F.lit(0).alias("b")).alias("pos"),
                      phrase.alias("phrase"), F.array(F.col("seq") % 2).alias("object_ids"))
