@@ -7,6 +7,7 @@ walked row by row and nothing is gathered.
 """
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,8 +21,9 @@ BOX = ["x1", "y1", "x2", "y2"]
 # Overlap thresholds, area ranges of the common and of the fine-grained protocol
 THRESHOLDS = [0.5, 0.55, 0.6, 0.65, 0.7, 0.75, 0.8, 0.85, 0.9, 0.95]
 AREAS = {"all": (0, 1e10), "small": (0, 32 ** 2), "medium": (32 ** 2, 96 ** 2), "large": (96 ** 2, 1e10)}
-MORE_AREAS = {"96-128": (96 ** 2, 128 ** 2), "128-256": (128 ** 2, 256 ** 2), "256-512": (256 ** 2, 512 ** 2),
-              "512-inf": (512 ** 2, 1e10)}
+SIDES = [0, 8, 16, 24, 32, 48, 64, 80, 96, 128, 160, 192, 256]      # of the fine-grained ranges, each up to the next; the last is open
+MORE_AREAS = {f"{a}-{b}": (a ** 2, b ** 2) for a, b in zip(SIDES, SIDES[1:], strict=False)} | {f"{SIDES[-1]}-": (SIDES[-1] ** 2, 1e10)}
+FOLD_PAIRS = 100_000     # candidate pairs of one image and class that are walked in one go
 
 
 def crowded(pred: DataFrame, gt: DataFrame) -> bool:
@@ -180,7 +182,7 @@ def proposal_recall(proposals: DataFrame, gt: DataFrame, limit: int = 100, areas
                         F.col("r.gt").alias("gt"), "iou")
     taken = leaders(flat, ["image_id", "area_range"], [("iou", True), ("gt", False), ("det", False)], ["det", "gt"],
                     lambda k, m: (k["det"] == m["det"]) | (k["gt"] == m["gt"]),
-                    F.array(F.concat(F.lit("d"), "det"), F.concat(F.lit("g"), "gt")), ["det", "gt"], hot=hot)
+                    F.array(F.concat(F.lit("d"), "det"), F.concat(F.lit("g"), "gt")), ["det", "gt"], hot=hot or None)      # pairs are more than boxes: counted
     npos = sized.select(F.explode("ranges").alias("area_range")).groupBy("area_range").agg(F.count("*").alias("npos"))
     found = taken.groupBy("area_range").agg(F.sum(F.size(F.filter(
         F.array(*[F.lit(t) for t in thresholds]), lambda t: F.col("iou") >= t))).alias("hits"))
@@ -197,43 +199,122 @@ def coco_matches(pred: DataFrame, gt: DataFrame, thresholds: list[float] = THRES
     most; ground truth that is a crowd or outside the area range is taken only if no other fits, and makes the
     detection not count; a crowd is never used up.  Unmatched detections outside the range do not count.
 
-    Choosing in turn equals walking all candidate pairs in order of (detection, preference) and
-    accepting those whose two ends are free."""
-    hot = crowded(pred, gt) if hot is None else hot
+    Choosing in turn equals walking all candidate pairs in order of (detection, preference) and accepting those whose two
+    ends are free.  One walk does so for all thresholds and area ranges: each has a bit (``_walked``).  Pairs are counted
+    first; an image and class with very many of them is settled in rounds over many tasks instead (``_settled``)."""
     keys = ["image_id", "label"]
+    wide = crowded(pred, gt) if hot is None else hot
     crowd = F.coalesce("iscrowd", F.lit(0)) == 1 if "iscrowd" in gt.columns else F.lit(False)
     size = F.col("area").cast("double") if "area" in gt.columns else B.area(B.cols())
     g = gt.select(*keys, "gt", *BOX, crowd.alias("crowd"), size.alias("area"))
     d = top_per_image(pred, max_dets, [F.col("score").desc(), F.col("det")], keys).select(*keys, "det", "score", *BOX)
     low = min(thresholds)
-    plain = overlap_pairs(d, g.where(~F.col("crowd")), low, keys=keys, inclusive=False, hot=hot)
+    plain = overlap_pairs(d, g.where(~F.col("crowd")), low, keys=keys, inclusive=False, hot=wide)
     crowds = g.where("crowd")
     covered = (d.select(*keys, F.struct("det", "score", *BOX).alias("l"))
                .join(crowds.select(*keys, F.struct("gt", *BOX, "crowd", "area").alias("r")), keys)
                .withColumn("iou", B.ioa(B.of("r"), B.of("l"))).where(F.col("iou") >= low))
-    pairs = plain.unionByName(covered)
-    rng = F.array(*[F.struct(F.lit(k).alias("name"), F.lit(float(a)).alias("lo"), F.lit(float(b)).alias("hi"))
-                    for k, (a, b) in areas.items()])
     steps = F.array(*[F.lit(t) for t in thresholds])
-    flat = (pairs.withColumn("a", F.explode(rng)).withColumn("t", F.explode(F.sequence(F.lit(1), F.size(F.filter(
-                steps, lambda t: F.col("iou") >= F.least(t, F.lit(1 - 1e-10)))))))
-            .select(*keys, F.col("a.name").alias("area_range"), "t", F.col("l.det").alias("det"), F.col("l.score").alias("score"),
-                    F.col("r.gt").alias("gt"), F.col("r.crowd").alias("crowd"), "iou",
-                    (F.col("r.crowd") | (F.col("r.area") < F.col("a.lo")) | (F.col("r.area") > F.col("a.hi"))).cast("int").alias("ig")))
-    taken = leaders(flat, [*keys, "area_range", "t"],
+    level = F.size(F.filter(steps, lambda t: F.col("iou") >= F.least(t, F.lit(1 - 1e-10))))
+    pairs = plain.unionByName(covered).select(*keys, F.col("l.det").alias("det"), F.col("l.score").alias("score"), F.col("r.gt").alias("gt"),
+                                              F.col("r.crowd").alias("crowd"), F.col("r.area").alias("area"), "iou", level.alias("level")).where("level > 0")
+    if hot is None:
+        pairs = scale.checkpointed(pairs)
+        many = scale.crowds(keys, FOLD_PAIRS, pairs)
+        if many is None:
+            won = _walked(pairs, keys, len(thresholds), areas)
+        else:
+            few, most = scale.apart(pairs, keys, many)
+            won = _walked(few, keys, len(thresholds), areas).unionByName(_settled(most, keys, areas))
+    else:
+        won = _settled(pairs, keys, areas) if hot else _walked(pairs, keys, len(thresholds), areas)
+    rng = F.array(*[F.struct(F.lit(k).alias("name"), F.lit(float(a)).alias("lo"), F.lit(float(b)).alias("hi")) for k, (a, b) in areas.items()])
+    out = d.join(won, [*keys, "det"], "left").select("*", F.posexplode(rng).alias("_at", "a"))
+    bit = lambda c: F.coalesce(F.get(c, F.col("_at")), F.lit(0).cast("long"))
+    out = out.select(*keys, "det", "score", F.col("a.name").alias("area_range"), bit("won").alias("_w"), bit("skipped").alias("_i"),
+                     ((B.area(B.cols()) < F.col("a.lo")) | (B.area(B.cols()) > F.col("a.hi"))).alias("_out"))
+    has = lambda c, t: F.col(c).bitwiseAND(F.lit(1 << t)) != 0
+    n = range(len(thresholds))
+    return out.select(*keys, "det", "score", "area_range", F.array(*[has("_w", t) for t in n]).alias("tp"),
+                      F.array(*[~has("_w", t) & ~has("_i", t) & ~F.col("_out") for t in n]).alias("fp"))
+
+
+def _walked(pairs: DataFrame, keys: list[str], steps: int, areas: dict) -> DataFrame:
+    """``keys, det, won, skipped``: per area range the thresholds (as bits) at which a detection takes counting ground truth, and
+    other ground truth.
+
+    Pairs come sorted by detection and overlap, one image and class after another, as a stream of batches.  All (area range,
+    threshold) states are bits of one number: ``used`` holds those in which a ground truth is taken."""
+    ranges = list(areas.values())
+    full = (1 << steps) - 1
+    rows = [sum(((1 << n) - 1) << i * steps for i in range(len(ranges))) for n in range(steps + 1)]     # states up to each level
+    every = rows[steps]
+
+    def run(batches):
+        inside, used, own, key, det = {}, {}, [], None, None
+        out = [[] for _ in range(len(keys) + 3)]
+
+        def settle():
+            done = won = 0
+            for level, gt, counts, crowd in own:                       # ground truth that counts first
+                free = rows[level] & counts & ~done & ~used.get(gt, 0)
+                if free:
+                    done |= free
+                    won |= free
+                    used[gt] = used.get(gt, 0) | free
+            skipped = 0
+            for level, gt, counts, crowd in own:
+                free = rows[level] & every & ~counts & ~done & ~(0 if crowd else used.get(gt, 0))
+                if free:
+                    done |= free
+                    skipped |= free
+                    if not crowd:
+                        used[gt] = used.get(gt, 0) | free
+            if done:
+                masks = [[m >> i * steps & full for i in range(len(ranges))] for m in (won, skipped)]
+                for col, v in zip(out, (*key, det, *masks), strict=True):
+                    col.append(v)
+            own.clear()
+
+        for b in batches:
+            names, kinds = b.schema.names, b.schema.types
+            for *k, d, level, gt, crowd, area in zip(*[c.to_pylist() for c in b.columns], strict=True):
+                if k != key or d != det:
+                    settle()
+                    if k != key:
+                        used.clear()
+                    key, det = k, d
+                if (crowd, area) not in inside:
+                    if len(inside) > 100_000:
+                        inside.clear()
+                    inside[crowd, area] = sum(full << i * steps for i, (lo, hi) in enumerate(ranges) if not crowd and lo <= area <= hi)
+                own.append((level, gt, inside[crowd, area], crowd))
+            bits = pa.list_(pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, [*kinds[:len(keys) + 1], bits, bits], strict=True)], [*names[:len(keys) + 1], "won", "skipped"])
+            for col in out:
+                col.clear()
+        settle()
+        if out[0]:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, [*kinds[:len(keys) + 1], bits, bits], strict=True)], [*names[:len(keys) + 1], "won", "skipped"])
+
+    laid = pairs.repartition(*keys).sortWithinPartitions(*keys, F.col("score").desc(), "det", F.col("iou").desc(), F.col("gt").desc())
+    kinds = ", ".join(f"{c} {pairs.schema[c].dataType.simpleString()}" for c in [*keys, "det"])
+    return laid.select(*keys, "det", "level", "gt", "crowd", "area").mapInArrow(run, f"{kinds}, won array<long>, skipped array<long>")
+
+
+def _settled(pairs: DataFrame, keys: list[str], areas: dict) -> DataFrame:
+    """The same, each state by itself as greedy choice that needs no one task to hold an image and class."""
+    rng = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(a)).alias("lo"), F.lit(float(b)).alias("hi")) for i, (a, b) in enumerate(areas.values())])
+    flat = pairs.withColumn("a", F.explode(rng)).withColumn("t", F.explode(F.sequence(F.lit(1), "level"))).select(
+        *keys, F.col("a.i").alias("a"), "t", "det", "score", "gt", "crowd", "iou",
+        (F.col("crowd") | (F.col("area") < F.col("a.lo")) | (F.col("area") > F.col("a.hi"))).cast("int").alias("ig"))
+    taken = leaders(flat, [*keys, "a", "t"],
                     [("score", True), ("det", False), ("ig", False), ("iou", True), ("gt", True)], ["det", "gt", "crowd"],
                     lambda k, m: (k["det"] == m["det"]) | ((k["gt"] == m["gt"]) & ~k["crowd"]),
-                    F.array(F.concat(F.lit("d"), "det"), F.concat(F.lit("g"), "gt")), ["det", "gt"], hot=hot)
-    won = taken.groupBy(*keys, "area_range", "det").agg(
-        F.collect_set(F.when(F.col("ig") == 0, F.col("t"))).alias("_w"), F.collect_set(F.when(F.col("ig") == 1, F.col("t"))).alias("_i"))
-    every = d.withColumn("a", F.explode(rng)).select(
-        *keys, "det", "score", F.col("a.name").alias("area_range"),
-        ((B.area(B.cols()) < F.col("a.lo")) | (B.area(B.cols()) > F.col("a.hi"))).alias("_out"))
-    out = every.join(won, [*keys, "area_range", "det"], "left")
-    has = lambda c, i: F.coalesce(F.array_contains(c, i), F.lit(False))
-    n = range(1, len(thresholds) + 1)
-    return out.select(*keys, "det", "score", "area_range", F.array(*[has("_w", i) for i in n]).alias("tp"),
-                      F.array(*[~has("_w", i) & ~has("_i", i) & ~F.col("_out") for i in n]).alias("fp"))
+                    F.array(F.concat(F.lit("d"), "det"), F.concat(F.lit("g"), "gt")), ["det", "gt"], hot=True)
+    bits = lambda i, ig: F.coalesce(F.sum(F.when((F.col("a") == i) & (F.col("ig") == ig), F.expr("shiftleft(1L, t - 1)"))), F.lit(0).cast("long"))
+    n = range(len(areas))
+    return taken.groupBy(*keys, "det").agg(F.array(*[bits(i, 0) for i in n]).alias("won"), F.array(*[bits(i, 1) for i in n]).alias("skipped"))
 
 
 def _countable(gt: DataFrame, areas: dict) -> DataFrame:
@@ -258,8 +339,9 @@ def coco_class_ap(pred: DataFrame, gt: DataFrame, thresholds: list[float] = THRE
     return ap.select(*keys, F.array(*[F.lit(t) for t in thresholds])[F.col("t")].alias("threshold"), "ap")
 
 
-def coco_ap(class_ap: DataFrame) -> DataFrame:
-    """AP, AP50, AP75 and AP by size, in percent, from ``coco_class_ap``: one row per metric."""
+def coco_ap(class_ap: DataFrame, areas: dict | None = None) -> DataFrame:
+    """AP, AP50, AP75 and AP by size, in percent, from ``coco_class_ap``: one row per metric.  With ``areas``, each of those has
+    its row; one without ground truth has no value."""
     everywhere = class_ap.where(F.col("area_range") == "all")
     over_all = everywhere.agg((F.avg("ap") * 100).alias("AP"),
                               (F.avg(F.when(F.col("threshold") == 0.5, F.col("ap"))) * 100).alias("AP50"),
@@ -267,6 +349,9 @@ def coco_ap(class_ap: DataFrame) -> DataFrame:
     named = over_all.unpivot([], ["AP", "AP50", "AP75"], "metric", "value")
     sized = class_ap.where(F.col("area_range") != "all").groupBy(F.concat(F.lit("AP-"), "area_range").alias("metric")).agg(
         (F.avg("ap") * 100).alias("value"))
+    if areas is not None:
+        names = class_ap.sparkSession.createDataFrame([(f"AP-{k}",) for k in areas if k != "all"], "metric string")
+        sized = names.join(sized, "metric", "left")
     return named.unionByName(sized)
 
 

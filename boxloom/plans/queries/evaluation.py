@@ -184,12 +184,12 @@ def coco_ap(t):
     return evaluate.coco_ap(ap).select("metric", F.round("value", 5).alias("value"))
 
 
-@query("coco_ap_fine_areas", f"with {_coco_sql({**evaluate.AREAS, **evaluate.MORE_AREAS}, evaluate.THRESHOLDS, 100)}, {_CAP.format(m='m')} {_METRICS}", D)
+@query("coco_ap_fine_areas", f"with {_coco_sql({**evaluate.AREAS, **evaluate.MORE_AREAS}, evaluate.THRESHOLDS, 100)}, {_CAP.format(m='m')} {_METRICS.replace("from cap where area_range <> 'all'", "from rg left join cap using (area_range) where area_range <> 'all'")}", D)
 def coco_ap_fine_areas(t):
     """The nineteen metrics of the protocol with extra size ranges."""
     areas = {**evaluate.AREAS, **evaluate.MORE_AREAS}
     ap = evaluate.coco_class_ap(found(t), crowd_truth(t), areas=areas)
-    return evaluate.coco_ap(ap).select("metric", F.round("value", 5).alias("value"))
+    return evaluate.coco_ap(ap, areas).select("metric", F.round("value", 5).alias("value"))
 
 
 _LVIS = _coco_sql({"all": (0, 1e10)}, evaluate.THRESHOLDS, crowds=False, top="select r.* from ranked r join checked using (image_id, label) where rn <= 20", extra=""",

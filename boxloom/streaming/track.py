@@ -43,7 +43,7 @@ def _links(at: DataFrame, iou: float, best_first: bool, hot: bool | None) -> Dat
     return leaders(pairs, ["video_id", "f"], [*first, ("idx", False), ("prev", False)], ["idx", "prev"],
                    lambda k, m: (k["idx"] == m["idx"]) | (k["prev"] == m["prev"]),
                    F.array(F.concat(F.lit("n"), "idx"), F.concat(F.lit("p"), "prev")), ["idx", "prev"],
-                   hot=hot).select("video_id", "f", "idx", "prev")
+                   hot=hot or None).select("video_id", "f", "idx", "prev")      # pairs are more than boxes: counted
 
 
 def track_frames(df: DataFrame, iou: float = 0.5, best_first: bool = False, hot: bool | None = None) -> DataFrame:

@@ -92,6 +92,18 @@ def test_simple_map(spark, hot):
     assert got == {**{c: tuple(v) for c, v in stats.items()}, None: tuple(sum(v[i] for v in stats.values()) for i in range(3))}
 
 
+def test_coco_plans_agree(spark, monkeypatch):
+    """Walked, settled in rounds, and each for some images and classes; all fine-grained ranges and thresholds."""
+    pred, gt = make(7)
+    p, g = spark.createDataFrame(pred, PRED), spark.createDataFrame(gt, GT).drop("difficult")
+    areas = E.AREAS | E.MORE_AREAS
+    assert len(areas) == 17 and areas["0-8"] == (0, 64) and areas["256-"] == (65536, 1e10)
+    monkeypatch.setattr(E, "FOLD_PAIRS", 4)
+    walked, settled, mixed = (sorted(map(str, E.coco_matches(p, g, areas=areas, hot=hot).collect())) for hot in (False, True, None))
+    assert walked == settled == mixed and any("tp=[True, True" in r for r in walked)
+    assert E.coco_ap(E.coco_class_ap(p, g, areas=areas, hot=False), areas).count() == 19
+
+
 @pytest.mark.parametrize("hot", [None, True])
 @pytest.mark.parametrize("seed", [1, 4])
 def test_coco(spark, seed, hot):
