@@ -89,21 +89,20 @@ def read_voc(t):
     return C.parse_voc(docs).drop("gt")
 
 
-@query("read_yolo", """with l as (select *, row_number() over (partition by image_id order by seq) as rn from detections join images using (image_id)
-    where priority = 3 and seq % 5 <> 0) select image_id, seq as line_no, seq % 7 as class_index, round((score - 0.25) * width, 5) as x1, round((0.5 - score / 2) * height, 5) as y1
-  from l where rn <= 3""", DI)
+@query("read_yolo", """select image_id, priority * 10000 + seq as line_no, seq % 7 as class_index, round((score - 0.25) * width, 5) as x1, round((0.5 - score / 2) * height, 5) as y1
+  from detections join images using (image_id) where seq % 5 <> 0""", DI)
 def read_yolo(t):
-    d = t.detections.where("priority = 3")
+    d = t.detections.withColumn("line", F.col("priority") * 10000 + F.col("seq"))
     line = F.concat_ws(" ", (F.col("seq") % 7).cast("string"), F.col("score").cast("string"), F.lit("0.5"), F.lit("0.5"),
                        F.when(F.col("seq") % 5 != 0, F.col("score").cast("string")))
-    boxes = C.parse_yolo(d.select("image_id", F.col("seq").alias("line_no"), line.alias("line")), t.images, 3)
+    boxes = C.parse_yolo(d.select("image_id", F.col("line").alias("line_no"), line.alias("line")), t.images)
     return boxes.select("image_id", "line_no", "class_index", F.round("x1", 5).alias("x1"), F.round("y1", 5).alias("y1"))
 
 
 @query("class_names", "select p_brand as name, cast(dense_rank() over (order by p_brand) - 1 as int) as class_index, count(*) as parts from part group by 1")
 def class_names(t):
-    found = [r[0] for r in t.part.select("p_brand").distinct().orderBy("p_brand").collect()]   # the class list itself
-    return t.part.join(C.class_names(t.spark, found), F.col("p_brand") == F.col("name")).groupBy("name", "class_index").agg(F.count("*").alias("parts"))
+    names = C.numbered_names(t.part.select(F.col("p_brand").alias("name")))
+    return t.part.join(names, F.col("p_brand") == F.col("name")).groupBy("name", "class_index").agg(F.count("*").alias("parts"))
 
 
 @query("concat_corpora", f"with {_AN} select image_id, seq, category_id from an where image_id % 2 = 0 union all select image_id, seq, category_id from an where image_id % 2 = 1", D)

@@ -37,9 +37,9 @@ def from_text(documents: DataFrame) -> DataFrame:
 
 
 def dense_categories(categories: DataFrame) -> DataFrame:
-    """Contiguous class indexes from 0, in order of category id (a list of at most thousands)."""
-    w = Window.partitionBy(F.lit(0)).orderBy("category_id")
-    return categories.withColumn("class_index", F.dense_rank().over(w) - 1)
+    """Contiguous class indexes from 0, in order of category id."""
+    ids = scale.running(categories.select("category_id").where("category_id is not null").distinct(), [], [F.col("category_id")], number="_n")
+    return categories.join(ids, "category_id").select(*categories.columns, (F.col("_n") - 1).cast("int").alias("class_index"))
 
 
 def clean_annotations(annotations: DataFrame) -> DataFrame:
@@ -173,6 +173,12 @@ def read_yolo(spark: SparkSession, path: str, images: DataFrame, limit: int | No
     return parse_yolo(lines, images, limit)
 
 
+def numbered_names(names: DataFrame, name: str = "name") -> DataFrame:
+    """``class_index, name``: the distinct names in order, from 0; a list of any length, none of it through the driver."""
+    every = names.select(F.col(name).alias("name")).where("name is not null").distinct()
+    return scale.running(every, [], [F.col("name")], number="_n").select((F.col("_n") - 1).cast("int").alias("class_index"), "name")
+
+
 def class_names(spark: SparkSession, names: list | dict) -> DataFrame:
     """Class names given as a list, or as index to name."""
     pairs = names.items() if isinstance(names, dict) else enumerate(names)

@@ -69,6 +69,34 @@ def finished_datasets(report: DataFrame, completions: DataFrame | None = None) -
     return done if completions is None else done.join(completions.select("dataset"), "dataset", "left_anti")
 
 
+COMPLETION = ("dataset string, total bigint, processed bigint, failed bigint, masks bigint, seconds double, per_second double, finished_at timestamp, "
+              "batch bigint")
+
+
+def completion_rows(report: DataFrame, runs: DataFrame, completions: DataFrame | None = None) -> DataFrame:
+    """What the completion log says of each newly finished dataset: ``runs(dataset, ts, success, masks, seconds)`` has a row for
+    each image worked on."""
+    stats = runs.groupBy("dataset").agg(
+        F.count_if("success").alias("processed"), F.count_if(~F.col("success")).alias("failed"), F.coalesce(F.sum("masks"), F.lit(0)).cast("bigint").alias("masks"),
+        F.coalesce(F.sum(F.col("seconds").cast("double")), F.lit(0.0)).alias("seconds"), F.max("ts").alias("finished_at"))
+    none = lambda c: F.coalesce(c, F.lit(0).cast("bigint")).alias(c)
+    return finished_datasets(report, completions).join(stats, "dataset", "left").select(
+        "dataset", F.col("total").cast("bigint").alias("total"), none("processed"), none("failed"), none("masks"), "seconds",
+        F.try_divide(F.col("processed").cast("double"), "seconds").alias("per_second"), "finished_at")
+
+
+def log_completions(report: DataFrame, runs: DataFrame, path: str, batch: int) -> None:
+    """Append the datasets that are finished and not in the log yet, under the batch's number.
+
+    A batch repeated after a failure writes its own rows again and nothing else, so a dataset is in the log once."""
+    spark = report.sparkSession
+    none = spark.createDataFrame([], COMPLETION)
+    none.limit(0).write.mode("append").partitionBy("batch").parquet(path)          # the folder has to be there to be read
+    earlier = spark.read.schema(COMPLETION).parquet(path).where(F.col("batch") != batch)
+    rows = scale.checkpointed(completion_rows(report, runs, earlier)).withColumn("batch", F.lit(batch).cast("bigint"))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(path)
+
+
 def dataset_filter(df: DataFrame, part: str, outputs: DataFrame | None = None) -> DataFrame:
     """Rows whose dataset name contains ``part``, and which also occur among the outputs, if given."""
     some = df.where(F.contains("dataset", F.lit(part)))

@@ -126,3 +126,23 @@ def test_class_lists(spark):
     assert corpora.concat_corpora([(df, a), (df, corpora.class_names(spark, {1: "y", 0: "x"}))]).count() == 4
     with pytest.raises(ValueError):
         corpora.concat_corpora([(df, a), (df, b)])
+
+
+def test_completion_log(spark, tmp_path):
+    """A repeated batch adds nothing, also after it was killed between its parts; later batches add what is new."""
+    path = str(tmp_path / "log")
+    images = spark.createDataFrame([(i, "abc"[i % 3]) for i in range(9)] + [(9, "d")], "image_id long, dataset string")
+    runs = spark.createDataFrame([("a", 5, True, 2, 0.5), ("a", 7, False, None, 0.5), ("b", 9, True, 1, None)], "dataset string, at int, success boolean, masks int, seconds double"
+                                 ).withColumn("ts", F.timestamp_seconds("at"))
+    report = lambda todo: discover.completion_report(images, images.where(todo), by="dataset")
+    seen = lambda: sorted((r.dataset, r.total, r.processed, r.failed, r.masks, r.seconds, r.per_second, r.batch) for r in spark.read.schema(discover.COMPLETION).parquet(path).collect())
+    discover.log_completions(report("dataset <> 'a'"), runs, path, 4)
+    first = [("a", 3, 1, 1, 2, 1.0, 1.0, 4)]
+    assert seen() == first
+    discover.log_completions(report("dataset <> 'a'"), runs, path, 4)
+    assert seen() == first
+    # killed after files of its try were written, before they were committed
+    put(tmp_path / "log" / ".spark-staging-x" / "batch=5" / "part-0.parquet", b"cut off")
+    for _ in range(2):
+        discover.log_completions(report("dataset = 'c'"), runs, path, 5)
+    assert seen() == [*first, ("b", 3, 1, 0, 1, 0.0, None, 5), ("d", 1, 0, 0, 0, None, None, 5)]
