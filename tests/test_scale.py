@@ -98,7 +98,7 @@ def test_class_list_in_passes(spark):
     crops = spark.createDataFrame([(i, vec()) for i in range(20)], "crop_id int, vector array<double>")
     classes = spark.createDataFrame([(f"c{i}", vec()) for i in range(50)], "label string, vector array<double>")
     one = assign.zero_shot_topk(crops, classes, 3).orderBy("crop_id", "rank").collect()
-    many = assign.zero_shot_topk(crops, classes, 3, block=7, blocks_per_pass=2).orderBy("crop_id", "rank").collect()
+    many = assign.zero_shot_topk(crops, classes, 3, block=7, size=1 << 10).orderBy("crop_id", "rank").collect()
     assert [(x.crop_id, x.rank, x.label) for x in one] == [(x.crop_id, x.rank, x.label) for x in many]
     assert all(abs(x.probability - y.probability) < 1e-9 for x, y in zip(one, many))
 
