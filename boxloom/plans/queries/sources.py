@@ -222,8 +222,8 @@ def dequantise_depth(t):
     return q.select("image_id", "x", "y", F.round(predictions.dequantise(F.col("level"), F.col("lo"), F.col("hi")), 6).alias("value"))
 
 
-@query("annotation_documents", """with o as (select image_id, priority, seq - 1 + case priority when 2 then 100 else 0 end as id from detections where priority in (1, 2)),
-   p as (select image_id, cast(id // 50 as int) as part, count(*) filter (priority = 1) as objects, count(*) filter (priority = 2) as floating from o group by 1, 2)
+@query("annotation_documents", """with o as (select image_id, priority, seq - 1 + (priority - 1) * 1000 as id from detections),
+   p as (select image_id, cast(id // 50 as int) as part, count(*) filter (priority % 2 = 1) as objects, count(*) filter (priority % 2 = 0) as floating from o group by 1, 2)
    select image_id, coalesce(part, 0) as part, coalesce(objects, 0) as objects, coalesce(floating, 0) as floating from images left join p using (image_id)""", DI)
 def annotation_documents(t):
     docs = predictions.documents(t.images, plain_objects(t), part=50)
