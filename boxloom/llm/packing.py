@@ -10,6 +10,7 @@ from __future__ import annotations
 import base64
 import zlib
 from bisect import bisect_left
+from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -27,7 +28,9 @@ RANKS = "byte_bpe_50k.tiktoken"      # the vocabulary of byte_bpe_50k.json as ra
 SALTS = 64             # parts that the pieces of one length are ranked in
 
 
+@lru_cache(maxsize=2)
 def encoder(ranks: str = RANKS) -> tiktoken.Encoding:
+    """The encoder of a vocabulary, built once by each worker."""
     with open(public_tokenizers.path(ranks), "rb") as f:
         found = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
     return tiktoken.Encoding("bytes", pat_str=public_tokenizers.PATTERN, mergeable_ranks=found, special_tokens={SPECIAL: 50256})
@@ -48,14 +51,14 @@ def pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", room: int =
     def run(batches):
         enc = encoder(ranks)
         tail = np.array([END], np.uint32)
-        for b in batches:
-            out = [[], [], [], [], [], []]
+        for b in (part for whole in batches for part in (whole.slice(at, 500) for at in range(0, whole.num_rows, 500))):
+            out = [[] for _ in range(5 + tokens)]
             keys = b.column(0).to_pylist()
             for k, t in zip(keys, b.column(1).to_pylist(), strict=True):
                 ids = np.concatenate([enc.encode_to_numpy(t, allowed_special="all").astype(np.uint32), tail])
                 for i, (s, n) in enumerate(cut(len(ids), room)):
                     raw = ids[s:s + n].tobytes()
-                    for col, v in zip(out, (k, i, s, n, zlib.crc32(raw), raw), strict=True):
+                    for col, v in zip(out, (k, i, s, n, zlib.crc32(raw), raw)):      # the ids themselves only where asked for
                         col.append(v)
             types = [b.schema.field(0).type, pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()][:5 + tokens]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], [key, "piece", "start", "length", "ids_crc32", "ids"][:5 + tokens])
