@@ -22,7 +22,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from boxloom.llm.common import WordHashes, mix, stored
+from boxloom.llm.common import WordHashes as WordHashes
+from boxloom.llm.common import lowered_hashes, mix, stored
 
 KNOWN = 65_000         # frequent words; ids stay below 2 ** 16 with the two classes below
 ALONE = 65_535         # stands before a word that is counted by itself
@@ -50,12 +51,6 @@ def chunks(texts: list[bytes], limit: int = CHUNK):
         yield start, len(texts)
 
 
-def hashed(texts: list[bytes], hashes: WordHashes) -> tuple[np.ndarray, np.ndarray]:
-    """Word hashes of all texts one after another, and how many each has."""
-    parts = [hashes.of(t.lower().split()) for t in texts]
-    return np.concatenate(parts) if parts else np.zeros(0, np.uint64), np.array([len(p) for p in parts], np.int64)
-
-
 class Sums:
     """Counts by key; hands out what it holds when that grows too large."""
 
@@ -82,12 +77,12 @@ class Sums:
 def word_counts(texts: DataFrame) -> DataFrame:
     """(h, n): how often each word stands in ``texts`` (t: binary)."""
     def run(batches):
-        hashes, sums = WordHashes(), Sums()
+        sums = Sums()
         out = lambda x: pa.RecordBatch.from_arrays([pa.array(x[0].view(np.int64)), pa.array(x[1])], ["h", "n"])
         for b in batches:
             rows = b.column(0).to_pylist()
             for i, j in chunks(rows):
-                keys, n = np.unique(hashed(rows[i:j], hashes)[0], return_counts=True)
+                keys, n = np.unique(lowered_hashes(rows[i:j])[0], return_counts=True)
                 yield from map(out, sums.add(keys, n))
         if sums.parts:
             yield out(sums.take())
@@ -219,7 +214,7 @@ def segments(texts: DataFrame, known: int = KNOWN) -> tuple[Model, DataFrame, Da
     sent = spark.sparkContext.broadcast(model)
 
     def run(batches):
-        hashes, sums, m = WordHashes(), Sums(), sent.value
+        sums, m = Sums(), sent.value
 
         def out(x):
             keys, n = x
@@ -238,7 +233,7 @@ def segments(texts: DataFrame, known: int = KNOWN) -> tuple[Model, DataFrame, Da
         for b in batches:
             rows = b.column(0).to_pylist()
             for i, j in chunks(rows):
-                ids, before = laid_out(m, *hashed(rows[i:j], hashes))
+                ids, before = laid_out(m, *lowered_hashes(rows[i:j]))
                 keys, n = np.unique(np.concatenate([pair_keys(before, ids), pair_keys(ALONE, ids)]), return_counts=True)
                 yield from map(out, sums.add(keys, n))
         if sums.parts:
@@ -309,13 +304,13 @@ def scored(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches):
-        m, hashes = sent.value, WordHashes()
+        m = sent.value
         weight = np.append(np.log10(m.counts + 1.0), [0.0, np.log10(m.ends + 1.0)])
         counted = np.append(np.ones(len(m.counts)), [0.0, float(m.ends > 0)])
         for b in batches:
             rows = b.column(1).to_pylist()
             for i, j in chunks(rows):
-                h, n = hashed(rows[i:j], hashes)
+                h, n = lowered_hashes(rows[i:j])
                 ids, before = laid_out(m, h, n)
                 first = np.cumsum(n + 1) - (n + 1)
                 total = lambda x: np.add.reduceat(x, first)
@@ -337,11 +332,11 @@ def added(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        m, hashes = sent.value, WordHashes()
+        m = sent.value
         for b in batches:
             rows = b.column(0).to_pylist()
             for i, j in chunks(rows):
-                h, n = hashed(rows[i:j], hashes)
+                h, n = lowered_hashes(rows[i:j])
                 ids, before = laid_out(m, h, n)
                 yield pa.RecordBatch.from_arrays([pa.array([xxhash.xxh3_128_digest(t) for t in rows[i:j]], pa.binary()), pa.array(
                     np.add.reduceat(m.log10(ids, before), np.cumsum(n + 1) - (n + 1)))], ["digest", "score"])

@@ -4,8 +4,10 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +37,27 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1_000):
+    """Arrow batches of at most ``rows`` rows for what runs inside: whole texts, or sets of them, in the default 10,000 rows take
+    hundreds of MB of a worker and of its executor."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows if int(before) <= 0 else min(rows, int(before))))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def slices(batches, rows: int = 500):
+    """Parts of at most ``rows`` rows of each batch, so that few texts become Python objects at a time."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+    pa.default_memory_pool().release_unused()
+
+
 def without(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     """Rows of ``df`` whose ``key`` is not in ``ids`` (one column); null keys stay."""
     return df.join(maybe_broadcast(ids), key, "left_anti").select(*df.columns)
@@ -72,6 +95,67 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
+SPACE = np.isin(np.arange(256), np.frombuffer(b" \t\n\r\x0b\x0c", np.uint8))
+SMALL = np.frombuffer(bytes(range(256)).lower(), np.uint8)
+PRIMES = [np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)]
+BLOCK = 1 << 18        # bytes of text whose words are hashed at once
+
+
+def turned(x: np.ndarray, by: int) -> np.ndarray:
+    return x << np.uint64(by) | x >> np.uint64(64 - by)
+
+
+def lowered_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """xxh64 of each white-space word, A-Z lower-cased, of all texts one after another, and how many words each text has.
+
+    The same values as ``WordHashes`` gives, for all words of a block of texts at once: nothing is kept, and words met
+    once cost no more than others.  Words of 32 bytes and more take the library's way."""
+    out, found, start, size = [], [], 0, 0
+    for i, t in enumerate(texts):
+        size += len(t)
+        if size >= BLOCK or i + 1 == len(texts):
+            h, n = _block_hashes(texts[start:i + 1])
+            out.append(h)
+            found.append(n)
+            start, size = i + 1, 0
+    return (np.concatenate(out), np.concatenate(found)) if out else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+
+
+def _block_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    p1, p2, p3, p4, p5 = PRIMES
+    raw = SMALL[np.frombuffer(b" ".join([*texts, b" " * 8]), np.uint8)]
+    eight = np.ndarray(len(raw) - 7, "<u8", raw, strides=(1,))       # the eight bytes, and the four, from each place on
+    four = np.ndarray(len(raw) - 7, "<u4", raw, strides=(1,))
+    edges = np.flatnonzero(np.diff(~SPACE[raw], prepend=False))
+    first, last = edges[::2], edges[1::2]
+    ends = np.cumsum([len(t) + 1 for t in texts])
+    n = np.diff(np.searchsorted(first, ends), prepend=0)
+    length = last - first
+    h, at, left = p5 + length.astype(np.uint64), first.copy(), length.copy()
+    some = np.flatnonzero((length >= 8) & (length < 32))
+    while len(some):
+        h[some] = turned(h[some] ^ turned(eight[at[some]] * p2, 31) * p1, 27) * p1 + p4
+        at[some] += 8
+        left[some] -= 8
+        some = some[left[some] >= 8]
+    some = np.flatnonzero((left >= 4) & (length < 32))
+    h[some] = turned(h[some] ^ four[at[some]].astype(np.uint64) * p1, 23) * p2 + p3
+    at[some] += 4
+    left[some] -= 4
+    some = np.flatnonzero((left > 0) & (length < 32))
+    while len(some):
+        h[some] = turned(h[some] ^ raw[at[some]].astype(np.uint64) * p5, 11) * p1
+        at[some] += 1
+        left[some] -= 1
+        some = some[left[some] > 0]
+    h = (h ^ h >> np.uint64(33)) * p2
+    h = (h ^ h >> np.uint64(29)) * p3
+    h ^= h >> np.uint64(32)
+    for k in np.flatnonzero(length >= 32).tolist():
+        h[k] = xxhash.xxh64_intdigest(raw[first[k]:last[k]].tobytes())
+    return h, n
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit values (a bijection)."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

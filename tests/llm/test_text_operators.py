@@ -456,3 +456,40 @@ def test_page_text_keeps_copies_of_a_page(spark):
     got = {x.page_id: x.text for x in page_text.extract(frame(spark, rows, "page_id long, url string, html string, text string, h string")).collect()}
     assert all(got[k] == story for k in [0, 1, 2, *range(10, 22)]) and got[31] == "other 1 3"
     assert [got[40 + i] for i in range(6)] == [f"news {i // 2}" for i in range(6)]
+
+
+def test_words_hashed_at_once_have_the_library_s_hashes():
+    import numpy as np
+
+    from boxloom.llm.common import WordHashes, lowered_hashes
+
+    rng = np.random.default_rng(3)
+    texts = [b"", b" \t", b"One ONE\x0btwo\x0c", "Ärger ÄRGER".encode()] + [b"A" * k + b" b\n" for k in range(70)]
+    texts += [rng.integers(0, 256, n).astype(np.uint8).tobytes() for n in rng.integers(0, 300, 200)]
+    h, n = lowered_hashes(texts)
+    want = [WordHashes().of(t.lower().split()) for t in texts]
+    assert n.tolist() == [len(w) for w in want]
+    assert h.tolist() == np.concatenate(want).tolist()
+    assert [x.tolist() for x in lowered_hashes([])] == [[], []]
+
+
+def test_jaccard_and_packing_read_texts_in_small_batches(spark):
+    from boxloom.llm import jaccard_join, packing, quality
+    from boxloom.llm.common import slices, small_batches
+
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    with small_batches(spark, 300):
+        assert spark.conf.get(name) == "300"
+        sizes = spark.range(2_000, numPartitions=1).mapInArrow(lambda bs: (b.slice(0, 1).set_column(0, "id", b.column(0).slice(0, 1)) for b in bs), "id long").count()
+        assert sizes == 7
+    assert spark.conf.get(name) == before
+    import pyarrow as pa
+    parts = list(slices([pa.RecordBatch.from_pydict({"a": list(range(1_201))})]))
+    assert [p.num_rows for p in parts] == [500, 500, 201] and [x for p in parts for x in p.column(0).to_pylist()] == list(range(1_201))
+    docs = spark.createDataFrame([(i, f"word{i // 2} and some other words {i // 2} of a text") for i in range(1_300)], "doc_id long, text string")
+    out = jaccard_join.join(docs.coalesce(1))
+    assert out.where("component_id <> doc_id - doc_id % 2").count() == 0 and out.count() == 1_300
+    assert packing.pack(packing.pieces(docs)).count() == 1_300
+    assert quality.keep_good(docs.coalesce(1), [0.0] * (1 << quality.BITS) + [5.0]).count() == 1_300
+    assert spark.conf.get(name) == before
