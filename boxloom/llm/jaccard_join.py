@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from boxloom.llm.common import WordHashes, components, grams, only, stored, without
+from boxloom.llm.common import components, grams, lowered_hashes, only, slices, small_batches, stored, without
 from boxloom.scale import maybe_broadcast
 
 SIZE = 4               # words of a shingle
@@ -29,9 +29,10 @@ BUCKETS = 1 << 18      # counters of the sketch
 DEVIATIONS = 6         # how far above its peers a counter must stand to mark its shingles as frequent
 
 
-def shingle_set(text: bytes, hashes: WordHashes, size: int = SIZE) -> np.ndarray:
-    """Distinct shingles of a text as sorted 63-bit hashes; one of all words if there are fewer than ``size``."""
-    return np.unique(grams(hashes.of(text.lower().split()), size) >> np.uint64(1)).astype(np.int64)
+def shingle_sets(texts: list[bytes], size: int = SIZE) -> list[np.ndarray]:
+    """Distinct shingles of each text as sorted 63-bit hashes; one of all words if there are fewer than ``size``."""
+    h, n = lowered_hashes(texts)
+    return [np.unique(grams(x, size) >> np.uint64(1)).astype(np.int64) for x in np.split(h, np.cumsum(n)[:-1])]
 
 
 def texts_of(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -43,10 +44,9 @@ def common_levels(texts: DataFrame, size: int = SIZE, buckets: int = BUCKETS) ->
     The counters are fixed in number, summed over all texts, and all that reaches the driver."""
     def count(batches):
         seen = np.zeros(buckets, np.int64)
-        hashes = WordHashes()
-        for b in batches:
-            for t in b.column(0).to_pylist():
-                np.add.at(seen, shingle_set(t, hashes, size) & (buckets - 1), 1)
+        for b in slices(batches):
+            for s in shingle_sets(b.column(0).to_pylist(), size):
+                np.add.at(seen, s & (buckets - 1), 1)
         at = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(seen[at])], ["b", "n"])
 
@@ -68,11 +68,10 @@ def heads(texts: DataFrame, levels: np.ndarray, size: int = SIZE, share: int = S
     sent = texts.sparkSession.sparkContext.broadcast(levels)
 
     def run(batches):
-        level, hashes = sent.value, WordHashes()
-        for b in batches:
+        level = sent.value
+        for b in slices(batches):
             out = [[], [], [], [], []]
-            for t in b.column(1).to_pylist():
-                s = shingle_set(t, hashes, size)
+            for s in shingle_sets(b.column(1).to_pylist(), size):
                 lv = level[s & (len(level) - 1)]
                 p = prefix_length(len(s), share)
                 low = int((lv == 0).sum())
@@ -108,9 +107,8 @@ def overlaps(pairs: DataFrame, texts: DataFrame, size: int = SIZE) -> DataFrame:
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
 
     def run(batches):
-        hashes = WordHashes()
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shingle_set(t, hashes, size).tobytes() for t in b.column(1).to_pylist()], pa.binary())], ["id", "s"])
+        for b in slices(batches):
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([s.tobytes() for s in shingle_sets(b.column(1).to_pylist(), size)], pa.binary())], ["id", "s"])
 
     sets = stored(only(texts, stored(ids), "id").dropDuplicates(["id"]).mapInArrow(run, "id long, s binary"))
     theirs = sets.select(F.col("id").alias("b"), F.col("s").alias("sb")).join(maybe_broadcast(pairs), "b")
@@ -121,7 +119,7 @@ def overlaps(pairs: DataFrame, texts: DataFrame, size: int = SIZE) -> DataFrame:
     m = len(names)
 
     def count(batches):
-        for b in batches:
+        for b in slices(batches):
             got = [len(np.intersect1d(np.frombuffer(x, np.int64), np.frombuffer(y, np.int64), assume_unique=True))
                    for x, y in zip(b.column(m).to_pylist(), b.column(m + 1).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([*b.columns[:m], pa.array(got, pa.int32())], [*names, "o"])
@@ -208,10 +206,11 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = S
     a doc_id each count with their own set; rows with a null key are left out; other columns play no part.
     """
     texts = texts_of(docs, key, text)
-    head = stored(heads(texts, common_levels(texts, size), size, share))
-    classes = stored(head.where("n > 0").groupBy("cid").agg(
-        F.min("id").alias("id"), F.first("n").alias("n"), F.first("n0").alias("n0"), F.first("top").alias("top"), F.first("t").alias("t")))
-    found = components(links(classes, texts, size, share))
+    with small_batches(docs.sparkSession):
+        head = stored(heads(texts, common_levels(texts, size), size, share))
+        classes = stored(head.where("n > 0").groupBy("cid").agg(
+            F.min("id").alias("id"), F.first("n").alias("n"), F.first("n0").alias("n0"), F.first("top").alias("top"), F.first("t").alias("t")))
+        found = components(links(classes, texts, size, share))
     named = classes.select("cid", F.col("id").alias("rep")).join(found.withColumnRenamed("id", "rep"), "rep", "left")
     named = named.select("cid", F.coalesce("component_id", "rep").alias("component_id"))
     return head.select("id", "n", "cid").join(named, "cid", "left").select(

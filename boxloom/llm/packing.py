@@ -19,7 +19,7 @@ import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from boxloom.llm.common import stored
+from boxloom.llm.common import slices, small_batches, stored
 
 ROOM = 1024
 END = 2                # id after every text
@@ -51,7 +51,7 @@ def pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", room: int =
     def run(batches):
         enc = encoder(ranks)
         tail = np.array([END], np.uint32)
-        for b in (part for whole in batches for part in (whole.slice(at, 500) for at in range(0, whole.num_rows, 500))):
+        for b in slices(batches):
             out = [[] for _ in range(5 + tokens)]
             keys = b.column(0).to_pylist()
             for k, t in zip(keys, b.column(1).to_pylist(), strict=True):
@@ -128,8 +128,9 @@ def pack(cut_pieces: DataFrame, key: str = "doc_id", room: int = ROOM) -> DataFr
     all that is broadcast.  Where the plan's slots outnumber a length's pieces nothing is dropped.  Pieces are
     read again from the shared folder; an empty table gives no rows.
     """
-    p = stored(cut_pieces)
-    spark = p.sparkSession
+    spark = cut_pieces.sparkSession
+    with small_batches(spark):
+        p = stored(cut_pieces)
     counts = {r["length"]: r["n"] for r in p.groupBy("length").agg(F.count("*").alias("n")).collect()}
     slots = spark.createDataFrame(plan(counts, room), "length long, _from long, _n long, _first long, _per long, _at long")
     r = ranked(p, "length", [key, "piece", "ids_crc32"])

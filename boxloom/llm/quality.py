@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from boxloom.llm.common import WordHashes, mix
+from boxloom.llm.common import WordHashes, mix, slices
 
 BITS = 18              # slots of the model: 2 ** BITS
 SAMPLE = 6_000         # labelled texts that training reads at most, the lowest by hash of their id
@@ -109,7 +109,7 @@ def score(docs: DataFrame, weights: np.ndarray, key: str = "doc_id", text: str =
     def scored(batches):
         w = sent.value.astype(np.float64)
         hashes = Shaped()
-        for b in batches:
+        for b in slices(batches):
             got = [sigmoid(margin(w[:-1], w[-1], features(t, hashes))) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(got, pa.float64())], ["k", "score"])
 
@@ -126,7 +126,7 @@ def keep_good(docs: DataFrame, weights: np.ndarray, text: str = "text", threshol
     def kept(batches):
         w = sent.value.astype(np.float64)
         hashes = Shaped()
-        for b in batches:
+        for b in slices(batches):
             good = [sigmoid(margin(w[:-1], w[-1], features((t or "").encode(), hashes))) >= threshold for t in b.column(at).to_pylist()]
             yield b.filter(pa.array(good, pa.bool_()))
 
