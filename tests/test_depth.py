@@ -63,3 +63,42 @@ def test_odd_values(spark):
     assert sorted((r.image_id or 0, r.id, r.depth) for r in got if r.id != 2) == [(0, 3, None), (1, 1, 3.0), (2, 1, None)]
     assert merge.median_depth(spark.createDataFrame([], OBJECTS), spark.createDataFrame(depth, DEPTH)).count() == 0
     assert [r.depth for r in merge.median_depth(spark.createDataFrame(boxes[:1], OBJECTS), spark.createDataFrame([], DEPTH)).collect()] == [None]
+
+
+def rows(df):
+    return sorted(str(r) for r in df.collect())
+
+
+@pytest.mark.parametrize("few", [300, 2000])
+@pytest.mark.parametrize("size", [{}, {"width": 20, "height": 30}])
+def test_few_pixels_are_read_and_many_go_by_tiles(spark, few, size):
+    boxes, depth = made(5, images=2, width=15, height=11)
+    more, large = made(6, images=1, width=40, height=35)
+    boxes, depth = boxes + [(7, *b[1:]) for b in more if b[0] == 0], depth + [(7, *d[1:]) for d in large]
+    got = merge.median_depth(spark.createDataFrame(boxes, OBJECTS), spark.createDataFrame(depth, DEPTH), few=few, **size)
+    assert {(r.image_id, r.id): r.depth for r in got.collect()} == brute(boxes, depth, **size)
+
+
+def test_plans_agree_on_repeated_and_missing_ids(spark):
+    """Also where ids are shared by boxes of one or of several kinds, or are null."""
+    r = random.Random(8)
+    depth = spark.createDataFrame([(r.choice([1, 2, 3, None]), r.randrange(12), r.randrange(9), r.choice([0.0, None, 1.5, 2.25, 7.0, float("nan")])) for _ in range(160)], DEPTH)
+    boxes = [(r.choice([1, 2, 3, 4, None]), r.choice(["object", "floating", "attribute", None]) if i % 3 else "floating", r.choice([*range(9), None]),
+              float(r.randrange(9)), float(r.randrange(7)), float(r.randrange(14)), r.choice([None, 6.0, 9.5])) for i in range(90)]
+    objects = spark.createDataFrame([b for b in boxes if not (b[0] == 3 and b[1] == "object")], "image_id long, kind string, id int, x1 double, y1 double, x2 double, y2 double")
+    for operator in (merge.median_depth, merge.add_depth):
+        tiled = rows(operator(objects, depth, hot=True))
+        assert any("depth=None" not in t for t in tiled)
+        for hot, few in ((False, 2000), (None, 2000), (None, 35)):
+            assert rows(operator(objects, depth, hot=hot, few=few)) == tiled, (hot, few)
+
+
+def test_few_pixels_need_no_second_pass_over_boxes(spark, tmp_path):
+    """The rows of the boxes, which are costly to make, are made once where no image holds many."""
+    objects = spark.createDataFrame([(i % 9, "object", i, 0.0, 0.0, 5.0, 5.0) for i in range(40)], "image_id long, kind string, id int, x1 double, y1 double, x2 double, y2 double")
+    objects.write.parquet(str(tmp_path / "o"))
+    depth = spark.createDataFrame([(i % 9, i % 7, i % 5, float(i)) for i in range(200)], DEPTH)
+    for operator in (merge.median_depth, merge.add_depth):
+        df = operator(spark.read.parquet(str(tmp_path / "o")), depth, hot=False)
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
+        assert df.where("depth is not null").count() == 40
