@@ -1,5 +1,6 @@
 """Matching and metrics against loops that walk detections in order."""
 import random
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -7,6 +8,7 @@ from helpers import area, groups, inter, iou
 
 from boxloom.operators import evaluate as E
 from boxloom.operators import reports, sampling
+from boxloom.plans.queries import evaluation as queries
 
 PRED = "image_id long, label string, det int, score double, x1 double, y1 double, x2 double, y2 double"
 GT = "image_id long, label string, gt int, x1 double, y1 double, x2 double, y2 double, difficult boolean, iscrowd int"
@@ -212,3 +214,14 @@ def test_verify_metrics(spark):
     want = spark.createDataFrame([("a", "m", 1.0, 0.1), ("a", "n", 1.0, 0.1), ("b", "m", 1.0, 0.1)], "task string, metric string, expected double, tolerance double")
     have = spark.createDataFrame([("a", "m", 1.05), ("a", "n", float("nan"))], "task string, metric string, value double")
     assert {(r.task, r.metric): r.ok for r in E.verify_metrics(want, have).collect()} == {("a", "m"): True, ("a", "n"): False, ("b", "m"): False}
+
+
+DETECTIONS = "image_id long, label string, priority int, seq int, score double, x1 double, y1 double, x2 double, y2 double"
+
+
+def test_coco_ap_takes_every_detection_and_threshold(spark):
+    """Seven true boxes of a class in an image, each found with an overlap of 0.82: right at seven of the ten thresholds."""
+    rows = [(0, "a", p, k, 0.9 - k / 100, 200.0 * k, 0.0, 200.0 * k + 100, 100.0 if p == 1 else 82.0) for k in range(1, 8) for p in (1, 2)]
+    t = SimpleNamespace(detections=spark.createDataFrame(rows, DETECTIONS))
+    got = {r.metric: r.value for r in queries.coco_ap(t).collect()}
+    assert got["AP"] == pytest.approx(70.0) and got["AP50"] == got["AP75"] == pytest.approx(100.0)
