@@ -225,3 +225,10 @@ def test_coco_ap_takes_every_detection_and_threshold(spark):
     t = SimpleNamespace(detections=spark.createDataFrame(rows, DETECTIONS))
     got = {r.metric: r.value for r in queries.coco_ap(t).collect()}
     assert got["AP"] == pytest.approx(70.0) and got["AP50"] == got["AP75"] == pytest.approx(100.0)
+
+
+def test_lvis_ap_takes_every_detection(spark):
+    """Thirty true boxes in an image, each found: all count, not the best twenty."""
+    rows = [(0, "person", p, k, 0.9 - k / 100, 200.0 * k, 0.0, 200.0 * k + 100, 100.0) for k in range(1, 31) for p in (1, 3)]
+    got = queries.lvis_ap(SimpleNamespace(detections=spark.createDataFrame(rows, DETECTIONS))).first()
+    assert got.ap == pytest.approx(100.0) and got.ap_frequent == pytest.approx(100.0)
