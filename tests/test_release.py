@@ -61,3 +61,21 @@ def test_images_that_wait_too_long(spark, tmp_path):
     assert {(r.image_id, r.complete) for r in second} == {(b, True), (a, False)}
     assert {(r.image_id, r.complete) for r in third} == {(b, True), (a, False), (c, True)}
     assert len({(r.image_id, r.batch) for r in third}) == 3                           # none twice
+
+
+def test_a_batch_costs_calls_per_bucket(spark, tmp_path, monkeypatch):
+    """Images share states: six hundred of them need no more states than there are buckets, and each leaves once, by its own notices."""
+    monkeypatch.setattr(release, "BUCKETS", 3)
+    notices, out = str(tmp_path / "notices"), []
+    drops = [[(i, "m", T0 + dt.timedelta(seconds=i)) for i in range(600)], [(i, "n", T0 + dt.timedelta(minutes=20)) for i in range(0, 600, 2)] + [(1, "m", T0)],
+             [(2, "n", T0 + dt.timedelta(hours=9)), (601, "m", T0 + dt.timedelta(hours=9))], [(601, "n", T0 + dt.timedelta(hours=9))]]
+    for drop in drops:
+        spark.createDataFrame(drop, NOTICE).coalesce(1).write.mode("append").parquet(notices)
+        with release._rocks(spark):
+            q = (release.released(spark.readStream.schema(NOTICE).parquet(notices), ["m", "n"]).writeStream.foreachBatch(lambda b, _: out.extend(map(tuple, b.collect())))
+                 .option("checkpointLocation", str(tmp_path / "checkpoint")).trigger(availableNow=True).start())
+            q.awaitTermination(180)
+        assert q.exception() is None
+        states = [p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress if p["stateOperators"]]
+        assert states and max(states) <= 3
+    assert sorted((i, complete) for i, _, complete in out) == sorted([(i, i % 2 == 0) for i in range(600)] + [(601, True)])
