@@ -7,7 +7,7 @@ import pytest
 from helpers import area, groups, inter, iou
 
 from boxloom.operators import evaluate as E
-from boxloom.operators import reports, sampling
+from boxloom.operators import curve, reports, sampling
 from boxloom.plans.queries import evaluation as queries
 
 PRED = "image_id long, label string, det int, score double, x1 double, y1 double, x2 double, y2 double"
@@ -232,3 +232,19 @@ def test_lvis_ap_takes_every_detection(spark):
     rows = [(0, "person", p, k, 0.9 - k / 100, 200.0 * k, 0.0, 200.0 * k + 100, 100.0) for k in range(1, 31) for p in (1, 3)]
     got = queries.lvis_ap(SimpleNamespace(detections=spark.createDataFrame(rows, DETECTIONS))).first()
     assert got.ap == pytest.approx(100.0) and got.ap_frequent == pytest.approx(100.0)
+
+
+def test_states_are_counted_without_a_row_for_each(spark, monkeypatch):
+    """One row a detection for all seventeen ranges and ten thresholds, in small blocks and runs of a class over several tasks: the
+    same as by a row for each range."""
+    pred, gt = make(11)
+    pred += [(i + 6 * k, *rest) for i, *rest in pred for k in range(1, 5)] + [(0, None, 99, 0.5, 0.0, 0.0, 9.0, 9.0), (0, "c0", 98, None, 0.0, 0.0, 9.0, None)]
+    gt += [(i + 6 * k, *rest) for i, *rest in gt for k in range(1, 5)] + [(0, None, 99, 0.0, 0.0, 9.0, 9.0, False, 0), (0, "none", 98, 0.0, 0.0, 9.0, 9.0, False, 0)]
+    p, g = spark.createDataFrame(pred, PRED), spark.createDataFrame(gt, GT).drop("difficult")
+    areas = E.AREAS | E.MORE_AREAS
+    by_row = E.coco_class_ap(p, g, areas=areas, matches=E.coco_matches(p, g, areas=areas, hot=False), hot=True)
+    want = {(r.label, r.area_range, r.threshold): r.ap for r in by_row.collect()}
+    monkeypatch.setattr(curve, "BLOCK", 3)
+    monkeypatch.setattr(E.scale, "running", None)          # windows over a row for each range
+    got = {(r.label, r.area_range, r.threshold): r.ap for r in E.coco_class_ap(p, g, areas=areas, hot=False).collect()}
+    assert got == pytest.approx(want, abs=1e-12) and any(0 < v < 1 for v in got.values()) and (None, "all", 0.5) in got
