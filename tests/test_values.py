@@ -253,3 +253,28 @@ def test_fuzzy_pairs_of_a_crowded_image(spark):
     met = [(x.phrase, x.text) for x in ground._meet(ask, known, True).select("phrase", "text").collect()]
     assert len(met) == len(set(met)) < len(asked) * len(texts) / 4
     assert want <= set(met) and len(want) > 300
+
+
+def test_packed_pixels(spark):
+    """Sixty pixels to a row: as many rows as words that a run touches, and the same run lengths as from a row a pixel."""
+    r = np.random.default_rng(3)
+    counts = lambda: [int(c) for c in r.choice([0, 1, 7, 59, 60, 61, 300], 41)]
+    df = spark.createDataFrame([(k, (50, 400, c[:-1] + [20_000 - sum(c[:-1])])) for k in range(6) if sum((c := counts())[:-1]) < 20_000],
+                               "id int, segmentation struct<h:int,w:int,counts:array<bigint>>")
+    runs = masks.runs(df, ["id"])
+    packed = masks.pixels(runs, packed=True)
+    want = {x.id: x.segmentation for x in masks.encode(masks.pixels(runs), ["id"]).collect()}
+    assert len(want) > 2 and {x.id: x.segmentation for x in masks.encode(packed, ["id"]).collect()} == want
+    assert packed.count() == sum((x.start + x.length - 1) // 60 - x.start // 60 + 1 for x in runs.collect())
+    assert packed.agg(F.sum(F.bit_count("bits"))).first()[0] == masks.pixels(runs).count()
+    with pytest.raises(ValueError, match="column by column"):
+        masks.encode(packed, ["id"], row_major=True)
+
+
+def test_counts_are_made_once(spark):
+    """Counts that an expression makes are made once a mask, not again for every slice of them."""
+    made = F.transform(F.sequence(F.lit(1), F.col("n")), lambda i: i.cast("long"))
+    df = spark.range(1).select("id", (F.col("id") + 90).alias("n")).select("id", F.struct(F.lit(4095).alias("h"), F.lit(1).alias("w"), made.alias("counts")).alias("segmentation"))
+    runs = masks.runs(df, ["id"])
+    assert [(r.start, r.length) for r in runs.orderBy("start").collect()] == [(i * (i - 1) // 2, i) for i in range(2, 91, 2)]
+    assert runs._jdf.queryExecution().optimizedPlan().toString().count("sequence(1, ") == 1
