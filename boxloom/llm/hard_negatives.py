@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from boxloom.llm.common import stored
+from boxloom.llm.common import slices, stored
 from boxloom.scale import maybe_broadcast
 
 SAMPLE = 16_384                      # vectors that split points are chosen from at most
@@ -27,6 +27,7 @@ SAMPLE_BYTES = 32 << 20
 WAYS = 8                             # split points of a node
 LEAF = 512                           # vectors that a leaf should have at most, as far as the sample goes
 MEMBERS, VISITORS = 2048, 1024       # rows of a leaf's block
+ENTERED = 1 << 16                    # anchors times split points that are looked at in one go
 FAR = (1 << 63) - 1
 
 
@@ -205,10 +206,12 @@ WINDOWS = "id long, label long, vector binary, lows array<long>, highs array<lon
 
 def visits(anchors: DataFrame, bounds, width: int, first: bool = False) -> DataFrame:
     """Anchors with their windows, once for each leaf to search.  ``first``: only the leaf of each window whose split
-    point's product with the anchor lies nearest to the window's upper end."""
+    point's product with the anchor lies nearest to the window's upper end.
+
+    An anchor may enter most leaves and comes out once for each, so few anchors are taken at a time."""
     def run(batches):
         own = bounds.value
-        for b in batches:
+        for b in slices(batches, max(1, ENTERED // len(own.tree.points))):
             if not b.num_rows:
                 continue
             v = matrix(b.column(2).to_pylist(), width)

@@ -1,7 +1,9 @@
 """Hard negatives against comparing all rows with all; the tree's bounds against its rows."""
 import math
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 pytest.importorskip("boxloom.llm")
@@ -76,3 +78,22 @@ def test_bounds_leave_out_no_row_and_do_leave_out_leaves():
         hit = ((score[a][:, None] >= lows[a]) & (score[a][:, None] <= highs[a])).any(1)
         assert entered[a, np.unique(leaf[hit])].all()
     assert entered.sum() < 0.5 * entered.shape[0] * len(np.unique(leaf))
+
+
+def test_few_anchors_at_a_time(monkeypatch):
+    """Anchors that enter every leaf come out in batches of bounded size, the same ones as all at once."""
+    monkeypatch.setattr(hard_negatives, "ENTERED", 600, raising=False)
+    rows = hard_negatives.scaled([v for _, v, _ in vectors(300, 6, 5)], 6)
+    tree = hard_negatives.Tree(rows, len(rows), 4, 20)
+    bounds = hard_negatives.Bounds(tree, [{"slot": s, "i": i, "low": low, "high": high} for (s, i), (low, high) in tree.ranges(rows).items()])
+    frame = SimpleNamespace(select=lambda *_: frame, mapInArrow=lambda run, _: run)
+    wide = pa.array([[hard_negatives.FAR]] * len(rows), pa.list_(pa.int64()))
+    low = pa.array([[-hard_negatives.FAR]] * len(rows), pa.list_(pa.int64()))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(rows))), pa.array([1] * len(rows)), pa.array([r.tobytes() for r in rows]), low, wide],
+                                       ["id", "label", "vector", "lows", "highs"])
+    for first in (False, True):
+        out = list(hard_negatives.visits(frame, SimpleNamespace(value=bounds), 6, first)(iter([batch])))
+        got = [x for b in out for x in zip(b["id"].to_pylist(), b["leaf"].to_pylist(), strict=True)]
+        assert max(b.num_rows for b in out) <= 600 < len(tree.points) * len(rows)
+        leaves = {int(x) for x in np.flatnonzero(np.array(tree.below) < 0)}
+        assert len(set(got)) == len(got) and {i for i, _ in got} == set(range(len(rows))) and (first or {leaf for _, leaf in got} <= leaves and len(got) > 600)
